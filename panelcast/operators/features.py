@@ -142,7 +142,9 @@ class OriginWindow:
     def stage2(cls, pickup, interval: int) -> OriginWindow:
         """Margin frame: window moved back a year and widened by four quarters,
         actuals still blanked from the true origin on."""
-        return cls.build(add_months(pickup, -12), interval + 4, mask_from=pickup)
+        from dataclasses import replace
+        w = cls.build(add_months(pickup, -12), interval + 4, mask_from=pickup)
+        return replace(w, origin=quarter_of(pickup))
 
 
 def _origins_array(windows: Sequence[OriginWindow]) -> Column:

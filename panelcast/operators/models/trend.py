@@ -1,12 +1,22 @@
-"""Trend + quarter-of-year forecaster expressed as SQL aggregates.
+"""Trend + quarter-of-year forecaster expressed as grouped sums.
 
 Per (origin, series): least-squares line of the target on the quarter
-index (``regr_slope`` / ``regr_intercept``), plus the mean detrended
-residual of each quarter-of-year (0 where that quarter-of-year has no
-history). Everything is a grouped aggregate, partial-aggregated map side,
-so no group is ever materialised; DuckDB has the same functions, which
-makes this family checkable against an exact SQL oracle. It stands in for
-the per-series additive model in the oracle-checked backtest.
+index, plus the mean detrended residual of each quarter-of-year (0 where
+that quarter-of-year has no history).
+
+The fit needs only five sums per (origin, series, quarter-of-year):
+``n, sum t, sum t^2, sum y, sum t*y``. They are computed *exactly* (integers
+and DECIMAL cents) in one map-side-combined aggregate, then the line and
+the seasonal means follow from a fixed sequence of double operations:
+
+    b = (n*Sty - St*Sy) / (n*Stt - St^2)     (0 if the denominator is 0)
+    a = (Sy - b*St) / n
+    s_k = (Sy_k - n_k*a - b*St_k) / n_k
+
+so the result does not depend on partitioning or summation order (a float
+``regr_slope`` does, and near a rounding tie that flips the cents). No
+training group is ever materialised: the sums are partial-aggregated per
+task, whatever the size of a series.
 """
 
 from __future__ import annotations
@@ -23,48 +33,77 @@ from ...functions.numeric import round2
 TREND = "TREND"
 TREND_SEASONAL = "TREND_SEASONAL"
 
+CENTS = "decimal(22,2)"
 
-def fit_trend(train: DataFrame, target: str, keys: Sequence[str] = ("origin", "series"),
-              seasonal: bool = True) -> tuple[DataFrame, DataFrame | None]:
-    """Coefficients ``(keys, a, b)`` and, if seasonal, ``(keys, qoy, s)``."""
-    keys = list(keys)
-    rows = (train.where(F.col(target).isNotNull())
-            .select(*keys, quarter_index("quarter").alias("t"),
-                    quarter_number("quarter").alias("qoy"), F.col(target).alias("y")))
-    line = (rows.groupBy(*keys)
-            .agg(F.regr_slope("y", "t").alias("b"), F.regr_intercept("y", "t").alias("a"),
-                 F.avg("y").alias("ybar"))
-            .select(*keys, F.coalesce("b", F.lit(0.0)).alias("b"),
-                    F.coalesce("a", "ybar").alias("a")))
-    if not seasonal:
-        return line, None
-    season = (rows.join(line, keys)
-              .groupBy(*keys, "qoy")
-              .agg(F.avg(F.col("y") - (F.col("a") + F.col("b") * F.col("t"))).alias("s")))
-    return line, season
 
+def season_sums(train: DataFrame, targets: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Exact sums per (keys, qoy) for every target (NULL targets skipped)."""
+    t = quarter_index("quarter")
+    rows = train.select(*keys, t.alias("t"), quarter_number("quarter").alias("qoy"),
+                        *[F.col(y).cast(CENTS).alias(y) for y in targets])
+    aggs = []
+    for y in targets:
+        seen = F.col(y).isNotNull()
+        aggs += [F.count(y).alias(f"{y}_n"),
+                 F.sum(F.when(seen, F.col("t"))).alias(f"{y}_st"),
+                 F.sum(F.when(seen, F.col("t") * F.col("t"))).alias(f"{y}_stt"),
+                 F.sum(y).alias(f"{y}_sy"),
+                 F.sum(F.col("t") * F.col(y)).alias(f"{y}_sty")]
+    return rows.groupBy(*keys, "qoy").agg(*aggs)
 
-def predict_trend(horizon: DataFrame, line: DataFrame, season: DataFrame | None,
-                  target: str, keys: Sequence[str] = ("origin", "series")) -> DataFrame:
-    """Score horizon rows ``(keys, quarter)``; rows of unfitted series get NULL."""
+
+def _d(c: str) -> F.Column:
+    return F.col(c).cast("double")
+
+
+def fit(train: DataFrame, targets: Sequence[str] = ("rev", "cm"),
+        keys: Sequence[str] = ("origin", "series")) -> tuple[DataFrame, DataFrame]:
+    """Line ``(keys, {y}_a, {y}_b)`` and seasonal means ``(keys, qoy, {y}_s)``."""
     keys = list(keys)
-    h = horizon.select(*keys, "quarter").withColumns(
-        {"t": quarter_index("quarter"), "qoy": quarter_number("quarter")})
-    h = h.join(line, keys, "left")
-    yhat = F.col("a") + F.col("b") * F.col("t")
-    if season is not None:
-        h = h.join(season, keys + ["qoy"], "left")
-        yhat = yhat + F.coalesce(F.col("s"), F.lit(0.0))
-    return h.select(*keys, "quarter", round2(yhat).alias(target))
+    per_q = season_sums(train, targets, keys)
+    totals = per_q.groupBy(*keys).agg(*[F.sum(f"{y}_{s}").alias(f"{y}_{s}") for y in targets
+                                        for s in ("n", "st", "stt", "sy", "sty")])
+    line_cols = []
+    for y in targets:
+        n, st, stt, sy, sty = (_d(f"{y}_{s}") for s in ("n", "st", "stt", "sy", "sty"))
+        den = n * stt - st * st
+        b = F.when(den != 0, F.try_divide(n * sty - st * sy, den)).when(n > 0, F.lit(0.0))
+        a = F.try_divide(sy - b * st, n)
+        line_cols += [b.alias(f"{y}_b"), a.alias(f"{y}_a")]
+    line = totals.select(*keys, *line_cols)
+    season_cols = []
+    for y in targets:
+        n_k, st_k, sy_k = (_d(f"{y}_{s}") for s in ("n", "st", "sy"))
+        s_k = F.try_divide(sy_k - n_k * F.col(f"{y}_a") - F.col(f"{y}_b") * st_k, n_k)
+        season_cols.append(s_k.alias(f"{y}_s"))
+    season = per_q.join(line, keys).select(*keys, "qoy", *season_cols)
+    return line, season
 
 
 def trend_forecast(train: DataFrame, horizon: DataFrame, targets: Sequence[str] = ("rev", "cm"),
-                   seasonal: bool = True, keys: Sequence[str] = ("origin", "series")
-                   ) -> DataFrame:
-    """Forecast every target for the horizon rows; adds the ``model`` label."""
+                   seasonal_variants: Sequence[bool] = (True, False),
+                   keys: Sequence[str] = ("origin", "series")) -> DataFrame:
+    """Score the horizon rows ``(keys, quarter)`` of every origin.
+
+    One fit serves both variants: ``TREND`` uses the line only,
+    ``TREND_SEASONAL`` adds the quarter-of-year mean. Output:
+    ``(keys, quarter, <targets>, model)``; series without history get NULL.
+    """
     keys = list(keys)
-    out = horizon.select(*keys, "quarter").distinct()
-    for target in targets:
-        line, season = fit_trend(train, target, keys, seasonal)
-        out = out.join(predict_trend(horizon, line, season, target, keys), keys + ["quarter"])
-    return out.withColumn("model", F.lit(TREND_SEASONAL if seasonal else TREND))
+    line, season = fit(train, targets, keys)
+    h = (horizon.select(*keys, "quarter").distinct()
+         .withColumns({"t": quarter_index("quarter"), "qoy": quarter_number("quarter")})
+         .join(line, keys, "left")
+         .join(season, keys + ["qoy"], "left"))
+    out = None
+    for seasonal in seasonal_variants:
+        cols = []
+        for y in targets:
+            yhat = F.col(f"{y}_a") + F.col(f"{y}_b") * F.col("t")
+            if seasonal:
+                yhat = yhat + F.coalesce(F.col(f"{y}_s"), F.lit(0.0))
+            cols.append(round2(yhat).alias(y))
+        part = h.select(*keys, "quarter", *cols,
+                        F.lit(TREND_SEASONAL if seasonal else TREND).alias("model"))
+        out = part if out is None else out.unionByName(part)
+    return out

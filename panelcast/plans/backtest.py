@@ -90,11 +90,7 @@ def trend_forecasts(inp: PanelInputs, p: RunParams, seasonal_variants=(True, Fal
     series, rev, cm, model)."""
     train = feat.training_sets(training(inp, p), p.origins)
     horizon = stage1_frames(inp, p).select("origin", "quarter", "series")
-    out = None
-    for seasonal in seasonal_variants:
-        f = trend_forecast(train, horizon, seasonal=seasonal)
-        out = f if out is None else out.unionByName(f)
-    return out
+    return trend_forecast(train, horizon, seasonal_variants=seasonal_variants)
 
 
 def margin_frames(inp: PanelInputs, p: RunParams, how: str = "inner") -> DataFrame:
@@ -114,8 +110,12 @@ def snapshots(inp: PanelInputs, p: RunParams, forecasts: DataFrame | None = None
 
 def best_models(inp: PanelInputs, p: RunParams, rows_from: str | None = None,
                 forecasts: DataFrame | None = None) -> DataFrame:
-    """C9/C10 for every refresh."""
-    return best_model(snapshots(inp, p, forecasts), p.lookback_months, p.series, rows_from)
+    """C9/C10 for every refresh. The snapshot feeds three branches (errors,
+    revenue rows, margin rows), so it is checkpointed once when the inputs are."""
+    snap = snapshots(inp, p, forecasts)
+    if inp.checkpoint:
+        snap = cut_lineage(snap)
+    return best_model(snap, p.lookback_months, p.series, rows_from)
 
 
 def combine_stage_forecasts(rev_forecast: DataFrame, cm_forecast: DataFrame) -> DataFrame:

@@ -206,39 +206,52 @@ def origins_values(p: RunParams = PARAMS) -> str:
 
 def trend_ctes(p: RunParams = PARAMS) -> str:
     """M10 forecasts of both variants for every origin; CTE ``fc``."""
-    out = f""",
+    def d(x):
+        return f"CAST({x} AS DOUBLE)"
+    sums, tots, lines, avals, seas, preds_s, preds_t = [], [], [], [], [], [], []
+    for y in ("rev", "cm"):
+        yd = f"CAST({y} AS DECIMAL(22,2))"
+        sums += [f"count({y}) AS {y}_n",
+                 f"sum(CASE WHEN {y} IS NOT NULL THEN t END) AS {y}_st",
+                 f"sum(CASE WHEN {y} IS NOT NULL THEN t * t END) AS {y}_stt",
+                 f"sum({yd}) AS {y}_sy", f"sum(t * {yd}) AS {y}_sty"]
+        tots += [f"sum({y}_{k}) AS {y}_{k}" for k in ("n", "st", "stt", "sy", "sty")]
+        n, st, stt, sy, sty = (d(f"{y}_{k}") for k in ("n", "st", "stt", "sy", "sty"))
+        den = f"({n} * {stt} - {st} * {st})"
+        lines += [f"CASE WHEN {den} <> 0 THEN ({n} * {sty} - {st} * {sy}) / {den} "
+                  f"WHEN {n} > 0 THEN CAST(0 AS DOUBLE) END AS {y}_b",
+                  f"{y}_n", f"{y}_st", f"{y}_sy"]
+        avals += [f"{y}_b", f"({sy} - {y}_b * {st}) / {n} AS {y}_a"]
+        seas.append(f"(CAST(ss.{y}_sy AS DOUBLE) - CAST(ss.{y}_n AS DOUBLE) * l.{y}_a"
+                    f" - l.{y}_b * CAST(ss.{y}_st AS DOUBLE)) / CAST(ss.{y}_n AS DOUBLE)"
+                    f" AS {y}_s")
+        preds_s.append(f"{r2(f'(l.{y}_a + l.{y}_b * h.t) + coalesce(s.{y}_s, 0)')} AS {y}")
+        preds_t.append(f"{r2(f'l.{y}_a + l.{y}_b * h.t')} AS {y}")
+    return f""",
 tr AS (
   SELECT o.origin, t.quarter, t.series, t.rev, t.cm, {qindex('t.quarter')} AS t,
          {qnum('t.quarter')} AS qoy
   FROM train t JOIN {origins_values(p)} o ON t.quarter < o.origin),
 hz AS (
   SELECT DISTINCT origin, quarter, series, {qindex('quarter')} AS t, {qnum('quarter')} AS qoy
-  FROM f1)"""
-    for y in ("rev", "cm"):
-        out += f""",
-line_{y} AS (
-  SELECT origin, series, coalesce(regr_slope({y}, t), 0) AS b,
-         coalesce(regr_intercept({y}, t), avg({y})) AS a
-  FROM tr WHERE {y} IS NOT NULL GROUP BY origin, series),
-season_{y} AS (
-  SELECT tr.origin, tr.series, tr.qoy, avg(tr.{y} - (l.a + l.b * tr.t)) AS s
-  FROM tr JOIN line_{y} l ON tr.origin = l.origin AND tr.series = l.series
-  WHERE tr.{y} IS NOT NULL GROUP BY 1, 2, 3),
-pred_{y} AS (
-  SELECT h.origin, h.quarter, h.series,
-         {r2(f'(l.a + l.b * h.t) + coalesce(s.s, 0)')} AS seasonal_{y},
-         {r2('l.a + l.b * h.t')} AS trend_{y}
-  FROM hz h LEFT JOIN line_{y} l ON h.origin = l.origin AND h.series = l.series
-  LEFT JOIN season_{y} s ON h.origin = s.origin AND h.series = s.series AND h.qoy = s.qoy)"""
-    out += f""",
+  FROM f1),
+ss AS (SELECT origin, series, qoy, {', '.join(sums)} FROM tr GROUP BY 1, 2, 3),
+tot AS (SELECT origin, series, {', '.join(tots)} FROM ss GROUP BY 1, 2),
+line0 AS (SELECT origin, series, {', '.join(lines)} FROM tot),
+line AS (SELECT origin, series, {', '.join(avals)} FROM line0),
+season AS (
+  SELECT ss.origin, ss.series, ss.qoy, {', '.join(seas)}
+  FROM ss JOIN line l ON ss.origin = l.origin AND ss.series = l.series),
+hl AS (
+  SELECT h.*, l.rev_a, l.rev_b, l.cm_a, l.cm_b, s.rev_s, s.cm_s
+  FROM hz h LEFT JOIN line l ON h.origin = l.origin AND h.series = l.series
+  LEFT JOIN season s ON h.origin = s.origin AND h.series = s.series AND h.qoy = s.qoy),
 fc AS (
-  SELECT r.origin, r.quarter, r.series, r.seasonal_rev AS rev, c.seasonal_cm AS cm,
-         '{TREND_SEASONAL}' AS model
-  FROM pred_rev r JOIN pred_cm c USING (origin, quarter, series)
+  SELECT h.origin, h.quarter, h.series, {', '.join(preds_s).replace('l.', 'h.').replace('s.', 'h.')},
+         '{TREND_SEASONAL}' AS model FROM hl h
   UNION ALL
-  SELECT r.origin, r.quarter, r.series, r.trend_rev, c.trend_cm, '{TREND}'
-  FROM pred_rev r JOIN pred_cm c USING (origin, quarter, series))"""
-    return out
+  SELECT h.origin, h.quarter, h.series, {', '.join(preds_t).replace('l.', 'h.')},
+         '{TREND}' AS model FROM hl h)"""
 
 
 def snapshot_ctes(p: RunParams = PARAMS) -> str:

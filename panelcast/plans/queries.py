@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import round_numeric, to_double
 from ..operators import features as feat
-from ..operators.models.trend import TREND, TREND_SEASONAL
+from ..operators.models.trend import TREND
 from ..operators.panel import (WORLDWIDE, actuals_quarterly, restrict_series, rig_quarterly,
                                weighted_quarterly)
 from ..operators.scoring import ground_truth
@@ -32,7 +32,7 @@ WORLDWIDE_SERIES = tuple(f"{WORLDWIDE}-{d}" for d in DIVISIONS)
 
 
 def _inputs(spark: SparkSession, sf_dir: str) -> bt.PanelInputs:
-    return bt.PanelInputs(Tables(spark, sf_dir))
+    return bt.PanelInputs(Tables(spark, sf_dir), checkpoint=True)
 
 
 def weighted_fcst_monthly(spark, sf_dir):
@@ -185,9 +185,6 @@ SQL_CHECKED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "combine_stage_forecasts": combine_stage_forecasts,
 }
 
-_ = TREND_SEASONAL  # label used by the oracle-checked families
-
-
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = dict(SQL_CHECKED)
     try:
