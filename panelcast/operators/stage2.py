@@ -42,5 +42,7 @@ def margin_inference(frame: DataFrame, rev_forecast: DataFrame, how: str = "inne
     joined = joined.withColumns({f"rev_lag{k}": F.coalesce(f"rev_lag{k}_new", f"rev_lag{k}")
                                  for k in TARGET_LAGS})                        # N4
     joined = joined.drop(*[f"rev_lag{k}_new" for k in TARGET_LAGS])
-    out = round_numeric(joined.select(*keys, "rev", *[c for c in own.columns if c not in keys]))
-    return complete_cases(out) if how == "right" else out                      # N5
+    out = joined.select(*keys, "rev", *[c for c in own.columns if c not in keys])
+    if how == "right":
+        out = complete_cases(out)                                               # N5
+    return round_numeric(out)

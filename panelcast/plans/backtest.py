@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..operators import features as feat
 from ..operators.models.trend import trend_forecast
 from ..operators.panel import assemble_panel, keyed_panel, oil_quarterly
-from ..operators.scoring import ground_truth, score_forecasts
+from ..operators.scoring import ground_truth, score_forecasts  # noqa: F401 (re-export)
 from ..operators.selection import best_model
 from ..operators.stage2 import margin_inference
 from ..session import cut_lineage

@@ -31,8 +31,20 @@ DIVISIONS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 WORLDWIDE_SERIES = tuple(f"{WORLDWIDE}-{d}" for d in DIVISIONS)
 
 
+_INPUTS: dict[tuple[str, str], bt.PanelInputs] = {}
+
+
 def _inputs(spark: SparkSession, sf_dir: str) -> bt.PanelInputs:
-    return bt.PanelInputs(Tables(spark, sf_dir), checkpoint=True)
+    """Panel inputs of a table folder, checkpointed once per application.
+
+    Every query of the registry starts from the same keyed panel; keeping
+    the checkpointed panel per (application, folder) means the fact tables
+    are scanned once per session, not once per query.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INPUTS:
+        _INPUTS[key] = bt.PanelInputs(Tables(spark, sf_dir), checkpoint=True)
+    return _INPUTS[key]
 
 
 def weighted_fcst_monthly(spark, sf_dir):

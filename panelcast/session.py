@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,13 +63,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of a small, much-reused intermediate.
+    """Materialise a small, much-reused intermediate as a Parquet table in the
+    shared checkpoint folder and continue from that table.
 
-    Used for the quarterly panel: it is the product of the only passes over
-    the large fact tables and feeds every later branch (features for all
-    origins, ground truth, stage-2 frames). Checkpointing writes it once to
-    the shared checkpoint folder, so neither a later branch nor a lost
-    executor re-reads the fact tables.
+    Used for the quarterly panel (the product of the only passes over the
+    large fact tables, read by every later branch) and for the per-origin
+    frames and forecasts the model families share. The table survives the
+    loss of any executor, later plans start from a plain Parquet scan with
+    real size statistics (so the planner's broadcast size check sees the
+    true size), and no lineage or inferred constraints of the producing
+    plan are carried along. ``Dataset.checkpoint`` would also cut the
+    lineage, but it re-derives the constraints of the whole producing plan,
+    which explodes for 40-column frames filtered on every column.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/panelcast/{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
