@@ -33,6 +33,19 @@ class PanelInputs:
     def __init__(self, tables: Tables, checkpoint: bool = False):
         self.tables = tables
         self.checkpoint = checkpoint
+        self._kept: dict[tuple, DataFrame] = {}
+
+    def kept(self, key: tuple, make) -> DataFrame:
+        """``make()`` once per key; materialised when checkpointing is on.
+
+        Used for the small intermediates that several branches read (the
+        training frame, per-origin frames, forecasts, snapshots), so one run
+        computes each of them once.
+        """
+        if key not in self._kept:
+            df = make()
+            self._kept[key] = cut_lineage(df) if self.checkpoint else df
+        return self._kept[key]
 
     @cached_property
     def fact(self) -> DataFrame:
@@ -70,27 +83,34 @@ class PanelInputs:
 
 
 def training(inp: PanelInputs, p: RunParams) -> DataFrame:
-    return feat.training_frame(inp.keyed, inp.oil_q, p.start_date, p.interval, p.as_of,
-                               p.series, p.oil_leads)
+    return inp.kept(("training", p), lambda: feat.training_frame(
+        inp.keyed, inp.oil_q, p.start_date, p.interval, p.as_of, p.series, p.oil_leads))
+
+
+def training_sets(inp: PanelInputs, p: RunParams) -> DataFrame:
+    """Training rows of every origin (quarter < origin)."""
+    return inp.kept(("training_sets", p),
+                    lambda: feat.training_sets(training(inp, p), p.origins))
 
 
 def stage1_frames(inp: PanelInputs, p: RunParams) -> DataFrame:
-    return feat.inference_frames(inp.keyed, inp.oil_q, p.windows, p.series, p.mask_actuals,
-                                 p.oil_leads)
+    return inp.kept(("stage1", p), lambda: feat.inference_frames(
+        inp.keyed, inp.oil_q, p.windows, p.series, p.mask_actuals, p.oil_leads))
 
 
 def stage2_frames(inp: PanelInputs, p: RunParams) -> DataFrame:
-    return feat.inference_frames(inp.keyed, inp.oil_q, p.stage2_windows, p.series,
-                                 p.mask_actuals, p.oil_leads)
+    return inp.kept(("stage2", p), lambda: feat.inference_frames(
+        inp.keyed, inp.oil_q, p.stage2_windows, p.series, p.mask_actuals, p.oil_leads))
 
 
 def trend_forecasts(inp: PanelInputs, p: RunParams, seasonal_variants=(True, False)
                     ) -> DataFrame:
     """M10 forecasts of revenue and margin for every origin: (origin, quarter,
     series, rev, cm, model)."""
-    train = feat.training_sets(training(inp, p), p.origins)
-    horizon = stage1_frames(inp, p).select("origin", "quarter", "series")
-    return trend_forecast(train, horizon, seasonal_variants=seasonal_variants)
+    variants = tuple(seasonal_variants)
+    return inp.kept(("trend", p, variants), lambda: trend_forecast(
+        training_sets(inp, p), stage1_frames(inp, p).select("origin", "quarter", "series"),
+        seasonal_variants=variants))
 
 
 def margin_frames(inp: PanelInputs, p: RunParams, how: str = "inner") -> DataFrame:
@@ -104,7 +124,7 @@ def snapshots(inp: PanelInputs, p: RunParams, forecasts: DataFrame | None = None
               ) -> DataFrame:
     """C8 for every refresh of the walk-forward run."""
     if forecasts is None:
-        forecasts = trend_forecasts(inp, p)
+        return inp.kept(("snapshots", p), lambda: snapshots(inp, p, trend_forecasts(inp, p)))
     return score_forecasts(forecasts, ground_truth(training(inp, p)), p.origins)
 
 
@@ -113,7 +133,7 @@ def best_models(inp: PanelInputs, p: RunParams, rows_from: str | None = None,
     """C9/C10 for every refresh. The snapshot feeds three branches (errors,
     revenue rows, margin rows), so it is checkpointed once when the inputs are."""
     snap = snapshots(inp, p, forecasts)
-    if inp.checkpoint:
+    if forecasts is not None and inp.checkpoint:
         snap = cut_lineage(snap)
     return best_model(snap, p.lookback_months, p.series, rows_from)
 

@@ -37,61 +37,32 @@ def _stage(family: str, train: DataFrame, frames: DataFrame, target: str, featur
     raise ValueError(family)
 
 
-class ModelFrames:
-    """Training sets and stage-1/stage-2 frames of every origin, shared by all
-    families. Each is a few thousand rows; with checkpointing on they are
-    written once, so every family's plan starts from a small leaf (this also
-    keeps Catalyst's constraint propagation from growing with the width of
-    the 40-column frames and their aliases)."""
-
-    def __init__(self, inp: bt.PanelInputs, p: RunParams):
-        self.inp, self.p = inp, p
-        self._cache: dict[str, DataFrame] = {}
-
-    def _keep(self, name: str, make) -> DataFrame:
-        if name not in self._cache:
-            df = make()
-            self._cache[name] = cut_lineage(df) if self.inp.checkpoint else df
-        return self._cache[name]
-
-    @property
-    def train(self) -> DataFrame:
-        return self._keep("train", lambda: feat.training_sets(bt.training(self.inp, self.p),
-                                                               self.p.origins))
-
-    @property
-    def stage1(self) -> DataFrame:
-        return self._keep("stage1", lambda: bt.stage1_frames(self.inp, self.p))
-
-    @property
-    def stage2(self) -> DataFrame:
-        return self._keep("stage2", lambda: bt.stage2_frames(self.inp, self.p))
-
-    def keep(self, df: DataFrame) -> DataFrame:
-        return cut_lineage(df) if self.inp.checkpoint else df
+def two_stage(inp: bt.PanelInputs, p: RunParams, family: str) -> DataFrame:
+    """Revenue then margin forecasts of one family: (origin, quarter, series,
+    rev, cm, model). The revenue forecast and the stage-2 frames are
+    materialised (they feed the margin fit, the scoring and the final join)."""
+    return inp.kept(("two_stage", p, family), lambda: _two_stage(inp, p, family))
 
 
-def two_stage(inp: bt.PanelInputs, p: RunParams, family: str,
-              frames: ModelFrames | None = None) -> DataFrame:
-    """Revenue then margin forecasts of one family: (origin, quarter, series,
-    rev, cm, model)."""
-    mf = frames or ModelFrames(inp, p)
+def _two_stage(inp: bt.PanelInputs, p: RunParams, family: str) -> DataFrame:
+    train, stage1, stage2 = bt.training_sets(inp, p), bt.stage1_frames(inp, p), \
+        bt.stage2_frames(inp, p)
+    keep = cut_lineage if inp.checkpoint else (lambda d: d)
     if family == ridge.AR_DIRECT:
         rev_features, cm_features = feat.REV_FEATURES, feat.REV_FEATURES + AR_LAGGED
     else:
         rev_features, cm_features = feat.REV_FEATURES, feat.CM_FEATURES
-    rev = mf.keep(_stage(family, mf.train, mf.stage1, "rev", rev_features, p.origins))
+    rev = keep(_stage(family, train, stage1, "rev", rev_features, p.origins))
     how = "inner" if family == FOREST else "right"
-    frames2 = mf.keep(margin_inference(mf.stage2, rev, how))
-    cm = _stage(family, mf.train, frames2, "cm", cm_features, p.origins)
+    frames2 = keep(margin_inference(stage2, rev, how))
+    cm = _stage(family, train, frames2, "cm", cm_features, p.origins)
     return bt.combine_stage_forecasts(rev, cm).withColumn("model", F.lit(family))
 
 
 def all_forecasts(inp: bt.PanelInputs, p: RunParams, families=FAMILIES,
                   with_trend: bool = True) -> DataFrame:
     out = bt.trend_forecasts(inp, p) if with_trend else None
-    mf = ModelFrames(inp, p)
     for fam in families:
-        f = two_stage(inp, p, fam, mf).select("origin", "quarter", "series", "rev", "cm", "model")
+        f = two_stage(inp, p, fam).select("origin", "quarter", "series", "rev", "cm", "model")
         out = f if out is None else out.unionByName(f)
     return out
