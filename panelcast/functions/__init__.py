@@ -1,0 +1 @@
+"""Column helpers that stay JVM-side (no Python UDFs)."""

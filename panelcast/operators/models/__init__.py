@@ -1,0 +1 @@
+"""Model families: trend (SQL-checkable), ridge (additive, direct AR), forest."""

@@ -79,6 +79,11 @@ def best_model(snapshot: DataFrame, lookback_months: int = 12,
     return rev.join(cm, ["quarter", "series", "refresh_date"], "left").select(*BEST_COLUMNS)
 
 
+def inspect_models(snapshot: DataFrame, series: str, models: Sequence[str]) -> DataFrame:
+    """P20: the rows of one series for a few model labels, side by side."""
+    return snapshot.where((F.col("series") == series) & F.col("model").isin(list(models)))
+
+
 def latest_snapshot(store: DataFrame) -> DataFrame:
     """S5 + A10: rows of the newest refresh (scalar max joined back)."""
     newest = store.agg(F.max("refresh_date").alias("refresh_date"))

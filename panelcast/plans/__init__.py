@@ -1,0 +1 @@
+"""Composite plans, the query registry and the DuckDB oracle SQL."""

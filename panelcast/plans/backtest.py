@@ -49,7 +49,10 @@ class PanelInputs:
 
     @cached_property
     def fact(self) -> DataFrame:
-        return biz.sales_fact(self.tables)
+        """The one pass over lineitem and orders; both the weighted forecast
+        and the actuals read it, so it is materialised once when checkpointing."""
+        fact = biz.sales_fact(self.tables)
+        return cut_lineage(fact) if self.checkpoint else fact
 
     @cached_property
     def weighted(self) -> DataFrame:

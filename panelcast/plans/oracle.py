@@ -438,6 +438,9 @@ FROM train WHERE quarter < '{p.origins[0]}' AND cm IS NOT NULL AND rev IS NOT NU
         "earliest_snapshot": _with(panel, train, f1, trend, snap)
         + "\nSELECT * FROM snap WHERE refresh_date = (SELECT min(refresh_date) FROM snap)",
         "model_errors": _with(panel, train, f1, trend, snap, sel) + "\nSELECT * FROM errs",
+        "model_errors_short_window": _with(panel, train, f1, trend, snap, selection_ctes(4))
+        + "\nSELECT * FROM errs",
+        "winning_models": _with(panel, train, f1, trend, snap, sel) + "\nSELECT * FROM wins",
         "best_model": _with(panel, train, f1, trend, snap, sel, best_select()),
         "best_model_fixed_family": _with(panel, train, f1, trend, snap, sel,
                                          best_select(TREND)),

@@ -19,7 +19,7 @@ from ..operators.models.trend import TREND
 from ..operators.panel import (WORLDWIDE, actuals_quarterly, restrict_series, rig_quarterly,
                                weighted_quarterly)
 from ..operators.scoring import ground_truth
-from ..operators.selection import earliest_snapshot, latest_snapshot, model_errors
+from ..operators.selection import earliest_snapshot, latest_snapshot, model_errors, winners
 from ..sources.tables import Tables
 from . import backtest as bt
 from .params import RunParams
@@ -143,6 +143,17 @@ def model_errors_q(spark, sf_dir):
     return model_errors(bt.snapshots(_inputs(spark, sf_dir), PARAMS), PARAMS.lookback_months)
 
 
+def model_errors_short_window(spark, sf_dir):
+    """P16 variant: evaluation window of four months before the refresh."""
+    return model_errors(bt.snapshots(_inputs(spark, sf_dir), PARAMS), 4)
+
+
+def winning_models(spark, sf_dir):
+    """A9 + J10: best revenue model and best margin model per series and refresh."""
+    snap = bt.snapshots(_inputs(spark, sf_dir), PARAMS)
+    return winners(model_errors(snap, PARAMS.lookback_months))
+
+
 def best_model(spark, sf_dir):
     return bt.best_models(_inputs(spark, sf_dir), PARAMS)
 
@@ -191,6 +202,8 @@ SQL_CHECKED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_snapshot": latest_snapshot_q,
     "earliest_snapshot": earliest_snapshot_q,
     "model_errors": model_errors_q,
+    "model_errors_short_window": model_errors_short_window,
+    "winning_models": winning_models,
     "best_model": best_model,
     "best_model_fixed_family": best_model_fixed_family,
     "additive_frame": additive_frame,

@@ -1,0 +1 @@
+"""Table access, the business extracts and the snapshot store."""

@@ -17,10 +17,10 @@ oil prices         monthly mean ``o_totalprice``: WTI from 1-URGENT orders,
 eliminations       region AFRICA plays the eliminations basin (P3)
 =================  ===========================================================
 
-Money is summed as DECIMAL so that every engine and every shuffle order
-gives the same totals (float sums would differ in the last bits and could
-flip a half-even rounding tie). Measures stay DECIMAL inside; query edges
-cast to DOUBLE once.
+Money is summed exactly (integer cents in the large aggregations, DECIMAL
+on the small results) so that every engine and every shuffle order gives
+the same totals (float sums would differ in the last bits and could flip a
+half-even rounding tie). Query edges cast to DOUBLE once.
 
 Scale notes (lineitem and orders are the only large inputs):
 
@@ -57,10 +57,6 @@ BRENT_PRIORITY = "5-LOW"
 MARGIN_COST_SHARE = "0.6"
 WEIGHTED_MIN_YEAR = 1995  # kept: order year > 1995
 
-MONEY = "decimal(18,2)"
-RATE = "decimal(4,2)"
-
-
 def customer_geo(t: Tables) -> DataFrame:
     """customer -> (custkey, basin, division)."""
     nation = t.nation.select("n_nationkey", "n_regionkey")
@@ -73,27 +69,42 @@ def customer_geo(t: Tables) -> DataFrame:
             .select("custkey", "basin", "division"))
 
 
+def _cents(c: str) -> F.Column:
+    """Money/rate given as a double with two decimals -> exact integer hundredths."""
+    return F.round(F.col(c) * 100).cast("bigint")
+
+
 def sales_fact(t: Tables) -> DataFrame:
     """Net and gross sales by (order month, ship month, basin, division).
 
     The single pass over lineitem and orders shared by the weighted
     forecast (S1) and the actuals (S3). Its size is months^2 x basins x
     divisions, independent of the number of line items.
+
+    The large aggregations run on exact integers: net price in 1e-4 units
+    (cents x (100 - discount percent)), gross in cents. Spark's ``sum`` of a
+    DECIMAL widens it past 18 digits, which forces boxed BigDecimal buffers
+    and sort-based aggregation; bigint sums keep the fixed-width hash
+    aggregate (overflow raises under ANSI mode, it never wraps). The result
+    is turned into DECIMAL only on the small fact.
     """
-    net = F.col("ep") * (F.lit(1) - F.col("disc"))
-    lines = t.lineitem.select(F.col("l_orderkey").alias("orderkey"),
-                              month_start("l_shipdate").alias("ship_month"),
-                              F.col("l_extendedprice").cast(MONEY).alias("ep"),
-                              F.col("l_discount").cast(RATE).alias("disc"))
+    lines = t.lineitem.select(
+        F.col("l_orderkey").alias("orderkey"), month_start("l_shipdate").alias("ship_month"),
+        (_cents("l_extendedprice") * (F.lit(100) - _cents("l_discount"))).alias("net_e4"),
+        _cents("l_extendedprice").alias("gross_e2"))
     orders = t.orders.select(F.col("o_orderkey").alias("orderkey"),
                              F.col("o_custkey").alias("custkey"),
                              month_start("o_orderdate").alias("order_month"))
     per_customer = (lines.join(orders, "orderkey")
                     .groupBy("custkey", "order_month", "ship_month")
-                    .agg(F.sum(net).alias("net"), F.sum("ep").alias("gross")))
-    return (per_customer.join(customer_geo(t), "custkey")
+                    .agg(F.sum("net_e4").alias("net_e4"), F.sum("gross_e2").alias("gross_e2")))
+    fact = (per_customer.join(customer_geo(t), "custkey")
             .groupBy("order_month", "ship_month", "basin", "division")
-            .agg(F.sum("net").alias("net"), F.sum("gross").alias("gross")))
+            .agg(F.sum("net_e4").alias("net_e4"), F.sum("gross_e2").alias("gross_e2")))
+    return fact.select(
+        "order_month", "ship_month", "basin", "division",
+        (F.col("net_e4").cast("decimal(38,0)") / 10000).cast("decimal(38,4)").alias("net"),
+        (F.col("gross_e2").cast("decimal(38,0)") / 100).cast("decimal(38,2)").alias("gross"))
 
 
 def weighted_monthly(fact: DataFrame) -> DataFrame:
@@ -147,13 +158,14 @@ def rig_counts(t: Tables) -> DataFrame:
 
 def oil_prices(t: Tables) -> DataFrame:
     """Monthly (year_month, brent, wti) as mean order totals per priority."""
-    price = F.col("o_totalprice").cast(MONEY)
+    cents = _cents("o_totalprice")
     prio = F.col("o_orderpriority")
 
     def mean_of(p: str) -> F.Column:
-        s = F.sum(F.when(prio == p, price))
+        # exact cents sum -> double -> / 100 equals the DECIMAL sum cast to double
+        s = F.sum(F.when(prio == p, cents)).cast("double") / 100
         n = F.count(F.when(prio == p, F.lit(1)))
-        return F.try_divide(s.cast("double"), F.nullif(n, F.lit(0)).cast("double"))
+        return F.try_divide(s, F.nullif(n, F.lit(0)).cast("double"))
 
     return (t.orders.where(prio.isin(WTI_PRIORITY, BRENT_PRIORITY))
             .groupBy(month_start("o_orderdate").alias("month"))

@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The forecasting workflow this library rebuilds reads its sources once per
+run and iterates only over walk-forward origins in batch; it has no
+streams, watermarks, windows over event time or stateful operators. The
+walk-forward loop is expressed as one batch job over all origins
+(``panelcast.plans.backtest``), and snapshot appends are idempotent batch
+writes (``panelcast.sources.store``), so no streaming operator is built.
+"""
