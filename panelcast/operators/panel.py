@@ -66,9 +66,13 @@ def rig_quarterly(rig: DataFrame, excl_scenario: str = biz.RIG_EXCL,
                   all_scenario: str = biz.RIG_ALL) -> DataFrame:
     """A4 + A5 + P2: quarterly mean rig total per basin and scenario, plus Worldwide.
 
-    Worldwide is the *sum of the basin means* (two different aggregates,
-    so not a grouping set). Output keeps presence flags so the inner join
-    of J2 can drop (quarter, basin) cells that miss either scenario.
+    Worldwide is the *sum of the basin means* (two different aggregates).
+    Both levels come from one GROUPING SETS pass over the basin means: the
+    (quarter, basin) set holds one row per group and keeps the mean as is
+    (NULL stays NULL), the (quarter) set sums the basins that have the
+    scenario (0 if all their means are NULL). No self-union, so the rig
+    extract is scanned once. Presence flags let the inner join of J2 drop
+    (quarter, basin) cells that miss either scenario.
     """
     src = _quarter(rig).where(F.col("basin").isNotNull() & F.col("quarter").isNotNull()
                               & F.col("scenario").isNotNull())
@@ -79,15 +83,20 @@ def rig_quarterly(rig: DataFrame, excl_scenario: str = biz.RIG_EXCL,
                   F.max(is_ex).alias("has_ex"),
                   F.avg(F.when(is_all, F.col("rig_total"))).alias("rig_all"),
                   F.max(is_all).alias("has_all")))
-    world = (basin.groupBy("quarter")
-             .agg(_present_sum(F.when(F.col("has_ex"), F.col("rig_ex_china")), "has_ex")
-                  .alias("rig_ex_china"),
-                  F.max("has_ex").alias("has_ex"),
-                  _present_sum(F.when(F.col("has_all"), F.col("rig_all")), "has_all")
-                  .alias("rig_all"),
-                  F.max("has_all").alias("has_all"))
-             .withColumn("basin", F.lit(WORLDWIDE)))
-    return basin.unionByName(world)
+    world = F.grouping("basin") == 1
+
+    def level(value: str, flag: str) -> F.Column:
+        total = _present_sum(F.when(F.col(flag), F.col(value)), flag)
+        return F.when(world, total).otherwise(F.max(value))
+
+    agg = (basin.groupingSets([["quarter", "basin"], ["quarter"]], "quarter", "basin")
+           .agg(level("rig_ex_china", "has_ex").alias("rig_ex_china"),
+                F.max("has_ex").alias("has_ex"),
+                level("rig_all", "has_all").alias("rig_all"),
+                F.max("has_all").alias("has_all"),
+                _worldwide_basin().alias("basin_label")))
+    return agg.select("quarter", F.col("basin_label").alias("basin"), "rig_ex_china",
+                      "has_ex", "rig_all", "has_all")
 
 
 def actuals_quarterly(actuals: DataFrame, cm_scenario: str = biz.ACTUALS_CM,
