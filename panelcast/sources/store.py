@@ -66,13 +66,17 @@ def append_best(df: DataFrame, path: str) -> None:
      .partitionBy("refresh_date").parquet(path))
 
 
-def export_csv(df: DataFrame, path: str) -> None:
+def export_csv(df: DataFrame, path: str, sort_by: list[str] | None = None) -> None:
     """K4: CSV export of a stage output, with header.
 
-    Strings are written quoted as they are, so a division code ``N/A`` is
-    not turned into NULL on the way back (read it with ``nullValue`` unset).
+    ``sort_by`` orders the rows at this presentation edge only (O1, e.g. the
+    ground truth by series and quarter); it is a range-partitioned sort, so
+    the files come out in order without funnelling rows through one task.
+    Strings are written as they are, so a division code ``N/A`` is not
+    turned into NULL on the way back (read it with ``nullValue`` unset).
     """
-    df.write.mode("overwrite").option("header", True).csv(path)
+    out = df.orderBy(*sort_by) if sort_by else df
+    out.write.mode("overwrite").option("header", True).csv(path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
