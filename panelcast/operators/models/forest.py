@@ -30,7 +30,8 @@ MAX_DEPTH = 8
 
 
 def _fit_score(train: DataFrame, horizon: DataFrame, target: str, features: Sequence[str],
-               num_trees: int, seed: int, max_depth: int) -> DataFrame:
+               num_trees: int, seed: int, max_depth: int, save_to: str | None = None
+               ) -> DataFrame:
     indexer = StringIndexer(inputCol="series", outputCol="_series_idx",
                             handleInvalid="keep").fit(train)
     cols = list(features) + ["_series_idx"]
@@ -41,6 +42,9 @@ def _fit_score(train: DataFrame, horizon: DataFrame, target: str, features: Sequ
                                featureSubsetStrategy="all",
                                maxBins=max(32, len(indexer.labels) + 1))
     model = rf.fit(train_v)
+    if save_to is not None:  # K5: one pooled model per (target, origin)
+        model.write().overwrite().save(f"{save_to}/model")
+        indexer.write().overwrite().save(f"{save_to}/series_index")
     # scoring rows: NULL features count as 0 (N2), as for the additive model
     hz = horizon.fillna(0.0, subset=list(features))
     scored = model.transform(
@@ -52,15 +56,16 @@ def _fit_score(train: DataFrame, horizon: DataFrame, target: str, features: Sequ
 def forest_forecast(train_sets: DataFrame, horizon: DataFrame, target: str,
                     features: Sequence[str], origins: Sequence[str],
                     num_trees: int = NUM_TREES, seed: int = SEED, max_depth: int = MAX_DEPTH,
-                    parallelism: int = 4) -> DataFrame:
+                    parallelism: int = 4, artefacts: str | None = None) -> DataFrame:
     """Fit on complete training rows of each origin (``quarter < origin``),
     score that origin's horizon rows. Returns ``(origin, quarter, series, target)``."""
     complete = train_sets.dropna()
 
     def one(o: str) -> DataFrame:
+        save_to = None if artefacts is None else f"{artefacts}/{target}/{o}"
         return _fit_score(complete.where(F.col("origin") == o),
                           horizon.where(F.col("origin") == o), target, features,
-                          num_trees, seed, max_depth)
+                          num_trees, seed, max_depth, save_to)
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(origins)))) as pool:
         parts = list(pool.map(one, origins))

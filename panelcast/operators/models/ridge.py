@@ -141,25 +141,50 @@ def _mask_features(features: Sequence[str], worldwide_features: Sequence[str] |
     return out
 
 
-def additive_forecast(train: DataFrame, horizon: DataFrame, target: str,
-                      regressors: Sequence[str], keys: Sequence[str] = ("origin", "series"),
-                      penalty: float = DEFAULT_PENALTY,
-                      worldwide_features: Sequence[str] | None = None) -> DataFrame:
-    """M3 + M4: fit on complete training rows, score the horizon rows.
+def additive_fit(train: DataFrame, target: str, regressors: Sequence[str],
+                 keys: Sequence[str] = ("origin", "series"), penalty: float = DEFAULT_PENALTY,
+                 worldwide_features: Sequence[str] | None = None) -> DataFrame:
+    """M3: coefficients ``(keys, beta)`` from complete training rows."""
+    feats = ADDITIVE_TERMS + list(regressors)
+    masks = _mask_features(regressors, worldwide_features)
+    tr = _additive_terms(train)
+    tr = tr.withColumns(masks) if masks else tr
+    return fit(tr.dropna(), list(keys), feats, target, penalty)
+
+
+def additive_score(horizon: DataFrame, coefs: DataFrame, target: str,
+                   regressors: Sequence[str], keys: Sequence[str] = ("origin", "series"),
+                   worldwide_features: Sequence[str] | None = None) -> DataFrame:
+    """M4: score horizon rows with (fitted or loaded) coefficients.
 
-    ``train``/``horizon`` carry ``keys, quarter`` and the regressors. Horizon
-    regressors are zero-filled; series without a model forecast 0.
+    Horizon regressors are zero-filled; series without a model forecast 0.
     Returns ``(keys, quarter, target)``.
     """
     keys = list(keys)
     feats = ADDITIVE_TERMS + list(regressors)
     masks = _mask_features(regressors, worldwide_features)
-    tr = _additive_terms(train).withColumns(masks) if masks else _additive_terms(train)
-    coefs = fit(tr.dropna(), keys, feats, target, penalty)
     hz = _additive_terms(horizon)
     hz = hz.withColumns(masks) if masks else hz
     pred = F.coalesce(round2(dot(feats)), F.lit(0.0))
-    return hz.join(coefs, keys, "left").select(*keys, "quarter", pred.alias(target))
+    return hz.join(coefs.select(*keys, "beta"), keys, "left").select(*keys, "quarter",
+                                                                     pred.alias(target))
+
+
+def additive_forecast(train: DataFrame, horizon: DataFrame, target: str,
+                      regressors: Sequence[str], keys: Sequence[str] = ("origin", "series"),
+                      penalty: float = DEFAULT_PENALTY,
+                      worldwide_features: Sequence[str] | None = None,
+                      artefacts: str | None = None) -> DataFrame:
+    """M3 + M4: fit on complete training rows, score the horizon rows.
+
+    With ``artefacts`` the coefficients are also written to that
+    coefficient table (K5), keyed by family, target, origin and series.
+    """
+    coefs = additive_fit(train, target, regressors, keys, penalty, worldwide_features)
+    if artefacts is not None:
+        from ...sources.store import save_coefficients
+        save_coefficients(coefs, artefacts, ADDITIVE, target)
+    return additive_score(horizon, coefs, target, regressors, keys, worldwide_features)
 
 
 # --- M5/M6: direct multi-step autoregression ----------------------------------
@@ -167,7 +192,8 @@ def additive_forecast(train: DataFrame, horizon: DataFrame, target: str,
 def ar_direct_forecast(train: DataFrame, horizon: DataFrame, target: str,
                        regressors: Sequence[str], keys: Sequence[str] = ("origin", "series"),
                        lags: int = AR_LAGS, steps: int = AR_STEPS,
-                       penalty: float = DEFAULT_PENALTY) -> DataFrame:
+                       penalty: float = DEFAULT_PENALTY, artefacts: str | None = None
+                       ) -> DataFrame:
     """M5 + M6: one ridge per (keys, step h): ``y_t ~ y_{t-h} .. y_{t-h-lags+1}``
     plus the known-future regressors at t (row-based lags within the series).
 
@@ -187,6 +213,9 @@ def ar_direct_forecast(train: DataFrame, horizon: DataFrame, target: str,
                              for k in range(lags)}))
     feats = ar_names + list(regressors)
     coefs = fit(samples, keys + ["h"], feats, target, penalty)
+    if artefacts is not None:
+        from ...sources.store import save_coefficients
+        save_coefficients(coefs, artefacts, AR_DIRECT, target)
     # last `lags` known targets before the origin, newest first
     last = lagged.groupBy(*keys).agg(
         F.max_by(F.concat(F.array(F.col(target)), F.slice("_ylags", 1, lags - 1)),

@@ -91,9 +91,9 @@ def training(inp: PanelInputs, p: RunParams) -> DataFrame:
 
 
 def training_sets(inp: PanelInputs, p: RunParams) -> DataFrame:
-    """Training rows of every origin (quarter < origin)."""
-    return inp.kept(("training_sets", p),
-                    lambda: feat.training_sets(training(inp, p), p.origins))
+    """Training rows of every origin (quarter < origin): a narrow explode of
+    the materialised training frame, cheap enough to recompute per use."""
+    return feat.training_sets(training(inp, p), p.origins)
 
 
 def stage1_frames(inp: PanelInputs, p: RunParams) -> DataFrame:

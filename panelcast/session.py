@@ -80,4 +80,4 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/panelcast/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -41,6 +41,7 @@ COEFFICIENT_SCHEMA = T.StructType([
     T.StructField("target", T.StringType()),
     T.StructField("origin", T.StringType()),
     T.StructField("series", T.StringType()),
+    T.StructField("h", T.IntegerType()),
     T.StructField("beta", T.ArrayType(T.DoubleType())),
 ])
 
@@ -134,9 +135,11 @@ def history_before(spark: SparkSession, path: str, origin: str) -> DataFrame:
 
 
 def save_coefficients(coefs: DataFrame, path: str, family: str, target: str) -> None:
-    """K5: ridge coefficients ``(origin, series, beta)`` of one family/target."""
+    """K5: ridge coefficients ``(origin, series[, h], beta)`` of one family/target
+    (``h`` is the forecast step of the direct autoregression, NULL otherwise)."""
+    step = F.col("h").cast("int") if "h" in coefs.columns else F.lit(None).cast("int")
     (coefs.select(F.lit(family).alias("family"), F.lit(target).alias("target"), "origin",
-                  "series", "beta")
+                  "series", step.alias("h"), "beta")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("family", "target", "origin").parquet(path))
 
@@ -148,7 +151,7 @@ def load_coefficients(spark: SparkSession, path: str, family: str, target: str,
         (F.col("family") == family) & (F.col("target") == target))
     if origin is not None:
         df = df.where(F.col("origin") == origin)
-    return df.select("origin", "series", "beta")
+    return df.select("origin", "series", "h", "beta")
 
 
 def save_forest(model, path: str) -> None:

@@ -101,3 +101,34 @@ def test_forest_rows(spark):
     out = forest_forecast(train, horizon, "rev", ["x"], ["O"], num_trees=5)
     got = out.collect()
     assert len(got) == 8 and all(r.rev is not None for r in got)
+
+
+def test_saved_coefficients_score_like_the_fit(spark, scratch):
+    from panelcast.sources import store
+    rows = [("O", q, s, float(i % 3), 10.0 + i * (2 if s == "A" else 1))
+            for s in ("A", "B") for i, q in enumerate(QS)]
+    schema = "origin string, quarter string, series string, x double, rev double"
+    train = spark.createDataFrame([r for r in rows if r[1] < "2020Q1"], schema)
+    horizon = spark.createDataFrame([r for r in rows if r[1] >= "2020Q1"], schema).drop("rev")
+    path = f"{scratch}/coef"
+    direct = ridge.additive_forecast(train, horizon, "rev", ["x"], artefacts=path)
+    want = sorted(direct.collect())
+    loaded = store.load_coefficients(spark, path, ridge.ADDITIVE, "rev", "O")
+    again = sorted(ridge.additive_score(horizon, loaded, "rev", ["x"]).collect())
+    assert want == again and len(want) == 8
+    ar = ridge.ar_direct_forecast(train, horizon, "rev", ["x"], artefacts=f"{scratch}/ar")
+    assert ar.count() == 8
+    steps = {r.h for r in store.load_coefficients(spark, f"{scratch}/ar", ridge.AR_DIRECT,
+                                                  "rev").collect()}
+    assert steps == {1, 2, 3, 4}
+
+
+def test_forest_artefacts_reload(spark, scratch):
+    from panelcast.sources import store
+    rows = [("O", q, s, float(i % 5), 100.0 + i) for s in ("A", "B") for i, q in enumerate(QS)]
+    schema = "origin string, quarter string, series string, x double, rev double"
+    train = spark.createDataFrame(rows, schema)
+    forest_forecast(train, train.drop("rev"), "rev", ["x"], ["O"], num_trees=3,
+                    artefacts=f"{scratch}/rf").count()
+    model = store.load_forest(f"{scratch}/rf/rev/O/model")
+    assert model.getNumTrees == 3
