@@ -32,6 +32,7 @@ from pyspark.sql.window import Window
 
 from ...functions.calendar import quarter_index, quarter_number
 from ...functions.numeric import round2
+from ...session import ship_package
 
 ADDITIVE = "ADDITIVE"
 AR_DIRECT = "AR_DIRECT"
@@ -103,6 +104,7 @@ def fit(rows: DataFrame, keys: Sequence[str], features: Sequence[str], target: s
         out["beta"] = [None if beta is None else beta.tolist()]
         return out
 
+    ship_package(rows.sparkSession)
     return gram(rows, keys, features, target).groupBy(*keys).applyInPandas(solve, schema)
 
 

@@ -7,8 +7,10 @@ its settings except where a value is unset.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +40,28 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``panelcast`` importable in the Python workers, as ``--py-files`` would.
+
+    Only the grouped ridge solve runs Python on executors; its function is
+    pickled by reference to this package. The package is zipped once per
+    application and added with ``addPyFile``; Spark serves the file to every
+    executor itself. Harmless where the package is installed already.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = Path(__file__).resolve().parent
+    out = tempfile.mkdtemp(prefix="panelcast-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out, "panelcast"), "zip",
+                                  root_dir=str(pkg.parent), base_dir=pkg.name)
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory, taking it from the session.
 
