@@ -27,6 +27,10 @@ FOREST = "FOREST"
 NUM_TREES = 100
 SEED = 42
 MAX_DEPTH = 8
+# Above this many series the series is not used as a categorical feature:
+# maxBins (and the per-node split statistics of every tree) would grow with
+# the number of series. The pooled forest then splits on the regressors only.
+MAX_SERIES_CATEGORIES = 512
 
 
 def _fit_score(train: DataFrame, horizon: DataFrame, target: str, features: Sequence[str],
@@ -34,13 +38,14 @@ def _fit_score(train: DataFrame, horizon: DataFrame, target: str, features: Sequ
                ) -> DataFrame:
     indexer = StringIndexer(inputCol="series", outputCol="_series_idx",
                             handleInvalid="keep").fit(train)
-    cols = list(features) + ["_series_idx"]
+    by_series = len(indexer.labels) <= MAX_SERIES_CATEGORIES
+    cols = list(features) + (["_series_idx"] if by_series else [])
     train_v = VectorAssembler(inputCols=cols, outputCol="_x", handleInvalid="skip").transform(
         indexer.transform(train))
+    bins = max(32, len(indexer.labels) + 1) if by_series else 32
     rf = RandomForestRegressor(featuresCol="_x", labelCol=target, predictionCol="_pred",
                                numTrees=num_trees, seed=seed, maxDepth=max_depth,
-                               featureSubsetStrategy="all",
-                               maxBins=max(32, len(indexer.labels) + 1))
+                               featureSubsetStrategy="all", maxBins=bins)
     model = rf.fit(train_v)
     if save_to is not None:  # K5: one pooled model per (target, origin)
         model.write().overwrite().save(f"{save_to}/model")
