@@ -31,6 +31,10 @@ MAX_DEPTH = 8
 # maxBins (and the per-node split statistics of every tree) would grow with
 # the number of series. The pooled forest then splits on the regressors only.
 MAX_SERIES_CATEGORIES = 512
+# Tree nodes split per pass over the data: a larger budget means fewer passes
+# (levels of all trees are grouped), and cached node ids spare re-walking the
+# trees each pass. 1 GiB per executor is a modest share on a cluster node.
+MAX_MEMORY_MB = 1024
 
 
 def _fit_score(train: DataFrame, horizon: DataFrame, target: str, features: Sequence[str],
@@ -45,7 +49,8 @@ def _fit_score(train: DataFrame, horizon: DataFrame, target: str, features: Sequ
     bins = max(32, len(indexer.labels) + 1) if by_series else 32
     rf = RandomForestRegressor(featuresCol="_x", labelCol=target, predictionCol="_pred",
                                numTrees=num_trees, seed=seed, maxDepth=max_depth,
-                               featureSubsetStrategy="all", maxBins=bins)
+                               featureSubsetStrategy="all", maxBins=bins,
+                               maxMemoryInMB=MAX_MEMORY_MB, cacheNodeIds=True)
     model = rf.fit(train_v)
     if save_to is not None:  # K5: one pooled model per (target, origin)
         model.write().overwrite().save(f"{save_to}/model")
