@@ -29,8 +29,11 @@ def pct_error(pred, actual) -> Column:
     """signed whole-percent error ``rint(((p - a) / a) * 100)``.
 
     A zero actual gives NULL instead of +-inf (ANSI division would raise).
+    A result of zero is always +0.0: ``rint`` of a small negative ratio gives
+    -0.0, which grouping and distinct would fold into +0.0 anyway.
     """
-    return F.rint(F.try_divide(_col(pred) - _col(actual), _col(actual)) * 100)
+    e = F.rint(F.try_divide(_col(pred) - _col(actual), _col(actual)) * 100)
+    return F.when(e == 0, F.lit(0.0)).otherwise(e)
 
 
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:

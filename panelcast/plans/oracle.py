@@ -256,7 +256,8 @@ fc AS (
 
 def snapshot_ctes(p: RunParams = PARAMS) -> str:
     refs = origins_values(p)
-    err = "round_even((({p} - {a}) / nullif({a}, 0)) * 100, 0)"
+    err = ("CASE WHEN round_even((({p} - {a}) / nullif({a}, 0)) * 100, 0) = 0 "
+           "THEN CAST(0 AS DOUBLE) ELSE round_even((({p} - {a}) / nullif({a}, 0)) * 100, 0) END")
     return f""",
 rrows AS (
   SELECT quarter, series, cm, rev, model, origin AS refresh_date FROM fc

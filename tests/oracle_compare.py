@@ -34,7 +34,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return v + 0.0  # -0.0 -> 0.0
+        return v  # -0.0 stays distinct from 0.0: a value hash may tell them apart
     if hasattr(v, "item"):
         return _norm(v.item())
     return v
@@ -43,7 +43,7 @@ def _norm(v):
 def canonical(df: pd.DataFrame) -> list[tuple]:
     cols = sorted(df.columns)
     rows = [tuple(_norm(v) for v in r) for r in df[cols].itertuples(index=False, name=None)]
-    return sorted(rows, key=lambda r: tuple((x is None, str(x)) for x in r))
+    return sorted(rows, key=lambda r: tuple((x is None, repr(x)) for x in r))
 
 
 def compare(spark, sf_dir: str, name: str, query, sql: str, con=None) -> dict:
@@ -64,7 +64,7 @@ def compare(spark, sf_dir: str, name: str, query, sql: str, con=None) -> dict:
         out["match"] = False
         return out
     a, b = canonical(s), canonical(d)
-    out["values_match"] = a == b
+    out["values_match"] = [tuple(map(repr, r)) for r in a] == [tuple(map(repr, r)) for r in b]
     if not out["values_match"] and len(a) == len(b):
         diffs = [(x, y) for x, y in zip(a, b) if x != y]
         out["n_diff_rows"] = len(diffs)
