@@ -194,8 +194,8 @@ def additive_forecast(train: DataFrame, horizon: DataFrame, target: str,
 def ar_direct_forecast(train: DataFrame, horizon: DataFrame, target: str,
                        regressors: Sequence[str], keys: Sequence[str] = ("origin", "series"),
                        lags: int = AR_LAGS, steps: int = AR_STEPS,
-                       penalty: float = DEFAULT_PENALTY, artefacts: str | None = None
-                       ) -> DataFrame:
+                       penalty: float = DEFAULT_PENALTY, artefacts: str | None = None,
+                       worldwide_features: Sequence[str] | None = None) -> DataFrame:
     """M5 + M6: one ridge per (keys, step h): ``y_t ~ y_{t-h} .. y_{t-h-lags+1}``
     plus the known-future regressors at t (row-based lags within the series).
 
@@ -207,6 +207,9 @@ def ar_direct_forecast(train: DataFrame, horizon: DataFrame, target: str,
     w = Window.partitionBy(*keys).orderBy("quarter")
     max_lag = steps + lags - 1
     complete = train.dropna()  # complete cases in every column (trap 22)
+    masks = _mask_features(regressors, worldwide_features)     # M7
+    if masks:
+        complete, horizon = complete.withColumns(masks), horizon.withColumns(masks)
     lagged = complete.withColumn("_ylags", F.array(*[F.lag(target, k).over(w)
                                                      for k in range(1, max_lag + 1)]))
     ar_names = [f"_ar{k}" for k in range(lags)]

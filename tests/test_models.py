@@ -132,3 +132,25 @@ def test_forest_artefacts_reload(spark, scratch):
                     artefacts=f"{scratch}/rf").count()
     model = store.load_forest(f"{scratch}/rf/rev/O/model")
     assert model.getNumTrees == 3
+
+
+def test_worldwide_regressor_list_masks_features(spark):
+    """M7: a regressor outside a series' list gets a zero coefficient."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for s in ("Worldwide-X", "EU-X"):
+        for i, q in enumerate(QS):
+            a, b = float(rng.normal()), float(rng.normal())
+            rows.append(("O", q, s, a, b, 5.0 + 3.0 * a + 2.0 * b))
+    schema = "origin string, quarter string, series string, a double, b double, rev double"
+    train = spark.createDataFrame(rows, schema)
+    coefs = {r.series: r.beta for r in
+             ridge.additive_fit(train, "rev", ["a", "b"], penalty=1e-9,
+                                worldwide_features=["a"]).collect()}
+    # features: 4 additive terms, then a, b (beta[0] is the intercept)
+    # the kept coefficient absorbs the dropped regressor as noise (24 rows): loose bound
+    assert coefs["Worldwide-X"][6] == 0.0 and abs(coefs["Worldwide-X"][5] - 3.0) < 1.5
+    assert coefs["EU-X"][5] == 0.0 and abs(coefs["EU-X"][6] - 2.0) < 1.5
+    out = ridge.ar_direct_forecast(train, train.drop("rev"), "rev", ["a", "b"],
+                                   worldwide_features=["a"])
+    assert out.count() == len(rows)
