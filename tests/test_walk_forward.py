@@ -24,3 +24,11 @@ def test_walk_forward_store_is_idempotent_and_carries_history(spark, scratch):
         {"2000Q1", "2000Q2", "2000Q3", "2000Q4"}
     keys = all_rows.select("refresh_date", "quarter", "series", "model")
     assert keys.count() == keys.distinct().count()
+
+
+def test_command_line_run(spark, scratch, capsys):
+    from panelcast.plans.walk_forward import main
+    main(["--tables", SF, "--store", scratch, "--origins", "1", "--trend-only"])
+    out = capsys.readouterr().out
+    assert "snapshot rows:" in out and "best-model rows:" in out
+    assert store.read_snapshots(spark, f"{scratch}/snapshots").count() > 0
