@@ -48,7 +48,8 @@ def refresh_rows(forecasts: DataFrame, refreshes: Sequence[str],
     n = len(refreshes)
     pos = F.array_position(arr, F.col("origin")).cast("int")  # 1-based
     nxt = F.element_at(arr, pos + 1) if n > 1 else F.lit(None).cast("string")
-    base = forecasts.select("origin", *FORECAST_COLUMNS)
+    # forecasts of an origin outside ``refreshes`` belong to no snapshot of this run
+    base = forecasts.select("origin", *FORECAST_COLUMNS).where(pos > 0)
     own = base.withColumn("refresh_date", F.col("origin"))
     carried = (base.where((pos < n) & (F.col("quarter") < nxt))
                .withColumn("refresh_date", F.explode(F.slice(arr, pos + 1, F.lit(n) - pos))))

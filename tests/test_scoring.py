@@ -91,3 +91,12 @@ def test_history_rows_are_carried(spark):
     assert rows.where("model = 'OLD'").count() == 1
     truth = spark.createDataFrame(TRUTH, "quarter string, series string, cm double, rev double")
     assert score(rows, ground_truth(truth)).count() == rows.count()
+
+
+def test_forecasts_of_other_origins_are_ignored(spark):
+    fc = spark.createDataFrame(forecasts() + [("2020Q4", "2021Q1", "S", 1.0, 1.0, "M1")],
+                               FC_SCHEMA)
+    rows = refresh_rows(fc, REFRESHES)
+    assert rows.where("cm = 1.0").count() == 0
+    clean = refresh_rows(spark.createDataFrame(forecasts(), FC_SCHEMA), REFRESHES)
+    assert rows.count() == clean.count()
