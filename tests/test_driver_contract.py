@@ -25,3 +25,13 @@ def test_python_udf_runs_outside_the_repo(tmp_path):
     res = subprocess.run([sys.executable, "-c", SCRIPT], cwd=tmp_path, capture_output=True,
                          text=True, timeout=600)
     assert "ROWS 4" in res.stdout, res.stderr[-3000:]
+
+
+def test_entry_smoke_has_stable_schema(spark):
+    import __spark_entry__ as E
+    from panelcast.operators.selection import BEST_COLUMNS
+    first = E.entry(spark)
+    assert tuple(first.columns) == BEST_COLUMNS
+    assert first.count() > 0
+    again = E.entry(spark)
+    assert again.schema.simpleString() == first.schema.simpleString()
