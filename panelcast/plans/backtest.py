@@ -2,10 +2,12 @@
 selection, all origins in one job.
 
 ``PanelInputs`` is the only part that reads the fact tables. With
-``checkpoint=True`` the keyed panel and the quarterly oil prices are
-checkpointed to the session's shared checkpoint folder once, so the many
-later branches (features per origin, stage-2 frames, ground truth,
-scoring) read a few thousand rows instead of re-scanning lineitem.
+``checkpoint=True`` every small intermediate that several branches read is
+written once to the session's shared checkpoint folder (``kept``): the
+sales fact (the one pass over lineitem and orders), the keyed panel, the
+quarterly oil prices, the training frame, the stage-1 and stage-2 frames of
+all origins, the forecasts and the snapshots. Later branches then read a
+few thousand rows instead of re-running the plan that produced them.
 """
 
 from __future__ import annotations
