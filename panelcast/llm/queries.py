@@ -11,18 +11,44 @@ from pyspark.sql import functions as F
 from .common import table
 from .exact_dedup import exact_classes
 from .mixing import mix
+from .packing import pack_documents
+from .quality import quality
+from .records import token_records
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(table(sf_dir, "documents"))
 
 
+def _vocabulary(name: str) -> str:
+    """Path of a public vocabulary file; the default of the queries only."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def op3_exact_dedup(spark, sf_dir):
     out = exact_classes(_documents(spark, sf_dir), keep="largest")
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size",
                       F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
+def op4_quality_rules(spark, sf_dir):
+    out = quality(_documents(spark, sf_dir), _vocabulary("piece_bpe_32k.model"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                      "n_repeat_words", "base_failed", "kept", "chars_per_token", "byte_share",
+                      "token_entropy", "script")
+
+
+def op5_token_records(spark, sf_dir):
+    out = token_records(_documents(spark, sf_dir), _vocabulary("byte_bpe_50k.json"), end_id=2)
+    return out.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op6_best_fit_packing(spark, sf_dir):
+    out = pack_documents(_documents(spark, sf_dir), _vocabulary("word_bpe_49k.json"), end_id=1)
+    return out.withColumnRenamed("id", "doc_id")
+
+
 def op8_mixing(spark, sf_dir):
     out = mix(_documents(spark, sf_dir))
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target",
@@ -31,5 +57,8 @@ def op8_mixing(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_token_records": op5_token_records,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op8_mixing": op8_mixing,
 }
