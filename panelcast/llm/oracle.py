@@ -10,6 +10,15 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id IS NOT DISTINCT FROM g.keep_i
 FROM d JOIN g USING (t)
 """
 
+OP7 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+g AS (SELECT h, max(page_id) AS kept FROM p WHERE strlen(h) >= 1000 GROUP BY h)
+SELECT p.page_id, strlen(p.h) AS payload_bytes, sha1(p.h) AS payload_digest,
+       CASE WHEN p.page_id <> g.kept THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN p.page_id <> g.kept THEN g.kept END AS refers_to
+FROM p LEFT JOIN g ON p.h = g.h
+"""
+
 OP8 = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
@@ -51,4 +60,4 @@ FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
 JOIN m ON d.source IS NOT DISTINCT FROM m.source AND d.place = m.place
 """
 
-ORACLES: dict[str, str] = {"op3_exact_dedup": OP3, "op8_mixing": OP8}
+ORACLES: dict[str, str] = {"op3_exact_dedup": OP3, "op7_warc": OP7, "op8_mixing": OP8}

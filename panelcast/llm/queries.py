@@ -14,6 +14,7 @@ from .mixing import mix
 from .packing import pack_documents
 from .quality import quality
 from .records import token_records
+from .warc import archive_pages
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +50,12 @@ def op6_best_fit_packing(spark, sf_dir):
     return out.withColumnRenamed("id", "doc_id")
 
 
+def op7_warc(spark, sf_dir):
+    out = archive_pages(spark.read.parquet(table(sf_dir, "pages")))
+    return out.select("page_id", "payload_bytes", F.col("payload_sha1").alias("payload_digest"),
+                      "record_type", "refers_to")
+
+
 def op8_mixing(spark, sf_dir):
     out = mix(_documents(spark, sf_dir))
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target",
@@ -60,5 +67,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_token_records": op5_token_records,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_warc": op7_warc,
     "op8_mixing": op8_mixing,
 }
