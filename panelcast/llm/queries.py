@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .exact_dedup import exact_classes
+from .language import fold, identify, learn
 from .mixing import mix
 from .packing import pack_documents
 from .quality import quality
@@ -62,6 +63,13 @@ def op8_mixing(spark, sf_dir):
                       (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op10_language_id(spark, sf_dir):
+    docs = _documents(spark, sf_dir)
+    held_out = fold(F.col("doc_id")) == 2
+    out = identify(docs, learn(docs.filter(~held_out).select("lang", "text")))
+    return out.select(F.col("id").alias("doc_id"), (fold(F.col("id")) == 2).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_quality_rules": op4_quality_rules,
@@ -69,4 +77,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_warc": op7_warc,
     "op8_mixing": op8_mixing,
+    "op10_language_id": op10_language_id,
 }
