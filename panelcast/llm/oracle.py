@@ -2,6 +2,30 @@
 
 from __future__ import annotations
 
+OP1 = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+  FROM documents),
+w AS (
+  SELECT *, regexp_matches(line, '[^\x20\x09-\x0D]') AS has_word,
+         sum(regexp_matches(line, '[^\x20\x09-\x0D]')::INT) OVER (PARTITION BY doc_id ORDER BY i) AS k
+  FROM l),
+v AS (
+  SELECT doc_id, k, line, lead(line, 1) OVER o AS line2, lead(line, 2) OVER o AS line3
+  FROM w WHERE has_word WINDOW o AS (PARTITION BY doc_id ORDER BY k)),
+r AS (
+  SELECT doc_id, k, row_number() OVER (PARTITION BY line, line2, line3 ORDER BY doc_id, k) > 1 AS late
+  FROM v WHERE line3 IS NOT NULL),
+g AS (SELECT DISTINCT doc_id, unnest([k, k + 1, k + 2]) AS k FROM r WHERE late),
+m AS (
+  SELECT w.*, has_word AND g.k IS NOT NULL AS gone
+  FROM w LEFT JOIN g ON w.doc_id = g.doc_id AND w.k = g.k)
+SELECT doc_id, count(*) FILTER (has_word) AS n_lines, count(*) FILTER (gone) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
 OP3 = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
@@ -60,4 +84,29 @@ FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
 JOIN m ON d.source IS NOT DISTINCT FROM m.source AND d.place = m.place
 """
 
-ORACLES: dict[str, str] = {"op3_exact_dedup": OP3, "op7_warc": OP7, "op8_mixing": OP8}
+OP9 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+u AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+v AS (
+  SELECT doc_id, i, word, string_agg(word, ' ') OVER f AS s, count(*) OVER f AS n FROM u
+  WINDOW f AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+r AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1 AS late FROM v WHERE n = 20),
+m AS (
+  SELECT v.doc_id, v.i, v.word,
+         coalesce(bool_or(r.late) OVER (PARTITION BY v.doc_id ORDER BY v.i
+                                        ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), false) AS gone
+  FROM v LEFT JOIN r ON v.doc_id = r.doc_id AND v.i = r.i),
+k AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed,
+         string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+  FROM m GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(k.n_removed, 0) AS n_removed,
+       sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_line_dedup": OP1, "op3_exact_dedup": OP3, "op7_warc": OP7, "op8_mixing": OP8,
+    "op9_substring_dedup": OP9,
+}

@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from .common import table
 from .exact_dedup import exact_classes
 from .language import fold, identify, learn
+from .line_dedup import line_dedup
 from .mixing import mix
 from .packing import pack_documents
 from .quality import quality
 from .records import token_records
+from .substring_dedup import substring_dedup
 from .warc import archive_pages
 
 
@@ -28,6 +30,12 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark, sf_dir):
+    out = line_dedup(_documents(spark, sf_dir))
+    return out.select(F.col("id").alias("doc_id"), "n_lines", "n_removed",
+                      F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op3_exact_dedup(spark, sf_dir):
     out = exact_classes(_documents(spark, sf_dir), keep="largest")
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size",
@@ -63,6 +71,12 @@ def op8_mixing(spark, sf_dir):
                       (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op9_substring_dedup(spark, sf_dir):
+    out = substring_dedup(_documents(spark, sf_dir))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed",
+                      F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_language_id(spark, sf_dir):
     docs = _documents(spark, sf_dir)
     held_out = fold(F.col("doc_id")) == 2
@@ -71,11 +85,13 @@ def op10_language_id(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_token_records": op5_token_records,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_warc": op7_warc,
     "op8_mixing": op8_mixing,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
 }
