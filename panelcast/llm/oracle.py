@@ -26,6 +26,30 @@ SELECT doc_id, count(*) FILTER (has_word) AS n_lines, count(*) FILTER (gone) AS
 FROM m GROUP BY doc_id
 """
 
+OP2 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS g FROM d),
+n AS (SELECT doc_id, len(g) AS n FROM s),
+u AS (SELECT doc_id, unnest(g) AS g FROM s),
+p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o
+  FROM u a JOIN u b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (
+  SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+  WHERE 100 * o >= 75 * (a.n + b.n - o)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (
+  SELECT doc_id AS x, doc_id AS c FROM n
+  UNION
+  SELECT e.y, r.c FROM r JOIN e ON e.x = r.x WHERE r.c < e.y)
+SELECT n.doc_id, n.n AS n_shingles, min(r.c) AS component_id
+FROM n JOIN r ON r.x = n.doc_id GROUP BY 1, 2
+"""
+
 OP3 = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
@@ -107,6 +131,6 @@ FROM d LEFT JOIN k USING (doc_id)
 """
 
 ORACLES: dict[str, str] = {
-    "op1_line_dedup": OP1, "op3_exact_dedup": OP3, "op7_warc": OP7, "op8_mixing": OP8,
+    "op1_line_dedup": OP1, "op2_ngram_jaccard_join": OP2, "op3_exact_dedup": OP3, "op7_warc": OP7, "op8_mixing": OP8,
     "op9_substring_dedup": OP9,
 }

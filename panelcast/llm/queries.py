@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .exact_dedup import exact_classes
+from .jaccard_join import jaccard_components
 from .language import fold, identify, learn
 from .line_dedup import line_dedup
 from .mixing import mix
@@ -36,6 +37,10 @@ def op1_line_dedup(spark, sf_dir):
                       F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op2_ngram_jaccard_join(spark, sf_dir):
+    return jaccard_components(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 def op3_exact_dedup(spark, sf_dir):
     out = exact_classes(_documents(spark, sf_dir), keep="largest")
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size",
@@ -86,6 +91,7 @@ def op10_language_id(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_token_records": op5_token_records,
