@@ -14,8 +14,8 @@
 
 Edge cases: a null text counts as empty (all empty texts form one group); a null
 id never wins over another id, and a group of null ids only keeps null; rows
-repeated under one id count each, and every row with the kept id is kept; an
-empty table gives an empty result; other columns are ignored.
+repeated under one id count each, and every row with the kept id is kept; rows
+without an id can't be addressed, so ``exact_dedup`` leaves them in; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -67,10 +67,19 @@ def exact_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return plain.unionByName(odd)
 
 
+def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str,
+            key_of: Callable[[Column], Column]) -> DataFrame:
+    """``docs`` less the rows whose id and text key are in ``gone`` (``id, key``).
+    Rows without an id can't be named and stay."""
+    names = gone.distinct().select(F.col("id").alias("__id"), F.col("key").alias("__key"))
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    same = (F.col(f"`{id_col}`").cast("long") == F.col("__id")) & (key_of(text) == F.col("__key"))
+    return docs.join(cut_lineage(names), same, "left_anti")
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 keep: str = "smallest") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    gone = (exact_classes(docs, id_col, text_col, keep)
-            .filter(~F.col("id").eqNullSafe(F.col("keep_id"))).select("id"))
-    gone = cut_lineage(gone.distinct()).withColumnRenamed("id", "__gone")
-    return docs.join(gone, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__gone")), "left_anti")
+    classes = exact_classes(docs, id_col, text_col, keep)
+    gone = classes.filter(~F.col("id").eqNullSafe(F.col("keep_id"))).select("id", F.col("hash").alias("key"))
+    return without(docs, gone, id_col, text_col, content_hash)

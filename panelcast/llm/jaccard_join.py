@@ -44,13 +44,14 @@ from pyspark.sql import functions as F
 from . import blobs
 from .common import cut_lineage, narrow, ship_package
 from .components import components
+from .exact_dedup import without
 from .textblocks import LOWER_ASCII, blocks, mix, run_hashes, word_hashes
 
 SHINGLE, PERCENT = 5, 75
 UNIT_SHINGLES, BUCKET_SHINGLES, BLOCK_SHINGLES = 2_000_000, 2_000_000, 4_000_000
 HOT_SHARE = 1024
 LOW48 = np.uint64((1 << 48) - 1)
-SETS = "kind int, id long, n long, k1 long, k2 long"
+SETS = "kind int, id long, body long, n long, k1 long, k2 long"
 CELLS = "bucket int, kind int, unit long, cell binary"
 CANDIDATES = "node long, n long, k1 long, k2 long, held long, prefix array<long>, tokens binary"
 
@@ -105,7 +106,8 @@ def document_sets(docs: DataFrame, unit_shingles: int = UNIT_SHINGLES) -> DataFr
             hot &= count >= 16
             n = int(hot.sum())
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(n, np.int32)), pa.array(values[at[:-1]][hot].view(np.int64)), pa.array(count[hot]),
+                [pa.array(np.ones(n, np.int32)), pa.array(values[at[:-1]][hot].view(np.int64)),
+                 pa.array(np.zeros(n, np.int64)), pa.array(count[hot]),
                  pa.array(np.zeros(n, np.int64)), pa.array(np.zeros(n, np.int64))], names)
 
         for batch in batches:
@@ -114,7 +116,7 @@ def document_sets(docs: DataFrame, unit_shingles: int = UNIT_SHINGLES) -> DataFr
                 k1, k2 = set_keys(hashes, off)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.zeros(block.n, np.int32)), batch.column("id").slice(block.first, block.n),
-                     pa.array(np.diff(off)), pa.array(k1), pa.array(k2)], names)
+                     batch.column("body").slice(block.first, block.n), pa.array(np.diff(off)), pa.array(k1), pa.array(k2)], names)
                 held.append(hashes)
                 size, n_docs = size + len(hashes), n_docs + block.n
                 if size >= unit_shingles:
@@ -123,7 +125,7 @@ def document_sets(docs: DataFrame, unit_shingles: int = UNIT_SHINGLES) -> DataFr
         if size:
             yield frequent()
 
-    return docs.select("id", "text").mapInArrow(scan, SETS)
+    return docs.select("id", "text", F.xxhash64("text").alias("body")).mapInArrow(scan, SETS)
 
 
 def deal_shingles(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], n_buckets: int,
@@ -387,13 +389,13 @@ def similar_sets(candidates: DataFrame, percent: int = PERCENT, block_shingles:
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text",
                        unit_shingles: int = UNIT_SHINGLES, bucket_shingles: int = BUCKET_SHINGLES,
                        block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """``id, n_shingles, component_id`` for every row of ``docs``."""
+    """``id, body, n_shingles, component_id`` for every row of ``docs`` (body: a text hash)."""
     if not 50 <= percent <= 100:
         raise ValueError("percent is 50 to 100")
     ship_package(docs.sparkSession)
     base = narrow(docs, id_col, text_col)
     scanned = cut_lineage(document_sets(base, unit_shingles))
-    sets = scanned.filter("kind = 0").select("id", "n", "k1", "k2")
+    sets = scanned.filter("kind = 0").select("id", "body", "n", "k1", "k2")
     n_docs, total = sets.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).head()
     hot = (scanned.filter("kind = 1").groupBy("id").agg(F.sum("n").alias("n"))
            .filter(F.col("n") >= n_docs / (2 * HOT_SHARE)).orderBy("id").toArrow())
@@ -411,7 +413,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "d
     alone = F.col("root").isNull()
     # A component is a root, else a class of equal sets, else (no shingles) the row's id.
     labelled = labelled.select(
-        "id", "n", F.when(F.col("n") == 0, 0).when(alone, 1).otherwise(2).alias("c0"),
+        "id", "body", "n", F.when(F.col("n") == 0, 0).when(alone, 1).otherwise(2).alias("c0"),
         F.when(F.col("n") == 0, 0).otherwise(F.coalesce("root", "k1")).alias("c1"),
         F.when(F.col("n") == 0, F.coalesce("id", F.lit(0))).when(alone, F.col("k2")).otherwise(0).alias("c2"))
     labelled = cut_lineage(labelled)
@@ -419,5 +421,13 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "d
     low = cut_lineage(labelled.groupBy(key.alias("c")).agg(F.min("id").alias("component_id"), F.count(F.lit(1)).alias("m"))
                       .filter("m > 1").drop("m"))
     return (labelled.withColumn("c", key).join(low, "c", "left")
-            .select("id", F.col("n").alias("n_shingles"),
+            .select("id", "body", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("component_id", "id")).alias("component_id")))
+
+
+def near_dedup(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: of each component that
+    with the smallest id. Rows without an id can't be addressed and stay."""
+    found = jaccard_components(docs, percent, id_col, text_col)
+    gone = found.filter(F.col("id") != F.col("component_id")).select("id", F.col("body").alias("key"))
+    return without(docs, gone, id_col, text_col, F.xxhash64)

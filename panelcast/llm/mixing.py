@@ -19,7 +19,7 @@ document of its target.
 
 Edge cases: a null text has size 0; sources of size 0 have target 0 and their
 documents are not taken; a null source is a source of its own and comes last; a
-null id hashes its text instead; rows repeated under one id are taken together;
+null id hashes its text instead; rows repeated under one id are taken alike;
 an empty table gives an empty result; other columns are ignored.
 """
 
@@ -39,13 +39,20 @@ def hash_line(key: Column) -> Column:
     return F.conv(F.substring(F.md5(key.cast("binary")), 1, HASH_DIGITS), 16, 10).cast("long")
 
 
+def size_and_place(id_: Column, text: Column) -> tuple[Column, Column]:
+    """Words of a text, and its place on the hash line of its source."""
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    key = F.coalesce(id_.cast("long").cast("string"), F.concat(F.lit("text:"), text))
+    return word_count(text), hash_line(key)
+
+
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           source_col: str = "source") -> DataFrame:
-    """``id, source, size, place``: the only pass over the texts."""
+    """``id, source, size, place``."""
     rows = narrow(docs, id_col, text_col, source=source_col)
-    key = F.coalesce(F.col("id").cast("string"), F.concat(F.lit("text:"), F.col("text")))
+    size, place = size_and_place(F.col("id"), F.col("text"))
     return rows.select("id", F.col("source").cast("string").alias("source"),
-                       word_count(F.col("text")).alias("size"), hash_line(key).alias("place"))
+                       size.alias("size"), place.alias("place"))
 
 
 def cycle_weights(sources: DataFrame, cycle: tuple[int, ...] = (3, 1, 2)) -> DataFrame:
@@ -120,21 +127,19 @@ def thresholds(sizes: DataFrame, budgets: DataFrame) -> DataFrame:
     return exact.groupBy("source").agg(F.coalesce(F.min(outside), F.max(above)).alias("threshold"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: DataFrame | None = None, share: tuple[int, int] = (3, 2), max_repeat: int = 2,
-        cycle: tuple[int, ...] = (3, 1, 2)) -> DataFrame:
-    """``id, source, size, place, source_size, target, copies`` for every row of ``docs``.
+def source_plan(sizes: DataFrame, weights: DataFrame | None = None, share: tuple[int, int] = (3, 2),
+                max_repeat: int = 2, cycle: tuple[int, ...] = (3, 1, 2)) -> DataFrame:
+    """One row per source: ``p_source, source_size, target, whole, threshold``. A document
+    is taken ``whole`` times, and once more if its place is below the threshold.
 
     ``weights`` (``source, weight`` with positive integers) replaces the weights by
-    rank; sources missing from it are left out of the mix (target 0).
-    """
-    sizes = cut_lineage(sized(docs, id_col, text_col, source_col))
-    by_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    rank; sources missing from it are left out of the mix (target 0)."""
+    by_source = cut_lineage(sizes.groupBy("source").agg(F.sum("size").alias("source_size")))
     if weights is None:
         weighted = cycle_weights(by_source, cycle)
     else:
         w = weights.select(F.col("source").alias("w_source"), F.col("weight").cast("long").alias("weight"))
-        weighted = by_source.join(w, by_source["source"].eqNullSafe(w["w_source"])).drop("w_source")
+        weighted = by_source.join(w, F.col("source").eqNullSafe(F.col("w_source"))).drop("w_source")
     plan = cut_lineage(
         targets(weighted, share, max_repeat)
         .withColumn("whole", F.when(F.col("source_size") > 0,
@@ -142,28 +147,39 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")))
     cut = cut_lineage(thresholds(sizes, plan.filter("source_size > 0")))
     cut = cut.select(F.col("source").alias("c_source"), "threshold")
-    plan = plan.join(cut, F.col("source").eqNullSafe(F.col("c_source")), "left").drop("c_source")
-    plan = plan.withColumnRenamed("source", "p_source")
-    inside = F.coalesce((F.col("place") < F.col("threshold")).cast("long"), F.lit(0).cast("long"))
-    copies = F.when(F.col("size") > 0, F.coalesce("whole", F.lit(0).cast("long")) + inside).otherwise(0)
-    own = sizes.groupBy("source").agg(F.sum("size").alias("own")).withColumnRenamed("source", "o_source")
-    joined = sizes.join(plan, F.col("source").eqNullSafe(F.col("p_source")), "left")
-    if weights is not None:
-        joined = (joined.drop("source_size")
-                  .join(own.withColumnRenamed("own", "source_size"),
-                        F.col("source").eqNullSafe(F.col("o_source")), "left"))
-    return joined.select("id", "source", "size", "place", "source_size",
-                         F.coalesce("target", F.lit(0.0)).alias("target"), copies.cast("long").alias("copies"))
-
-
-def mixed(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of the mix with all columns of ``docs``, a repeated document once per copy.
+    plan = (plan.select(F.col("source").alias("t_source"), "target", "whole")
+            .join(cut, F.col("t_source").eqNullSafe(F.col("c_source")), "left"))
+    zero = F.lit(0).cast("long")
+    return cut_lineage(
+        by_source.join(plan, F.col("source").eqNullSafe(F.col("t_source")), "left").select(
+            F.col("source").alias("p_source"), "source_size", F.coalesce("target", F.lit(0.0)).alias("target"),
+            F.coalesce("whole", zero).alias("whole"), F.coalesce("threshold", zero).alias("threshold")))
 
-    Rows are found again by id; of rows repeated under one id, each appears with
-    the copies of that id.
-    """
-    plan = (mix(docs, id_col, **options).filter("copies > 0")
-            .select(F.col("id").alias("__id"), F.col("copies").alias("__copies")).distinct())
-    out = docs.join(cut_lineage(plan), F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__id")))
-    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))
-    return out.withColumn("__copy", each).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+def copies(size: Column, place: Column) -> Column:
+    """How often a document joined with its source's plan is taken."""
+    return F.when(size > 0, F.col("whole") + (place < F.col("threshold")).cast("long")).otherwise(0).cast("long")
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+        **options) -> DataFrame:
+    """``id, source, size, place, source_size, target, copies`` for every row of ``docs``."""
+    sizes = cut_lineage(sized(docs, id_col, text_col, source_col))
+    plan = source_plan(sizes, **options)
+    joined = sizes.join(plan, F.col("source").eqNullSafe(F.col("p_source")))
+    return joined.select("id", "source", "size", "place", "source_size", "target",
+                         copies(F.col("size"), F.col("place")).alias("copies"))
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+          **options) -> DataFrame:
+    """The rows of the mix with all columns of ``docs``, a repeated document once per copy.
+    Rows are judged where they stand, against the plan of their source; texts don't move."""
+    plan = source_plan(cut_lineage(sized(docs, id_col, text_col, source_col)), **options)
+    plan = plan.select(*[F.col(c).alias(f"__{c}") for c in plan.columns])
+    size, place = size_and_place(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+    joined = docs.join(plan, F.col(f"`{source_col}`").cast("string").eqNullSafe(F.col("__p_source")))
+    n = F.when(size > 0, F.col("__whole") + (place < F.col("__threshold")).cast("long")).otherwise(0)
+    out = joined.withColumn("__n", n).filter("__n > 0").withColumn(
+        "__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n").cast("long"))))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

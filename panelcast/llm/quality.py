@@ -20,8 +20,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import narrow, ship_package
 from .textblocks import CONTINUATION, SEPARATORS, Block, blocks, bounds, run_hashes, window_starts, word_hashes
@@ -73,7 +74,7 @@ def _script_of_lead() -> np.ndarray:
 
 
 _LEAD = _script_of_lead()
-STATS = ("id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+STATS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
          "script string, n_tokens long, byte_share double, token_entropy double")
 
 
@@ -156,38 +157,49 @@ def block_stats(block: Block, vocabulary: str) -> dict[str, np.ndarray]:
     }
 
 
-def document_stats(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Counts and fertility measures of every document (columns of ``STATS``)."""
+def with_stats(docs: DataFrame, vocabulary: str, text_col: str = "text", name: str = "__stats") -> DataFrame:
+    """All columns of ``docs`` and a struct ``name`` of counts and measures (``STATS``)."""
     ship_package(docs.sparkSession)
-    names = [c.split()[0] for c in STATS.split(", ")]
+    fields = [c.split()[0] for c in STATS.split(", ")]
+    text_of = docs.columns.index(text_col)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(text_of)):
                 got = block_stats(block, vocabulary)
-                ids = batch.column(0).slice(block.first, block.n)
-                yield pa.RecordBatch.from_arrays(
-                    [ids, *[pa.array(got[c], from_pandas=True) for c in names[1:]]], names)
+                stats = pa.StructArray.from_arrays([pa.array(got[c], from_pandas=True) for c in fields], fields)
+                rows = batch.slice(block.first, block.n)
+                yield pa.RecordBatch.from_arrays([*rows.columns, stats], [*batch.schema.names, name])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.StructType.fromDDL(STATS))])
+    return docs.mapInArrow(measure, schema)
+
 
-    return narrow(docs, id_col, text_col).mapInArrow(measure, STATS)
+def document_stats(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id`` and the counts and fertility measures of every document."""
+    return with_stats(narrow(docs, id_col, text_col), vocabulary).select("id", "__stats.*")
 
 
-def judge(stats: DataFrame, bands: dict[str, Band] = BANDS, min_words: int = MIN_WORDS,
-          repeat_percent: int = REPEAT_PERCENT) -> DataFrame:
-    """Adds ``base_failed``, ``chars_per_token``, ``band_failed`` and ``kept``."""
-    base = (F.col("n_words") < min_words) | (
-        100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
-    outside = F.lit(False)
+def verdict(stats: str = "", bands: dict[str, Band] = BANDS, min_words: int = MIN_WORDS,
+            repeat_percent: int = REPEAT_PERCENT) -> dict[str, Column]:
+    """``base_failed``, ``chars_per_token`` and ``kept`` over columns with prefix ``stats``."""
+    c = lambda name: F.col(stats + name)
+    base = (c("n_words") < min_words) | (100 * c("n_repeat_words") > repeat_percent * c("n_words"))
+    chars = F.when(c("n_tokens") > 0, c("word_chars") / c("n_tokens"))
+    inside = F.lit(False)
     for script, b in bands.items():
-        bad = (~F.col("chars_per_token").between(*b.chars_per_token) | (F.col("byte_share") > b.byte_share)
-               | ~F.col("token_entropy").between(*b.entropy)
-               | (F.col("n_symbols") > b.symbols_per_token * F.col("n_tokens")))
-        outside = outside | ((F.col("script") == script) & F.coalesce(bad, F.lit(True)))
-    return (stats.withColumn("base_failed", base)
-            .withColumn("chars_per_token", F.when(F.col("n_tokens") > 0, F.col("word_chars") / F.col("n_tokens")))
-            .withColumn("band_failed", outside)
-            .withColumn("kept", ~F.col("base_failed") & ~F.col("band_failed")))
+        fits = (chars.between(*b.chars_per_token) & (c("byte_share") <= b.byte_share)
+                & c("token_entropy").between(*b.entropy) & (c("n_symbols") <= b.symbols_per_token * c("n_tokens")))
+        inside = inside | ((c("script") == script) & F.coalesce(fits, F.lit(False)))
+    return {"base_failed": base, "chars_per_token": chars, "kept": ~base & inside}
 
 
 def quality(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", **rules) -> DataFrame:
-    return judge(document_stats(docs, vocabulary, id_col, text_col), **rules)
+    """The measures and the verdict for every row of ``docs``."""
+    return document_stats(docs, vocabulary, id_col, text_col).withColumns(verdict(**rules))
+
+
+def good_documents(docs: DataFrame, vocabulary: str, text_col: str = "text", **rules) -> DataFrame:
+    """The rows of ``docs`` that pass, with all their columns."""
+    judged = with_stats(docs, vocabulary, text_col)
+    return judged.filter(verdict("__stats.", **rules)["kept"]).drop("__stats")

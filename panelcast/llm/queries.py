@@ -25,7 +25,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(table(sf_dir, "documents"))
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     """Path of a public vocabulary file; the default of the queries only."""
     import public_tokenizers
     return public_tokenizers.path(name)
@@ -38,7 +38,8 @@ def op1_line_dedup(spark, sf_dir):
 
 
 def op2_ngram_jaccard_join(spark, sf_dir):
-    return jaccard_components(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+    out = jaccard_components(_documents(spark, sf_dir))
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
 def op3_exact_dedup(spark, sf_dir):
@@ -48,19 +49,19 @@ def op3_exact_dedup(spark, sf_dir):
 
 
 def op4_quality_rules(spark, sf_dir):
-    out = quality(_documents(spark, sf_dir), _vocabulary("piece_bpe_32k.model"))
+    out = quality(_documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
     return out.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
                       "n_repeat_words", "base_failed", "kept", "chars_per_token", "byte_share",
                       "token_entropy", "script")
 
 
 def op5_token_records(spark, sf_dir):
-    out = token_records(_documents(spark, sf_dir), _vocabulary("byte_bpe_50k.json"), end_id=2)
+    out = token_records(_documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), end_id=2)
     return out.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op6_best_fit_packing(spark, sf_dir):
-    out = pack_documents(_documents(spark, sf_dir), _vocabulary("word_bpe_49k.json"), end_id=1)
+    out = pack_documents(_documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), end_id=1)
     return out.withColumnRenamed("id", "doc_id")
 
 
