@@ -32,22 +32,17 @@ from ..functions.numeric import complete_cases, fill_zero, round_numeric
 from .panel import restrict_series
 
 # Panel measure -> feature name.
-RENAMES = {"weighted_fcst": "c4c_rev", "rig_ex_china": "gac_rev", "rig_all": "gaca_rev"}
+RENAMES = {"weighted_fcst": "pipeline", "rig_ex_china": "rig_ex", "rig_all": "rig_all"}
 # Feature prefix -> source column of the lagged/lead covariates.
-COVARIATES = {"gac": "gac_rev", "gaca": "gaca_rev", "c4c": "c4c_rev", "wti": "wti",
+COVARIATES = {"rig_ex": "rig_ex", "rig_all": "rig_all", "pipeline": "pipeline", "wti": "wti",
               "brent": "brent"}
 LAGS = (1, 2, 3)
 LEADS = (1, 2)
 TARGET_LAGS = (1, 2, 3)
-BASE_COLUMNS = ("quarter", "series", "c4c_rev", "gac_rev", "gaca_rev", "cm", "rev", "brent",
+BASE_COLUMNS = ("quarter", "series", "pipeline", "rig_ex", "rig_all", "cm", "rev", "brent",
                 "wti")
 
 
-def covariate_feature_names() -> list[str]:
-    return [f"{p}_lag{k}" for p in COVARIATES for k in LAGS] + \
-           [f"{p}_lead{k}" for p in COVARIATES for k in LEADS]
-
-
 def rev_lag_names() -> list[str]:
     return [f"rev_lag{k}" for k in TARGET_LAGS]
 
@@ -61,9 +56,9 @@ def feature_names() -> list[str]:
 
 
 # The reference's model feature lists, in our column names.
-REV_FEATURES = ["c4c_rev", "gac_rev", "brent", "wti",
-                "gac_lag1", "gac_lag2", "gac_lag3", "gac_lead1", "gac_lead2",
-                "c4c_lag1", "c4c_lag2", "c4c_lag3", "c4c_lead1", "c4c_lead2",
+REV_FEATURES = ["pipeline", "rig_ex", "brent", "wti",
+                "rig_ex_lag1", "rig_ex_lag2", "rig_ex_lag3", "rig_ex_lead1", "rig_ex_lead2",
+                "pipeline_lag1", "pipeline_lag2", "pipeline_lag3", "pipeline_lead1", "pipeline_lead2",
                 "wti_lag1", "wti_lag2", "wti_lag3", "wti_lead1", "wti_lead2",
                 "brent_lag1", "brent_lag2", "brent_lag3", "brent_lead1", "brent_lead2"]
 CM_FEATURES = ["rev"] + REV_FEATURES + ["rev_lag1", "rev_lag2", "rev_lag3"]
@@ -200,20 +195,21 @@ def recency_weights(train: DataFrame, origins: Sequence[str], true_dates: bool =
     (over all series) before the origin, and its weight tier.
 
     ``true_dates=False`` reads ``YYYYQn`` as year and month n, as the
-    reference does (F12). The newest date is a grouped max per origin joined
-    back on the origin, never a global window (which would pull every row
-    into one task).
+    reference does (F12). The newest date is a scalar subquery per origin, neither a
+    global window (which would pull every row into one task) nor a join on the origin
+    (whose few values would).
     """
-    rows = training_sets(complete_cases(train), origins)
     to_date_ = quarter_start if true_dates else literal_quarter_date
-    rows = rows.withColumn("d", to_date_("quarter"))
-    newest = rows.groupBy("origin").agg(F.max("d").alias("newest"))
-    days = F.datediff(F.col("newest"), F.col("d"))
+    complete = complete_cases(train).withColumn("d", to_date_("quarter"))
+    newest = F.coalesce(*[  # one scalar per origin: no join on a key of few values
+        F.when(F.col("origin") == o,
+               complete.where(F.col("quarter") < o).select(F.max("d")).scalar()) for o in origins])
+    rows = training_sets(complete, origins)
+    days = F.datediff(newest, F.col("d"))
     weight = (F.when(days < 90, 1.0).when(days < 270, 0.9).when(days < 360, 0.8)
               .when(days < 540, 0.7).otherwise(0.5))
-    return (rows.join(newest, "origin")
-            .select("origin", "quarter", "series", days.alias("days_elapsed"),
-                    weight.alias("weight")))
+    return rows.select("origin", "quarter", "series", days.alias("days_elapsed"),
+                       weight.alias("weight"))
 
 
 def pickup_dates(first_pickup, count: int, step_months: int = 3) -> list[_dt.date]:

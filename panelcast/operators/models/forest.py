@@ -1,14 +1,16 @@
 """M1/M2: random-forest regression with MLlib, pooled over series.
 
 The reference fits one 100-tree forest per series in a driver loop. Here
-one forest is fitted per (target, origin) on the rows of *all* series,
-with the series as a categorical feature (``StringIndexer``; ``maxBins`` is
-raised to the number of series so every series can be split on). This is
-a semantic change - trees share strength across series - chosen because a
-per-series loop of MLlib fits does not scale (each fit is several Spark
-jobs); the tree learner itself is distributed. Origins are fitted in
-parallel driver threads (their number is a run parameter, not data size),
-each on its own rows only, so no origin sees later actuals.
+one forest is fitted per (target, origin) on the rows of *all* series. What a
+series is enters as three numbers computed over the origin's training rows: the
+mean target of the series, of its basin and of its division. These are the same
+columns for 25 series and for a million, no label list is collected, and a
+tree can still separate any two series by their means. Pooling is a semantic
+change - trees share strength across series - chosen because a per-series loop
+of MLlib fits does not scale (each fit is several Spark jobs); the tree learner
+itself is distributed. Origins are fitted in parallel driver threads (their
+number is a run parameter, not data size), each on its own rows only, so no
+origin sees later actuals.
 """
 
 from __future__ import annotations
@@ -16,9 +18,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ...functions.numeric import round2
@@ -26,41 +29,74 @@ from ...functions.numeric import round2
 FOREST = "FOREST"
 NUM_TREES = 100
 SEED = 42
-MAX_DEPTH = 8
-# Above this many series the series is not used as a categorical feature:
-# maxBins (and the per-node split statistics of every tree) would grow with
-# the number of series. The pooled forest then splits on the regressors only.
-MAX_SERIES_CATEGORIES = 512
+# A run parameter (RunParams.forest_depth). Trees of this depth over rows of a few
+# quarters per series are nearly full; MLlib allows 30 at most.
+MAX_DEPTH = 12
 # Tree nodes split per pass over the data: a larger budget means fewer passes
 # (levels of all trees are grouped), and cached node ids spare re-walking the
 # trees each pass. 1 GiB per executor is a modest share on a cluster node.
 MAX_MEMORY_MB = 1024
+MEANS = ["_series_mean", "_basin_mean", "_division_mean"]
+
+
+def _parts(df: DataFrame) -> DataFrame:
+    """Basin and division of ``basin-division`` (the division follows the last dash)."""
+    return df.withColumns({"_basin": F.regexp_replace("series", "-[^-]*$", ""),
+                           "_division": F.regexp_extract("series", "([^-]*)$", 1)})
+
+
+def target_means(train: DataFrame, target: str) -> DataFrame:
+    """``series, _series_mean, _basin_mean, _division_mean`` over the training rows
+    (exact: cents are summed as integers)."""
+    cents = F.round(F.col(target) * 100).cast("decimal(38,0)")
+    sums = _parts(train.groupBy("series").agg(F.sum(cents).alias("s"), F.count(target).alias("n")))
+    mean = lambda s, n: (s.cast("double") / n / 100)
+    out = sums.select("series", "_basin", "_division", mean(F.col("s"), F.col("n")).alias("_series_mean"))
+    for key in ("_basin", "_division"):
+        group = sums.groupBy(key).agg(mean(F.sum("s"), F.sum("n")).alias(f"{key}_mean"))
+        out = out.join(group, key)
+    return out.select("series", *MEANS)
+
+
+def design(rows: DataFrame, means: DataFrame) -> DataFrame:
+    """Rows with the three means; series that were not trained get those of no series (0)."""
+    return rows.join(means, "series", "left").fillna(0.0, subset=MEANS)
+
+
+def score_forest(horizon: DataFrame, means: DataFrame, model, target: str,
+                 features: Sequence[str]) -> DataFrame:
+    """M2: score with a fitted or loaded model; NULL features count as 0."""
+    rows = design(horizon.fillna(0.0, subset=list(features)), means)
+    vectors = VectorAssembler(inputCols=[*features, *MEANS], outputCol="_x", handleInvalid="error")
+    return model.transform(vectors.transform(rows)).select(
+        "origin", "quarter", "series", round2("_pred").alias(target))
+
+
+def load_forest(spark: SparkSession, path: str, target: str, origin: str):
+    """``(means, model)`` of one target and origin."""
+    at = f"{path}/{target}/{origin}"
+    return spark.read.parquet(f"{at}/means"), RandomForestRegressionModel.load(f"{at}/model")
 
 
 def _fit_score(train: DataFrame, horizon: DataFrame, target: str, features: Sequence[str],
                num_trees: int, seed: int, max_depth: int, save_to: str | None = None
                ) -> DataFrame:
-    indexer = StringIndexer(inputCol="series", outputCol="_series_idx",
-                            handleInvalid="keep").fit(train)
-    by_series = len(indexer.labels) <= MAX_SERIES_CATEGORIES
-    cols = list(features) + (["_series_idx"] if by_series else [])
-    train_v = VectorAssembler(inputCols=cols, outputCol="_x", handleInvalid="skip").transform(
-        indexer.transform(train))
-    bins = max(32, len(indexer.labels) + 1) if by_series else 32
+    means = target_means(train, target)
+    vectors = VectorAssembler(inputCols=[*features, *MEANS], outputCol="_x", handleInvalid="skip")
+    rows = vectors.transform(design(train, means)).select("_x", target)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # read by every pass of the learner
     rf = RandomForestRegressor(featuresCol="_x", labelCol=target, predictionCol="_pred",
                                numTrees=num_trees, seed=seed, maxDepth=max_depth,
-                               featureSubsetStrategy="all", maxBins=bins,
-                               maxMemoryInMB=MAX_MEMORY_MB, cacheNodeIds=True)
-    model = rf.fit(train_v)
-    if save_to is not None:  # K5: one pooled model per (target, origin)
+                               featureSubsetStrategy="all", maxMemoryInMB=MAX_MEMORY_MB,
+                               cacheNodeIds=True)
+    try:
+        model = rf.fit(rows)
+    finally:
+        rows.unpersist()
+    if save_to is not None:  # K5: one pooled model per (target, origin), with its encoding
         model.write().overwrite().save(f"{save_to}/model")
-        indexer.write().overwrite().save(f"{save_to}/series_index")
-    # scoring rows: NULL features count as 0 (N2), as for the additive model
-    hz = horizon.fillna(0.0, subset=list(features))
-    scored = model.transform(
-        VectorAssembler(inputCols=cols, outputCol="_x", handleInvalid="error").transform(
-            indexer.transform(hz)))
-    return scored.select("origin", "quarter", "series", round2("_pred").alias(target))
+        means.write.mode("overwrite").parquet(f"{save_to}/means")
+    return score_forest(horizon, means, model, target, features)
 
 
 def forest_forecast(train_sets: DataFrame, horizon: DataFrame, target: str,

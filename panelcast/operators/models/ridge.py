@@ -1,22 +1,22 @@
-"""Per-series ridge regressions from distributed Gram sums (M3-M7).
+"""Per-series ridge regressions, all groups at once (M3-M7).
 
 The reference fits one additive trend/seasonality/regressor model and one
 autoregressive multi-step model per series, in a driver loop. Here every
-(origin, series[, horizon]) group is fitted at once:
-
-1. each training row contributes the upper triangle of ``z z^T`` with
-   ``z = [1, x_1..x_m, y]`` as long-form rows ``(keys, i, j, z_i*z_j)``;
-2. ``groupBy(keys, i, j).sum`` builds X'X, X'y and y'y with map-side
-   partial aggregation, so no training group is ever collected;
-3. ``applyInPandas`` receives one Gram per group - (m+2)(m+3)/2 rows,
-   bounded by the number of features, not by the data - centres and
-   standardises it and solves the ridge system with numpy;
-4. scoring joins the coefficient arrays back and takes a dot product with
+(origin, series[, horizon]) group is fitted in one grouped job:
+
+1. training rows are grouped by their keys; a group is bounded by the calendar
+   (quarters of history), not by the data, and moves as raw rows (a long-form
+   Gram of k features would move k^2/2 numbers for each of them);
+2. ``applyInPandas`` sorts the group by quarter, so that its sums do not depend on
+   partitioning, builds its Gram, standardises it and solves the ridge system;
+3. scoring joins the coefficient arrays back and takes a dot product with
    ``aggregate(zip_with(x, beta))``, JVM-side.
 
 With about 20 quarters per series and 24-28 regressors there are more
 features than rows, so the ridge penalty is mandatory, not a tuning nicety.
-Features with no variance in a group get a zero coefficient.
+A feature with no variance in a group, judged against its own size, gets a zero
+coefficient; so the fit is the same in any currency unit. ``gram`` is the
+long-form Gram in SQL terms; the normal equations are checked with it.
 """
 
 from __future__ import annotations
@@ -38,8 +38,9 @@ ADDITIVE = "ADDITIVE"
 AR_DIRECT = "AR_DIRECT"
 
 DEFAULT_PENALTY = 1.0
+LIVE_SHARE = 1e-12
 AR_LAGS = 4
-AR_STEPS = 4
+AR_STEPS = 4  # default of a direct call; a run takes its own horizon (RunParams.interval)
 
 
 def gram(rows: DataFrame, keys: Sequence[str], features: Sequence[str], target: str
@@ -77,7 +78,8 @@ def solve_gram(g: np.ndarray, penalty: float) -> np.ndarray | None:
     sxx = g[1:m + 1, 1:m + 1] / n - np.outer(mean, mean)
     sxy = g[1:m + 1, m + 1] / n - mean * ybar
     var = np.clip(np.diag(sxx), 0.0, None)
-    live = var > 1e-12 * max(1.0, float(np.max(var, initial=0.0)))
+    # Judged against the feature's own mean square, never against another feature.
+    live = var > LIVE_SHARE * np.diag(g)[1:m + 1] / n
     beta = np.zeros(m)
     if live.any():
         sd = np.sqrt(var[live])
@@ -89,28 +91,60 @@ def solve_gram(g: np.ndarray, penalty: float) -> np.ndarray | None:
 
 
 def fit(rows: DataFrame, keys: Sequence[str], features: Sequence[str], target: str,
-        penalty: float = DEFAULT_PENALTY) -> DataFrame:
+        penalty: float = DEFAULT_PENALTY, order: str = "quarter") -> DataFrame:
     """Coefficients ``(keys, beta array<double>)`` for complete training rows."""
-    keys = list(keys)
-    rows = rows.dropna(subset=[*features, target])
-    key_fields = [f for f in rows.schema.fields if f.name in keys]
-    schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in key_fields],
+    keys, columns = list(keys), [*features, target]
+    rows = rows.dropna(subset=columns).select(*keys, order, *columns)
+    schema = T.StructType([*[rows.schema[k] for k in keys],
                            T.StructField("beta", T.ArrayType(T.DoubleType()))])
-    size = len(features) + 2
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        g = np.zeros((size, size))
-        i = pdf["i"].to_numpy()
-        j = pdf["j"].to_numpy()
-        g[i, j] = pdf["g"].to_numpy()
-        g[j, i] = pdf["g"].to_numpy()
-        beta = solve_gram(g, penalty)
+        pdf = pdf.sort_values([order, *columns])
+        z = np.column_stack([np.ones(len(pdf)), pdf[columns].to_numpy(np.float64)])
+        beta = solve_gram(z.T @ z, penalty)
         out = pdf.iloc[:1][keys].copy()
         out["beta"] = [None if beta is None else beta.tolist()]
         return out
 
     ship_package(rows.sparkSession)
-    return gram(rows, keys, features, target).groupBy(*keys).applyInPandas(solve, schema)
+    return rows.groupBy(*keys).applyInPandas(solve, schema)
+
+
+def normal_equations(rows: DataFrame, coefs: DataFrame, keys: Sequence[str], features: Sequence[str],
+                     target: str, penalty: float = DEFAULT_PENALTY, tolerance: float = 1e-6) -> DataFrame:
+    """``(keys, n_rows, n_live, solved)``: whether the coefficients of each group satisfy
+    the ridge normal equations, from the Gram sums in SQL (:func:`gram`).
+
+    For a live feature j: ``sum_i S_ij b_i + penalty * S_jj * b_j = S_jy`` with centred
+    second moments S; for others ``b_j = 0``; and the residuals sum to zero.
+    """
+    keys, m = list(keys), len(features)
+    complete = rows.dropna(subset=[*features, target])
+    long = gram(complete, keys, features, target)
+    one = long.where("i = 0 and j = 0").select(*keys, F.col("g").alias("n"))
+    mean = long.where("i = 0").select(*keys, F.col("j").alias("k"), F.col("g").alias("s"))
+    full = long.unionByName(long.where("i < j").select(
+        *keys, F.col("j").alias("i"), F.col("i").alias("j"), "g")).where("i >= 1 and j >= 1")
+    mi = mean.select(*keys, F.col("k").alias("i"), F.col("s").alias("si"))
+    mj = mean.select(*keys, F.col("k").alias("j"), F.col("s").alias("sj"))
+    s = (full.join(one, keys).join(mi, keys + ["i"]).join(mj, keys + ["j"])
+         .withColumn("c", F.col("g") / F.col("n") - F.col("si") / F.col("n") * F.col("sj") / F.col("n")))
+    diag = s.where(F.col("i") == F.col("j")).where(F.col("i") <= m).select(
+        *keys, F.col("i").alias("d"), F.col("c").alias("var"), (F.col("g") / F.col("n")).alias("square"))
+    live = diag.withColumn("live", F.col("var") > LIVE_SHARE * F.col("square"))
+    b = coefs.select(*keys, F.posexplode("beta").alias("k", "b")).where("k >= 1")
+    lhs = (s.where(f"i <= {m} and j <= {m}").join(b.withColumnRenamed("k", "i"), keys + ["i"])
+           .groupBy(*keys, "j").agg(F.sum(F.col("c") * F.col("b")).alias("lhs"),
+                                    F.sum(F.abs(F.col("c") * F.col("b"))).alias("scale")))
+    rhs = s.where(f"j = {m + 1} and i <= {m}").select(*keys, F.col("i").alias("j"), F.col("c").alias("rhs"))
+    var_y = s.where(f"i = {m + 1} and j = {m + 1}").select(*keys, F.col("c").alias("var_y"))
+    joined = (lhs.join(rhs, keys + ["j"]).join(live.withColumnRenamed("d", "j"), keys + ["j"])
+              .join(b.withColumnRenamed("k", "j"), keys + ["j"]).join(var_y, keys))
+    off = F.col("lhs") + penalty * F.col("var") * F.col("b") - F.col("rhs")
+    allowed = tolerance * (F.col("scale") + F.abs("rhs") + F.sqrt(F.abs(F.col("var") * F.col("var_y"))))
+    holds = F.when(F.col("live"), F.abs(off) <= allowed).otherwise(F.col("b") == 0)
+    return (joined.groupBy(*keys).agg(F.count_if("live").alias("n_live"), F.bool_and(holds).alias("solved"))
+            .join(one, keys).select(*keys, F.col("n").cast("long").alias("n_rows"), "n_live", "solved"))
 
 
 def dot(features: Sequence[str], beta: str = "beta") -> F.Column:
@@ -133,45 +167,51 @@ def _additive_terms(df: DataFrame) -> DataFrame:
 ADDITIVE_TERMS = ["_t", "_q2", "_q3", "_q4"]
 
 
-def _mask_features(features: Sequence[str], worldwide_features: Sequence[str] | None
-                   ) -> dict[str, F.Column]:
-    """M7: series of the Worldwide basin may use a different regressor list;
-    a regressor outside a series' list is zeroed (its coefficient is then 0)."""
-    if worldwide_features is None:
-        return {}
+def regressor_lists(regressors: Sequence[str], worldwide: Sequence[str] | None
+                    ) -> tuple[list[str], dict[str, F.Column]]:
+    """M7: series of the Worldwide basin use the list ``worldwide``, all others
+    ``regressors``; the lists may be equal, overlap or be disjoint. Returns their
+    union and, for each regressor not in both, its column with 0 where the series'
+    own list lacks it (its coefficient is then 0)."""
+    if worldwide is None:
+        return list(regressors), {}
+    union = list(dict.fromkeys([*regressors, *worldwide]))
     world = F.col("series").startswith("Worldwide-")
-    keep = set(worldwide_features)
     out = {}
-    for c in features:
-        in_world = c in keep
-        out[c] = F.when(world if in_world else ~world, F.col(c)).otherwise(F.lit(0.0))
-    return out
+    for c in union:
+        if c in worldwide and c not in regressors:
+            out[c] = F.when(world, F.col(c)).otherwise(F.lit(0.0))
+        elif c not in worldwide:
+            out[c] = F.when(world, F.lit(0.0)).otherwise(F.col(c))
+    return union, out
+
+
+def additive_design(rows: DataFrame, regressors: Sequence[str], worldwide: Sequence[str] | None = None
+                    ) -> tuple[DataFrame, list[str]]:
+    """Rows with the additive terms and the regressors of each series' list; the features."""
+    union, masks = regressor_lists(regressors, worldwide)
+    out = _additive_terms(rows)
+    return (out.withColumns(masks) if masks else out), ADDITIVE_TERMS + union
 
 
 def additive_fit(train: DataFrame, target: str, regressors: Sequence[str],
                  keys: Sequence[str] = ("origin", "series"), penalty: float = DEFAULT_PENALTY,
-                 worldwide_features: Sequence[str] | None = None) -> DataFrame:
+                 worldwide: Sequence[str] | None = None) -> DataFrame:
     """M3: coefficients ``(keys, beta)`` from complete training rows."""
-    feats = ADDITIVE_TERMS + list(regressors)
-    masks = _mask_features(regressors, worldwide_features)
-    tr = _additive_terms(train)
-    tr = tr.withColumns(masks) if masks else tr
-    return fit(tr.dropna(), list(keys), feats, target, penalty)
+    rows, feats = additive_design(train.dropna(), regressors, worldwide)
+    return fit(rows, list(keys), feats, target, penalty)
 
 
 def additive_score(horizon: DataFrame, coefs: DataFrame, target: str,
                    regressors: Sequence[str], keys: Sequence[str] = ("origin", "series"),
-                   worldwide_features: Sequence[str] | None = None) -> DataFrame:
+                   worldwide: Sequence[str] | None = None) -> DataFrame:
     """M4: score horizon rows with (fitted or loaded) coefficients.
 
     Horizon regressors are zero-filled; series without a model forecast 0.
     Returns ``(keys, quarter, target)``.
     """
     keys = list(keys)
-    feats = ADDITIVE_TERMS + list(regressors)
-    masks = _mask_features(regressors, worldwide_features)
-    hz = _additive_terms(horizon)
-    hz = hz.withColumns(masks) if masks else hz
+    hz, feats = additive_design(horizon, regressors, worldwide)
     pred = F.coalesce(round2(dot(feats)), F.lit(0.0))
     return hz.join(coefs.select(*keys, "beta"), keys, "left").select(*keys, "quarter",
                                                                      pred.alias(target))
@@ -180,60 +220,101 @@ def additive_score(horizon: DataFrame, coefs: DataFrame, target: str,
 def additive_forecast(train: DataFrame, horizon: DataFrame, target: str,
                       regressors: Sequence[str], keys: Sequence[str] = ("origin", "series"),
                       penalty: float = DEFAULT_PENALTY,
-                      worldwide_features: Sequence[str] | None = None,
+                      worldwide: Sequence[str] | None = None,
                       artefacts: str | None = None) -> DataFrame:
     """M3 + M4: fit on complete training rows, score the horizon rows.
 
-    With ``artefacts`` the coefficients are also written to that
-    coefficient table (K5), keyed by family, target, origin and series.
+    With ``artefacts`` the coefficients are written to that coefficient table (K5),
+    keyed by family, target, origin and series, and read back for scoring.
     """
-    coefs = additive_fit(train, target, regressors, keys, penalty, worldwide_features)
+    coefs = additive_fit(train, target, regressors, keys, penalty, worldwide)
     if artefacts is not None:
-        from ...sources.store import save_coefficients
-        save_coefficients(coefs, artefacts, ADDITIVE, target)
-    return additive_score(horizon, coefs, target, regressors, keys, worldwide_features)
+        coefs = _stored(coefs, artefacts, ADDITIVE, target)
+    return additive_score(horizon, coefs, target, regressors, keys, worldwide)
+
+
+def _stored(coefs: DataFrame, path: str, family: str, target: str) -> DataFrame:
+    from ...sources.store import load_coefficients, save_coefficients
+    save_coefficients(coefs, path, family, target)
+    return load_coefficients(coefs.sparkSession, path, family, target)
 
 
 # --- M5/M6: direct multi-step autoregression ----------------------------------
 
+def _lag_names(columns: Sequence[str], lags: int) -> list[str]:
+    return [f"{c}_ar{k}" for c in columns for k in range(lags)]
+
+
+def ar_samples(train: DataFrame, target: str, regressors: Sequence[str], lagged: Sequence[str] = (),
+               keys: Sequence[str] = ("origin", "series"), lags: int = AR_LAGS, steps: int = AR_STEPS,
+               worldwide: Sequence[str] | None = None) -> tuple[DataFrame, list[str]]:
+    """M5: one sample per training row and step h, and the features.
+
+    The target and the lagged regressors enter at lags ``h .. h+lags-1`` (row-based
+    within the series), the known-future regressors at the row itself.
+    """
+    keys = list(keys)
+    w = Window.partitionBy(*keys).orderBy("quarter")
+    union, masks = regressor_lists(regressors, worldwide)
+    complete = train.dropna()  # complete cases in every column
+    complete = complete.withColumns(masks) if masks else complete
+    series = [target, *lagged]
+    arrays = {f"_lags_{c}": F.array(*[F.lag(c, k).over(w) for k in range(1, steps + lags)])
+              for c in series}
+    samples = (complete.withColumns(arrays)
+               .withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(steps))))
+               .withColumns({f"{c}_ar{k}": F.element_at(f"_lags_{c}", F.col("h") + k)
+                             for c in series for k in range(lags)}))
+    names = _lag_names(series, lags)
+    feats = names + union
+    return samples.select(*keys, "quarter", "h", *feats, target), feats
+
+
+def last_values(train: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("origin", "series"),
+                lags: int = AR_LAGS) -> DataFrame:
+    """The last ``lags`` known values of each column before the origin, newest first;
+    training rows are all before their origin, so nothing later is read."""
+    keys = list(keys)
+    w = Window.partitionBy(*keys).orderBy("quarter")
+    rows = train.dropna().select(*keys, "quarter", *[
+        F.array(F.col(c), *[F.lag(c, k).over(w) for k in range(1, lags)]).alias(f"_last_{c}")
+        for c in columns])
+    return rows.groupBy(*keys).agg(*[F.max_by(f"_last_{c}", "quarter").alias(f"_last_{c}")
+                                     for c in columns])
+
+
+def ar_score(train: DataFrame, horizon: DataFrame, coefs: DataFrame, target: str,
+             regressors: Sequence[str], lagged: Sequence[str] = (),
+             keys: Sequence[str] = ("origin", "series"), lags: int = AR_LAGS,
+             worldwide: Sequence[str] | None = None) -> DataFrame:
+    """M6: score horizon rows with (fitted or loaded) coefficients ``(keys, h, beta)``.
+
+    The step of a row is its distance in quarters from the origin (the origin's own
+    quarter is step 1), so a missing row does not shift the others. Rows of series
+    without a model, or without the step, forecast 0.
+    """
+    keys, series = list(keys), [target, *lagged]
+    union, masks = regressor_lists(regressors, worldwide)
+    hz = horizon.withColumns(masks) if masks else horizon
+    step = (quarter_index("quarter") - quarter_index("origin") + 1).cast("int")
+    hz = (hz.withColumn("h", step).join(last_values(train, series, keys, lags), keys, "left")
+          .withColumns({f"{c}_ar{k}": F.element_at(f"_last_{c}", k + 1)
+                        for c in series for k in range(lags)}))
+    pred = F.coalesce(round2(dot(_lag_names(series, lags) + union)), F.lit(0.0))
+    return (hz.join(coefs.select(*keys, "h", "beta"), keys + ["h"], "left")
+            .select(*keys, "quarter", pred.alias(target)))
+
+
 def ar_direct_forecast(train: DataFrame, horizon: DataFrame, target: str,
                        regressors: Sequence[str], keys: Sequence[str] = ("origin", "series"),
                        lags: int = AR_LAGS, steps: int = AR_STEPS,
                        penalty: float = DEFAULT_PENALTY, artefacts: str | None = None,
-                       worldwide_features: Sequence[str] | None = None) -> DataFrame:
-    """M5 + M6: one ridge per (keys, step h): ``y_t ~ y_{t-h} .. y_{t-h-lags+1}``
-    plus the known-future regressors at t (row-based lags within the series).
-
-    Scoring from the origin: the h-th horizon row of a series is predicted
-    from the last ``lags`` known targets before the origin with the h-step
-    coefficients. Horizon rows beyond ``steps`` get NULL.
-    """
+                       worldwide: Sequence[str] | None = None,
+                       lagged: Sequence[str] = ()) -> DataFrame:
+    """M5 + M6: one ridge per (keys, step h), scored from the origin."""
     keys = list(keys)
-    w = Window.partitionBy(*keys).orderBy("quarter")
-    max_lag = steps + lags - 1
-    complete = train.dropna()  # complete cases in every column (trap 22)
-    masks = _mask_features(regressors, worldwide_features)     # M7
-    if masks:
-        complete, horizon = complete.withColumns(masks), horizon.withColumns(masks)
-    lagged = complete.withColumn("_ylags", F.array(*[F.lag(target, k).over(w)
-                                                     for k in range(1, max_lag + 1)]))
-    ar_names = [f"_ar{k}" for k in range(lags)]
-    samples = (lagged.withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(steps))))
-               .withColumns({ar_names[k]: F.element_at("_ylags", F.col("h") + k)
-                             for k in range(lags)}))
-    feats = ar_names + list(regressors)
+    samples, feats = ar_samples(train, target, regressors, lagged, keys, lags, steps, worldwide)
     coefs = fit(samples, keys + ["h"], feats, target, penalty)
     if artefacts is not None:
-        from ...sources.store import save_coefficients
-        save_coefficients(coefs, artefacts, AR_DIRECT, target)
-    # last `lags` known targets before the origin, newest first
-    last = lagged.groupBy(*keys).agg(
-        F.max_by(F.concat(F.array(F.col(target)), F.slice("_ylags", 1, lags - 1)),
-                 "quarter").alias("_last"))
-    hw = Window.partitionBy(*keys).orderBy("quarter")
-    hz = (horizon.withColumn("h", F.row_number().over(hw))
-          .join(last, keys, "left")
-          .withColumns({ar_names[k]: F.element_at("_last", k + 1) for k in range(lags)}))
-    pred = round2(dot(feats))
-    return (hz.join(coefs, keys + ["h"], "left")
-            .select(*keys, "quarter", pred.alias(target)))
+        coefs = _stored(coefs, artefacts, AR_DIRECT, target)
+    return ar_score(train, horizon, coefs, target, regressors, lagged, keys, lags, worldwide)

@@ -85,12 +85,10 @@ def inspect_models(snapshot: DataFrame, series: str, models: Sequence[str]) -> D
 
 
 def latest_snapshot(store: DataFrame) -> DataFrame:
-    """S5 + A10: rows of the newest refresh (scalar max joined back)."""
-    newest = store.agg(F.max("refresh_date").alias("refresh_date"))
-    return store.join(newest, "refresh_date")
+    """S5 + A10: rows of the newest refresh (a scalar subquery, not a join on one value)."""
+    return store.where(F.col("refresh_date") == store.select(F.max("refresh_date")).scalar())
 
 
 def earliest_snapshot(store: DataFrame) -> DataFrame:
     """Rows of the oldest refresh."""
-    oldest = store.agg(F.min("refresh_date").alias("refresh_date"))
-    return store.join(oldest, "refresh_date")
+    return store.where(F.col("refresh_date") == store.select(F.min("refresh_date")).scalar())

@@ -1,7 +1,8 @@
 """Composite plans: panel inputs, walk-forward backtest (M9), scoring and
 selection, all origins in one job.
 
-``PanelInputs`` is the only part that reads the fact tables. With
+``PanelInputs`` is the only part that reads tables: the star schema, or the four
+monthly extracts of :mod:`panelcast.sources.monthly`. With
 ``checkpoint=True`` every small intermediate that several branches read is
 written once to the session's shared checkpoint folder (``kept``): the
 sales fact (the one pass over lineitem and orders), the keyed panel, the
@@ -19,21 +20,27 @@ from pyspark.sql import functions as F
 
 from ..operators import features as feat
 from ..operators.models.trend import trend_forecast
-from ..operators.panel import assemble_panel, keyed_panel, oil_quarterly
+from ..operators.panel import assemble_panel, keyed_panel, oil_quarterly, restrict_series
 from ..operators.scoring import ground_truth, score_forecasts  # noqa: F401 (re-export)
 from ..operators.selection import best_model
 from ..operators.stage2 import margin_inference
 from ..session import cut_lineage
 from ..sources import business as biz
+from ..sources.monthly import Extracts
 from ..sources.tables import Tables
 from .params import RunParams
 
 
 class PanelInputs:
-    """Extracts, panel and quarterly oil prices built from the driver tables."""
+    """Extracts, panel and quarterly oil prices, built from the driver tables or from
+    given monthly extracts (``monthly``)."""
 
-    def __init__(self, tables: Tables, checkpoint: bool = False):
+    def __init__(self, tables: Tables | None = None, checkpoint: bool = False,
+                 monthly: Extracts | None = None):
+        if (tables is None) == (monthly is None):
+            raise ValueError("give tables or monthly extracts")
         self.tables = tables
+        self.monthly = monthly
         self.checkpoint = checkpoint
         self._kept: dict[tuple, DataFrame] = {}
 
@@ -56,21 +63,27 @@ class PanelInputs:
         fact = biz.sales_fact(self.tables)
         return cut_lineage(fact) if self.checkpoint else fact
 
+    @cached_property
+    def cells(self) -> DataFrame:
+        """The other pass over orders: rig counts and oil prices read it."""
+        cells = biz.order_cells(self.tables)
+        return cut_lineage(cells) if self.checkpoint else cells
+
     @cached_property
     def weighted(self) -> DataFrame:
-        return biz.weighted_monthly(self.fact)
+        return self.monthly.weighted if self.monthly else biz.weighted_monthly(self.fact)
 
     @cached_property
     def actuals(self) -> DataFrame:
-        return biz.actuals_monthly(self.fact)
+        return self.monthly.actuals if self.monthly else biz.actuals_monthly(self.fact)
 
     @cached_property
     def rig(self) -> DataFrame:
-        return biz.rig_counts(self.tables)
+        return self.monthly.rig if self.monthly else biz.rig_counts(self.cells)
 
     @cached_property
     def oil(self) -> DataFrame:
-        return biz.oil_prices(self.tables)
+        return self.monthly.oil if self.monthly else biz.oil_prices(self.cells)
 
     @cached_property
     def panel(self) -> DataFrame:
@@ -78,7 +91,8 @@ class PanelInputs:
 
     @cached_property
     def keyed(self) -> DataFrame:
-        keyed = keyed_panel(self.panel)
+        out = self.monthly.eliminations if self.monthly else biz.ELIMINATIONS_BASIN
+        keyed = keyed_panel(self.panel, out)
         return cut_lineage(keyed) if self.checkpoint else keyed
 
     @cached_property
@@ -114,7 +128,8 @@ def trend_forecasts(inp: PanelInputs, p: RunParams, seasonal_variants=(True, Fal
     series, rev, cm, model)."""
     variants = tuple(seasonal_variants)
     return inp.kept(("trend", p, variants), lambda: trend_forecast(
-        training_sets(inp, p), stage1_frames(inp, p).select("origin", "quarter", "series"),
+        restrict_series(training_sets(inp, p), p.model_series),
+        restrict_series(stage1_frames(inp, p), p.model_series).select("origin", "quarter", "series"),
         seasonal_variants=variants))
 
 
@@ -152,7 +167,7 @@ def combine_stage_forecasts(rev_forecast: DataFrame, cm_forecast: DataFrame) ->
 
 def additive_frame(train: DataFrame, oil_q: DataFrame) -> DataFrame:
     """Distinct (quarter, series, measures) left-joined to quarterly oil."""
-    return (train.select("quarter", "series", "c4c_rev", "gac_rev", "gaca_rev", "cm", "rev")
+    return (train.select("quarter", "series", "pipeline", "rig_ex", "rig_all", "cm", "rev")
             .dropDuplicates()
             .join(oil_q.select("quarter", F.col("brent").alias("oil_brent"),
                                F.col("wti").alias("oil_wti")), "quarter", "left"))

@@ -16,53 +16,59 @@ from pyspark.sql import functions as F
 from ..operators import features as feat
 from ..operators.models import ridge
 from ..operators.models.forest import FOREST, forest_forecast
+from ..operators.panel import restrict_series
 from ..operators.stage2 import margin_inference
 from ..session import cut_lineage
 from . import backtest as bt
 from .params import RunParams
 
 FAMILIES = (FOREST, ridge.ADDITIVE, ridge.AR_DIRECT)
-# Fixed value: the lagged revenue regressors of the autoregressive margin model.
+# Fixed value: the lagged regressors of the autoregressive margin model.
 AR_LAGGED = ["rev", "rev_lag1", "rev_lag2", "rev_lag3"]
 
 
 def _stage(family: str, train: DataFrame, frames: DataFrame, target: str, features,
-           origins) -> DataFrame:
+           p: RunParams, lagged=(), artefacts: str | None = None) -> DataFrame:
     if family == FOREST:
-        return forest_forecast(train, frames, target, features, origins)
+        to = artefacts and f"{artefacts}/forest"
+        return forest_forecast(train, frames, target, features, p.origins,
+                               max_depth=p.forest_depth, artefacts=to)
+    to = artefacts and f"{artefacts}/coefficients"
     if family == ridge.ADDITIVE:
-        return ridge.additive_forecast(train, frames, target, features)
+        return ridge.additive_forecast(train, frames, target, features,
+                                       worldwide=p.worldwide_features, artefacts=to)
     if family == ridge.AR_DIRECT:
-        return ridge.ar_direct_forecast(train, frames, target, features)
+        return ridge.ar_direct_forecast(train, frames, target, features, steps=p.interval,
+                                        worldwide=p.worldwide_features, lagged=lagged, artefacts=to)
     raise ValueError(family)
 
 
-def two_stage(inp: bt.PanelInputs, p: RunParams, family: str) -> DataFrame:
+def two_stage(inp: bt.PanelInputs, p: RunParams, family: str, artefacts: str | None = None
+              ) -> DataFrame:
     """Revenue then margin forecasts of one family: (origin, quarter, series,
     rev, cm, model). The revenue forecast and the stage-2 frames are
     materialised (they feed the margin fit, the scoring and the final join)."""
-    return inp.kept(("two_stage", p, family), lambda: _two_stage(inp, p, family))
+    return inp.kept(("two_stage", p, family), lambda: _two_stage(inp, p, family, artefacts))
 
 
-def _two_stage(inp: bt.PanelInputs, p: RunParams, family: str) -> DataFrame:
-    train, stage1, stage2 = bt.training_sets(inp, p), bt.stage1_frames(inp, p), \
-        bt.stage2_frames(inp, p)
+def _two_stage(inp: bt.PanelInputs, p: RunParams, family: str, artefacts: str | None) -> DataFrame:
+    models = lambda df: restrict_series(df, p.model_series)  # noqa: E731  before any fit
+    train, stage1, stage2 = (models(df) for df in (bt.training_sets(inp, p), bt.stage1_frames(inp, p),
+                                                   bt.stage2_frames(inp, p)))
     keep = cut_lineage if inp.checkpoint else (lambda d: d)
-    if family == ridge.AR_DIRECT:
-        rev_features, cm_features = feat.REV_FEATURES, feat.REV_FEATURES + AR_LAGGED
-    else:
-        rev_features, cm_features = feat.REV_FEATURES, feat.CM_FEATURES
-    rev = keep(_stage(family, train, stage1, "rev", rev_features, p.origins))
+    lagged = AR_LAGGED if family == ridge.AR_DIRECT else ()
+    cm_features = feat.REV_FEATURES if lagged else feat.CM_FEATURES
+    rev = keep(_stage(family, train, stage1, "rev", feat.REV_FEATURES, p, artefacts=artefacts))
     how = "inner" if family == FOREST else "right"
     frames2 = keep(margin_inference(stage2, rev, how))
-    cm = _stage(family, train, frames2, "cm", cm_features, p.origins)
+    cm = _stage(family, train, frames2, "cm", cm_features, p, lagged, artefacts)
     return bt.combine_stage_forecasts(rev, cm).withColumn("model", F.lit(family))
 
 
 def all_forecasts(inp: bt.PanelInputs, p: RunParams, families=FAMILIES,
-                  with_trend: bool = True) -> DataFrame:
+                  with_trend: bool = True, artefacts: str | None = None) -> DataFrame:
     out = bt.trend_forecasts(inp, p) if with_trend else None
     for fam in families:
-        f = two_stage(inp, p, fam).select("origin", "quarter", "series", "rev", "cm", "model")
+        f = two_stage(inp, p, fam, artefacts).select("origin", "quarter", "series", "rev", "cm", "model")
         out = f if out is None else out.unionByName(f)
     return out

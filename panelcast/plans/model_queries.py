@@ -1,13 +1,22 @@
-"""Registered queries of the fitted model families (rows-only check).
+"""Registered queries of the fitted model families.
 
-Their numbers come from MLlib forests and per-group ridge solves, which have
-no SQL counterpart; the pytest suite checks them on synthetic series with
-known coefficients instead (tests/test_models.py).
+What SQL can express has an oracle: the training design of the additive model, the
+samples of the autoregression, scoring with given coefficients, the forest's
+training matrix, and, for the fitted coefficients, whether they satisfy the ridge
+normal equations over the Gram sums. The forecasts themselves (MLlib forests,
+coefficients times features) are compared by row count, and by value in
+tests/test_models.py.
 """
 
 from __future__ import annotations
 
-from ..operators.models import ridge
+from dataclasses import replace
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators import features as feat
+from ..operators.models import forest, ridge
 from ..operators.models.forest import FOREST
 from ..operators.scoring import score_forecasts
 from ..operators.selection import best_model
@@ -16,11 +25,23 @@ from . import backtest as bt
 from . import families as fam
 from .queries import PARAMS, _inputs
 
+# Fixed values of the checks: coefficients given to the scoring queries, and a short
+# regressor list for Worldwide series (M7).
+FIXED_BETA = [10.0, 0.5, 1.0, 2.0, 3.0] + [0.001] * len(feat.REV_FEATURES)
+FIXED_AR = 0.25
+SHORT_LIST = ("pipeline", "brent", "wti")
+
 
 def additive_ridge_forecast(spark, sf_dir):
     return fam.two_stage(_inputs(spark, sf_dir), PARAMS, ridge.ADDITIVE)
 
 
+def additive_two_lists(spark, sf_dir):
+    """M7: Worldwide series fitted with their own regressor list."""
+    p = replace(PARAMS, worldwide_features=SHORT_LIST)
+    return fam.two_stage(_inputs(spark, sf_dir), p, ridge.ADDITIVE)
+
+
 def ar_direct_forecast(spark, sf_dir):
     return fam.two_stage(_inputs(spark, sf_dir), PARAMS, ridge.AR_DIRECT)
 
@@ -42,10 +63,87 @@ def full_backtest_best(spark, sf_dir):
     return best_model(snap, PARAMS.lookback_months, PARAMS.series)
 
 
+# --- parts with an oracle -----------------------------------------------------
+
+def _train(spark, sf_dir) -> DataFrame:
+    return bt.training_sets(_inputs(spark, sf_dir), PARAMS)
+
+
+def additive_design(spark, sf_dir):
+    """M3 + M7: the rows the margin model is fitted on, with the two regressor lists."""
+    rows, feats = ridge.additive_design(_train(spark, sf_dir).dropna(), feat.CM_FEATURES, SHORT_LIST)
+    return rows.select("origin", "quarter", "series", *[F.col(c).alias(c.lstrip("_")) for c in feats], "cm")
+
+
+def ar_samples(spark, sf_dir):
+    """M5: the samples of the margin autoregression, lags by step."""
+    rows, feats = ridge.ar_samples(_train(spark, sf_dir), "cm", [], fam.AR_LAGGED, steps=PARAMS.interval)
+    return rows.select("origin", "quarter", "series", F.col("h").cast("long").alias("h"), *feats, "cm")
+
+
+def additive_normal_equations(spark, sf_dir):
+    """M3: the fitted coefficients of every series solve their ridge system."""
+    rows, feats = ridge.additive_design(_train(spark, sf_dir).dropna(), feat.REV_FEATURES)
+    keys = ["origin", "series"]
+    coefs = cut_lineage(ridge.fit(rows, keys, feats, "rev"))
+    return ridge.normal_equations(rows, coefs, keys, feats, "rev")
+
+
+def ar_normal_equations(spark, sf_dir):
+    """M5: the same for every series and step of the autoregression."""
+    rows, feats = ridge.ar_samples(_train(spark, sf_dir), "rev", feat.REV_FEATURES, steps=PARAMS.interval)
+    keys = ["origin", "series", "h"]
+    coefs = cut_lineage(ridge.fit(rows, keys, feats, "rev"))
+    out = ridge.normal_equations(rows, coefs, keys, feats, "rev")
+    return out.withColumn("h", F.col("h").cast("long"))
+
+
+def _fixed(frames: DataFrame, beta: list[float]) -> DataFrame:
+    """The same coefficients for every Worldwide series; others have no model."""
+    return (frames.where(F.col("series").startswith("Worldwide-")).select("origin", "series").distinct()
+            .withColumn("beta", F.array(*[F.lit(b) for b in beta])))
+
+
+def additive_fixed_scores(spark, sf_dir):
+    """M4: scoring with given coefficients; series without a model forecast 0."""
+    frames = bt.stage1_frames(_inputs(spark, sf_dir), PARAMS)
+    return ridge.additive_score(frames, _fixed(frames, FIXED_BETA), "rev", feat.REV_FEATURES)
+
+
+def ar_fixed_scores(spark, sf_dir):
+    """M6: scoring with given coefficients by step from the last values before the origin."""
+    inp = _inputs(spark, sf_dir)
+    frames = bt.stage1_frames(inp, PARAMS)
+    steps = F.explode(F.sequence(F.lit(1), F.lit(PARAMS.interval)))
+    coefs = (_fixed(frames, [FIXED_AR] * ridge.AR_LAGS)
+             .withColumn("h", steps)
+             .withColumn("beta", F.concat(F.array(F.col("h").cast("double")), "beta")))
+    return ridge.ar_score(bt.training_sets(inp, PARAMS), frames, coefs, "rev", [])
+
+
+def forest_design(spark, sf_dir):
+    """M1: the forest's training rows of every origin with the means that encode a series."""
+    train = _train(spark, sf_dir).dropna()
+    parts = [forest.design(t, forest.target_means(t, "rev"))
+             for t in (train.where(F.col("origin") == o) for o in PARAMS.origins)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("origin", "quarter", "series", *[F.col(c).alias(c.lstrip("_")) for c in forest.MEANS], "rev")
+
+
 MODEL_QUERIES = {
     "additive_ridge_forecast": additive_ridge_forecast,
+    "additive_two_lists": additive_two_lists,
     "ar_direct_forecast": ar_direct_forecast,
     "forest_forecast": forest_forecast,
     "two_stage_forecast": two_stage_forecast,
     "full_backtest_best": full_backtest_best,
+    "additive_design": additive_design,
+    "ar_samples": ar_samples,
+    "additive_normal_equations": additive_normal_equations,
+    "ar_normal_equations": ar_normal_equations,
+    "additive_fixed_scores": additive_fixed_scores,
+    "ar_fixed_scores": ar_fixed_scores,
+    "forest_design": forest_design,
 }

@@ -10,10 +10,25 @@ DECIMAL and cast to DOUBLE once; cents rounding ``round_even(x*100, 0)/100``
 
 from __future__ import annotations
 
-from ..operators import features as feat
 from ..operators.models.trend import TREND, TREND_SEASONAL
-from .params import RunParams
-from .queries import PARAMS, WORLDWIDE_SERIES
+from .queries import TWO_SERIES, WORLDWIDE_SERIES
+
+# The fixed run as literal quarters, so that a wrong bound in the library shows up.
+# One row per origin: origin, actuals hidden from, buffer start (exclusive), start
+# (exclusive), end (inclusive), buffer end (exclusive).
+ORIGINS = ("2000Q1", "2000Q2", "2000Q3", "2000Q4")
+STAGE1 = [("2000Q1", "2000Q1", "1999Q1", "1999Q4", "2000Q4", "2001Q4"),
+          ("2000Q2", "2000Q2", "1999Q2", "2000Q1", "2001Q1", "2002Q1"),
+          ("2000Q3", "2000Q3", "1999Q3", "2000Q2", "2001Q2", "2002Q2"),
+          ("2000Q4", "2000Q4", "1999Q4", "2000Q3", "2001Q3", "2002Q3")]
+STAGE2 = [("2000Q1", "2000Q1", "1998Q1", "1998Q4", "2000Q4", "2001Q4"),
+          ("2000Q2", "2000Q2", "1998Q2", "1999Q1", "2001Q1", "2002Q1"),
+          ("2000Q3", "2000Q3", "1998Q3", "1999Q2", "2001Q2", "2002Q2"),
+          ("2000Q4", "2000Q4", "1998Q4", "1999Q3", "2001Q3", "2002Q3")]
+TRAIN_FROM, TRAIN_BEFORE = "1995Q1", "2002Q1"
+LOOKBACK_MONTHS = 12
+COVARIATES = {"rig_ex": "rig_ex", "rig_all": "rig_all", "pipeline": "pipeline", "wti": "wti", "brent": "brent"}
+LAGS, LEADS = (1, 2, 3), (1, 2)
 
 
 def r2(x: str) -> str:
@@ -137,23 +152,24 @@ oilm AS (
 oilq AS (
   SELECT {qlabel('m')} AS quarter, avg(brent) AS brent, avg(wti) AS wti FROM oilm GROUP BY 1),
 base AS (
-  SELECT k.quarter, k.series, {r2('k.weighted_fcst')} AS c4c_rev,
-         {r2('k.rig_ex_china')} AS gac_rev, {r2('k.rig_all')} AS gaca_rev,
+  SELECT k.quarter, k.series, {r2('k.weighted_fcst')} AS pipeline,
+         {r2('k.rig_ex_china')} AS rig_ex, {r2('k.rig_all')} AS rig_all,
          {r2('k.cm')} AS cm, {r2('k.rev')} AS rev, {r2('o.brent')} AS brent, {r2('o.wti')} AS wti
   FROM keyed k JOIN oilq o ON k.quarter = o.quarter)"""
 
-BASE_MEASURES = ["c4c_rev", "gac_rev", "gaca_rev", "cm", "rev", "brent", "wti"]
-FEATURES = feat.feature_names()
+BASE_MEASURES = ["pipeline", "rig_ex", "rig_all", "cm", "rev", "brent", "wti"]
+FEATURES = [f"{p}_{kind}{k}" for p in COVARIATES for kind, ks in (("lag", LAGS), ("lead", LEADS))
+            for k in ks] + [f"rev_lag{k}" for k in LAGS]
 FRAME_COLUMNS = ["quarter", "series"] + BASE_MEASURES + FEATURES
 
 
 def lag_select(partition: str) -> str:
     """Lag/lead columns over ``WINDOW w``."""
     parts = []
-    for prefix, src in feat.COVARIATES.items():
-        parts += [f"lag({src}, {k}) OVER w AS {prefix}_lag{k}" for k in feat.LAGS]
-        parts += [f"lead({src}, {k}) OVER w AS {prefix}_lead{k}" for k in feat.LEADS]
-    parts += [f"lag(rev, {k}) OVER w AS rev_lag{k}" for k in feat.TARGET_LAGS]
+    for prefix, src in COVARIATES.items():
+        parts += [f"lag({src}, {k}) OVER w AS {prefix}_lag{k}" for k in LAGS]
+        parts += [f"lead({src}, {k}) OVER w AS {prefix}_lead{k}" for k in LEADS]
+    parts += [f"lag(rev, {k}) OVER w AS rev_lag{k}" for k in LAGS]
     return ",\n  ".join(parts)
 
 
@@ -161,13 +177,10 @@ def window_clause(partition: str) -> str:
     return f"WINDOW w AS (PARTITION BY {partition} ORDER BY quarter)"
 
 
-def training_ctes(p: RunParams = PARAMS) -> str:
-    from ..functions.calendar import add_months, quarter_of
-    start_q = quarter_of(p.start_date)
-    end_q = quarter_of(add_months(p.as_of, 3 * p.interval))
+def training_ctes(series: tuple[str, ...] | None = None) -> str:
     series_filter = ""
-    if p.series is not None:
-        series_filter = "WHERE series IN (" + ", ".join(f"'{s}'" for s in p.series) + ")"
+    if series is not None:
+        series_filter = "WHERE series IN (" + ", ".join(f"'{s}'" for s in series) + ")"
     return f""",
 tbase AS (SELECT * FROM base {series_filter}),
 tfeat AS (SELECT *,
@@ -175,20 +188,19 @@ tfeat AS (SELECT *,
   FROM tbase {window_clause('series')}),
 train AS (
   SELECT {', '.join(FRAME_COLUMNS)} FROM tfeat
-  WHERE quarter >= '{start_q}' AND quarter < '{end_q}' AND rev > 0)"""
+  WHERE quarter >= '{TRAIN_FROM}' AND quarter < '{TRAIN_BEFORE}' AND rev > 0)"""
 
 
 def frames_ctes(name: str, windows, mask: bool = True) -> str:
-    """Inference frames for a list of :class:`OriginWindow`; CTE ``name``."""
-    wins = values([(w.origin, w.mask_from, w.buffer_start, w.start, w.end, w.buffer_end)
-                   for w in windows],
+    """Inference frames for a list of windows; CTE ``name``."""
+    wins = values(windows,
                   ["origin", "mask_from", "buffer_start", "start_q", "end_q", "buffer_end"])
     cm = "CASE WHEN b.quarter < w.mask_from THEN b.cm END" if mask else "b.cm"
     rev = "CASE WHEN b.quarter < w.mask_from THEN b.rev END" if mask else "b.rev"
     filled = ", ".join(f"coalesce({c}, 0) AS {c}" for c in BASE_MEASURES + FEATURES)
     return f""",
 {name}_rep AS (
-  SELECT w.*, b.quarter, b.series, b.c4c_rev, b.gac_rev, b.gaca_rev, {cm} AS cm, {rev} AS rev,
+  SELECT w.*, b.quarter, b.series, b.pipeline, b.rig_ex, b.rig_all, {cm} AS cm, {rev} AS rev,
          b.brent, b.wti
   FROM base b CROSS JOIN {wins} w),
 {name}_feat AS (SELECT *,
@@ -200,11 +212,11 @@ def frames_ctes(name: str, windows, mask: bool = True) -> str:
     AND quarter <= end_q)"""
 
 
-def origins_values(p: RunParams = PARAMS) -> str:
-    return values([(o, i) for i, o in enumerate(p.origins)], ["origin", "k"])
+def origins_values() -> str:
+    return values([(o, i) for i, o in enumerate(ORIGINS)], ["origin", "k"])
 
 
-def trend_ctes(p: RunParams = PARAMS) -> str:
+def trend_ctes(series: str = "") -> str:
     """M10 forecasts of both variants for every origin; CTE ``fc``."""
     def d(x):
         return f"CAST({x} AS DOUBLE)"
@@ -231,7 +243,7 @@ def trend_ctes(p: RunParams = PARAMS) -> str:
 tr AS (
   SELECT o.origin, t.quarter, t.series, t.rev, t.cm, {qindex('t.quarter')} AS t,
          {qnum('t.quarter')} AS qoy
-  FROM train t JOIN {origins_values(p)} o ON t.quarter < o.origin),
+  FROM train t JOIN {origins_values()} o ON t.quarter < o.origin),
 hz AS (
   SELECT DISTINCT origin, quarter, series, {qindex('quarter')} AS t, {qnum('quarter')} AS qoy
   FROM f1),
@@ -254,8 +266,8 @@ fc AS (
          '{TREND}' AS model FROM hl h)"""
 
 
-def snapshot_ctes(p: RunParams = PARAMS) -> str:
-    refs = origins_values(p)
+def snapshot_ctes() -> str:
+    refs = origins_values()
     err = ("CASE WHEN round_even((({p} - {a}) / nullif({a}, 0)) * 100, 0) = 0 "
            "THEN CAST(0 AS DOUBLE) ELSE round_even((({p} - {a}) / nullif({a}, 0)) * 100, 0) END")
     return f""",
@@ -285,7 +297,7 @@ snap AS (
   FROM vis)"""
 
 
-def selection_ctes(lookback: int = PARAMS.lookback_months) -> str:
+def selection_ctes(lookback: int = LOOKBACK_MONTHS) -> str:
     midx = "({y} * 12 + ({n} - 1) * 3)"
     r_m = midx.format(y=qyear("refresh_date"), n=qnum("refresh_date"))
     q_m = midx.format(y=qyear("quarter"), n=qnum("quarter"))
@@ -328,7 +340,7 @@ FROM rv LEFT JOIN cr ON rv.quarter = cr.quarter AND rv.series = cr.series
  AND rv.refresh_date = cr.refresh_date"""
 
 
-def margin_ctes(p: RunParams = PARAMS, how: str = "inner") -> str:
+def margin_ctes(how: str = "inner") -> str:
     own_cols = [c for c in FRAME_COLUMNS if c not in ("quarter", "series", "rev")]
     own_sel = ", ".join(f"nullif({c}, 0) AS {c}" if c.startswith("rev_lag") else c
                         for c in own_cols)
@@ -352,7 +364,7 @@ def margin_ctes(p: RunParams = PARAMS, how: str = "inner") -> str:
         notnull = " AND ".join(f"{c} IS NOT NULL" for c in ["origin", "quarter", "series"]
                                + out_cols)
         body = f"SELECT * FROM ({body}) m WHERE {notnull}"
-    lags = ", ".join(f"lag(rev, {k}) OVER w AS rev_lag{k}_new" for k in feat.TARGET_LAGS)
+    lags = ", ".join(f"lag(rev, {k}) OVER w AS rev_lag{k}_new" for k in LAGS)
     return f""",
 own AS (SELECT origin, quarter, series, {own_sel} FROM f2),
 chained AS (
@@ -372,23 +384,21 @@ def _with(*parts: str) -> str:
 
 
 def build() -> dict[str, str]:
-    p = PARAMS
     panel = PANEL_CTES
-    train = training_ctes(p)
-    f1 = frames_ctes("f1", p.windows)
-    f2 = frames_ctes("f2", p.stage2_windows)
-    trend = trend_ctes(p)
-    snap = snapshot_ctes(p)
-    sel = selection_ctes(p.lookback_months)
+    train = training_ctes()
+    f1 = frames_ctes("f1", STAGE1)
+    f2 = frames_ctes("f2", STAGE2)
+    trend = trend_ctes()
+    snap = snapshot_ctes()
+    sel = selection_ctes()
     frame_cols = ", ".join(FRAME_COLUMNS)
     complete = " AND ".join(f"{c} IS NOT NULL" for c in FRAME_COLUMNS)
-    single = frames_ctes("fs", p.windows[:1])
-    single_unmasked = frames_ctes("fs", p.windows[:1], mask=False)
-    ww = RunParams(**{**p.__dict__, "series": WORLDWIDE_SERIES})
+    single = frames_ctes("fs", STAGE1[:1])
+    single_unmasked = frames_ctes("fs", STAGE1[:1], mask=False)
     recency = f"""{panel}{train},
 rw AS (
   SELECT o.origin, t.quarter, t.series, {{date}} AS d
-  FROM train t JOIN {origins_values(p)} o ON t.quarter < o.origin WHERE {complete}),
+  FROM train t JOIN {origins_values()} o ON t.quarter < o.origin WHERE {complete}),
 nw AS (SELECT origin, max(d) AS newest FROM rw GROUP BY origin)
 SELECT rw.origin, rw.quarter, rw.series,
        CAST(datediff('day', rw.d, nw.newest) AS BIGINT) AS days_elapsed,
@@ -417,7 +427,7 @@ SELECT quarter, basin, division, {r2('weighted_fcst')} AS weighted_fcst,
        {r2('rig_ex_china')} AS rig_ex_china, {r2('rig_all')} AS rig_all, {r2('cm')} AS cm,
        {r2('rev')} AS rev, series FROM keyed""",
         "training_frame": _with(panel, train) + "\nSELECT * FROM train",
-        "worldwide_training_frame": _with(panel, training_ctes(ww)) + "\nSELECT * FROM train",
+        "worldwide_training_frame": _with(panel, training_ctes(WORLDWIDE_SERIES)) + "\nSELECT * FROM train",
         "inference_frame": _with(panel, single) + f"\nSELECT {frame_cols} FROM fs",
         "inference_frame_unmasked": _with(panel, single_unmasked)
         + f"\nSELECT {frame_cols} FROM fs",
@@ -428,11 +438,11 @@ SELECT quarter, basin, division, {r2('weighted_fcst')} AS weighted_fcst,
         "listed_trend_forecast": _with(panel, train, f1, trend)
         + "\nSELECT * FROM fc WHERE series IN ("
         + ", ".join(f"'{s}'" for s in WORLDWIDE_SERIES) + ")",
-        "margin_inference_inner": _with(panel, train, f1, f2, trend, margin_ctes(p, "inner")),
-        "margin_inference_right": _with(panel, train, f1, f2, trend, margin_ctes(p, "right")),
+        "margin_inference_inner": _with(panel, train, f1, f2, trend, margin_ctes("inner")),
+        "margin_inference_right": _with(panel, train, f1, f2, trend, margin_ctes("right")),
         "ground_truth": _with(panel, train) + f"""
 SELECT DISTINCT quarter, series, cm AS actual_contribution_margin, rev AS actual_revenue
-FROM train WHERE quarter < '{p.origins[0]}' AND cm IS NOT NULL AND rev IS NOT NULL""",
+FROM train WHERE quarter < '{ORIGINS[0]}' AND cm IS NOT NULL AND rev IS NOT NULL""",
         "score_forecasts": _with(panel, train, f1, trend, snap) + "\nSELECT * FROM snap",
         "latest_snapshot": _with(panel, train, f1, trend, snap)
         + "\nSELECT * FROM snap WHERE refresh_date = (SELECT max(refresh_date) FROM snap)",
@@ -447,11 +457,100 @@ FROM train WHERE quarter < '{p.origins[0]}' AND cm IS NOT NULL AND rev IS NOT NU
                                          best_select(TREND)),
         "additive_frame": _with(panel, train) + f"""
 SELECT d.*, {r2('o.brent')} AS brent, {r2('o.wti')} AS wti
-FROM (SELECT DISTINCT quarter, series, c4c_rev, gac_rev, gaca_rev, cm, rev FROM train) d
+FROM (SELECT DISTINCT quarter, series, pipeline, rig_ex, rig_all, cm, rev FROM train) d
 LEFT JOIN oilq o ON d.quarter = o.quarter""",
         "combine_stage_forecasts": _with(panel, train, f1, trend) + f"""
 SELECT c.origin, c.quarter, c.series, c.cm, r.rev
-FROM (SELECT * FROM fc WHERE model = '{TREND_SEASONAL}') c
+FROM (SELECT * FROM fc WHERE model = '{TREND}') c
 JOIN (SELECT DISTINCT origin, quarter, series, rev FROM fc WHERE model = '{TREND_SEASONAL}') r
   ON c.origin = r.origin AND c.quarter = r.quarter AND c.series = r.series""",
+        "two_series_forecast": _with(panel, train, f1, trend)
+        + "\nSELECT * FROM fc WHERE series IN (" + ", ".join(f"'{s}'" for s in TWO_SERIES) + ")",
+        "inspect_models": _with(panel, train, f1, trend, snap)
+        + f"\nSELECT * FROM snap WHERE series = '{TWO_SERIES[0]}' "
+        f"AND model IN ('{TREND}', '{TREND_SEASONAL}')",
+        **model_parts(_with(panel, train), _with(panel, train, f1), complete),
+    }
+
+
+# --- parts of the fitted families ------------------------------------------------
+
+# The model feature lists.
+REV_LIST = (["pipeline", "rig_ex", "brent", "wti"]
+            + [f"{v}_{k}" for v in ("rig_ex", "pipeline", "wti", "brent")
+               for k in ("lag1", "lag2", "lag3", "lead1", "lead2")])
+CM_LIST = ["rev", *REV_LIST, "rev_lag1", "rev_lag2", "rev_lag3"]
+SHORT_LIST = ("pipeline", "brent", "wti")
+AR_COLUMNS = ("cm", "rev", "rev_lag1", "rev_lag2", "rev_lag3")
+
+
+def model_parts(train: str, frames: str, complete: str) -> dict[str, str]:
+    sets = f""",
+tr AS (
+  SELECT o.origin, t.*, CAST({qindex('t.quarter')} AS DOUBLE) AS t, {qnum('t.quarter')} AS qoy
+  FROM train t JOIN {origins_values()} o ON t.quarter < o.origin WHERE {complete})"""
+    season = ", ".join(f"CAST(qoy = {k} AS INTEGER)::DOUBLE AS q{k}" for k in (2, 3, 4))
+    own = ", ".join(c if c in SHORT_LIST else
+                    f"CASE WHEN series LIKE 'Worldwide-%' THEN 0.0::DOUBLE ELSE {c} END AS {c}"
+                    for c in CM_LIST)
+    wide = [f"lag({c}, {k}) OVER w AS {c}_{k}" for c in AR_COLUMNS for k in range(1, 8)]
+    picked = [f"CASE h {' '.join(f'WHEN {h} THEN {c}_{h + k}' for h in range(1, 5))} END AS {c}_ar{k}"
+              for c in AR_COLUMNS for k in range(4)]
+    steps = "(SELECT unnest([1, 2, 3, 4])::BIGINT AS h)"
+    rev_lags = [f"lag(rev, {k}) OVER w AS rev_{k}" for k in range(1, 8)]
+    rev_picked = [f"CASE h {' '.join(f'WHEN {h} THEN rev_{h + k}' for h in range(1, 5))} END AS a{k}"
+                  for k in range(4)]
+    live = lambda cols: " + ".join(f"(count(DISTINCT {c}) > 1)::BIGINT" for c in cols)
+    terms = ["t", "(qoy = 2)", "(qoy = 3)", "(qoy = 4)"]
+    fixed = ("0.0::DOUBLE + 1.0::DOUBLE * 10.0::DOUBLE + CAST(%s AS DOUBLE) * 0.5::DOUBLE" % qindex("quarter")
+             + "".join(f" + CAST({qnum('quarter')} = {k} AS INTEGER)::DOUBLE * {k - 1}.0::DOUBLE" for k in (2, 3, 4))
+             + "".join(f" + {c} * 0.001::DOUBLE" for c in REV_LIST))
+    return {
+        "additive_design": f"""{train}{sets}
+SELECT origin, quarter, series, t, {season}, {own}, cm FROM tr""",
+        "ar_samples": f"""{train}{sets},
+lg AS (
+  SELECT origin, quarter, series, cm AS target, {', '.join(wide)} FROM tr
+  WINDOW w AS (PARTITION BY origin, series ORDER BY quarter))
+SELECT origin, quarter, series, h, {', '.join(picked)}, target AS cm FROM lg CROSS JOIN {steps}""",
+        "additive_normal_equations": f"""{train}{sets}
+SELECT origin, series, count(*) AS n_rows, {live(terms + REV_LIST)} AS n_live, true AS solved
+FROM tr GROUP BY origin, series""",
+        "ar_normal_equations": f"""{train}{sets},
+lg AS (
+  SELECT *, {', '.join(rev_lags)} FROM tr
+  WINDOW w AS (PARTITION BY origin, series ORDER BY quarter)),
+sm AS (SELECT *, {', '.join(rev_picked)} FROM lg CROSS JOIN {steps})
+SELECT origin, series, h, count(*) AS n_rows, {live(['a0', 'a1', 'a2', 'a3'] + REV_LIST)} AS n_live,
+       true AS solved
+FROM sm WHERE a3 IS NOT NULL GROUP BY origin, series, h""",
+        "additive_fixed_scores": f"""{frames}
+SELECT origin, quarter, series,
+       CASE WHEN series LIKE 'Worldwide-%' THEN {r2(fixed)} ELSE 0.0::DOUBLE END AS rev FROM f1""",
+        "ar_fixed_scores": f"""{frames}{sets},
+last AS (
+  SELECT origin, series, rev, row_number() OVER (PARTITION BY origin, series ORDER BY quarter DESC) AS k FROM tr),
+l4 AS (
+  SELECT origin, series, {', '.join(f'max(rev) FILTER (k = {k}) AS v{k}' for k in range(1, 5))}
+  FROM last GROUP BY 1, 2),
+st AS (SELECT *, {qindex('quarter')} - {qindex('origin')} + 1 AS h FROM f1)
+SELECT s.origin, s.quarter, s.series,
+       CASE WHEN s.series LIKE 'Worldwide-%' AND h BETWEEN 1 AND 4 THEN {r2("0.0::DOUBLE + 1.0::DOUBLE * h::DOUBLE"
+       + "".join(f" + coalesce(v{k}, 0.0::DOUBLE) * 0.25::DOUBLE" for k in range(1, 5)))}
+       ELSE 0.0::DOUBLE END AS rev
+FROM st s LEFT JOIN l4 ON s.origin = l4.origin AND s.series = l4.series""",
+        "forest_design": f"""{train}{sets},
+ms AS (
+  SELECT origin, series, regexp_replace(series, '-[^-]*$', '') AS basin,
+         regexp_extract(series, '([^-]*)$', 1) AS division,
+         sum(CAST(rev AS DECIMAL(22,2)) * 100) AS s, count(*) AS n FROM tr GROUP BY 1, 2),
+mm AS (
+  SELECT origin, series, CAST(s AS DOUBLE) / n / 100 AS series_mean,
+         CAST(sum(s) OVER (PARTITION BY origin, basin) AS DOUBLE)
+           / sum(n) OVER (PARTITION BY origin, basin) / 100 AS basin_mean,
+         CAST(sum(s) OVER (PARTITION BY origin, division) AS DOUBLE)
+           / sum(n) OVER (PARTITION BY origin, division) / 100 AS division_mean
+  FROM ms)
+SELECT t.origin, t.quarter, t.series, m.series_mean, m.basin_mean, m.division_mean, t.rev
+FROM tr t JOIN mm m ON t.origin = m.origin AND t.series = m.series""",
     }

@@ -25,6 +25,9 @@ class RunParams:
     mask_actuals: bool = True
     oil_leads: bool = True
     lookback_months: int = 12
+    model_series: tuple[str, ...] | None = None        # series that get models (None: all)
+    worldwide_features: tuple[str, ...] | None = None  # M7: own regressor list of Worldwide series
+    forest_depth: int = 12
 
     @property
     def pickups(self):
@@ -41,8 +44,3 @@ class RunParams:
     @property
     def stage2_windows(self) -> list[OriginWindow]:
         return [OriginWindow.stage2(p, self.interval) for p in self.pickups]
-
-    def single(self, k: int = 0) -> RunParams:
-        """Parameters of the k-th origin alone."""
-        from dataclasses import replace
-        return replace(self, first_pickup=str(self.pickups[k]), n_origins=1)

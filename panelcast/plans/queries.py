@@ -1,7 +1,9 @@
 """Registered queries: one callable per operator group of SURVEY 2.13.
 
-Each callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame over
-the whole driver tables. Column names and types match the DuckDB oracle in
+Each callable takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
+driver tables. Shared intermediates (panel, frames, forecasts) are written to the
+checkpoint folder when a query first needs them, so calling a query runs them; what
+is returned is the last, lazy step. Column names and types match the DuckDB oracle in
 :mod:`panelcast.plans.oracle` (STRING / BIGINT / DOUBLE only; floating
 means rounded to cents like the panel itself, F5).
 """
@@ -9,17 +11,19 @@ means rounded to cents like the panel itself, F5).
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_numeric, to_double
 from ..operators import features as feat
-from ..operators.models.trend import TREND
-from ..operators.panel import (WORLDWIDE, actuals_quarterly, restrict_series, rig_quarterly,
-                               weighted_quarterly)
+from ..operators.models.trend import TREND, TREND_SEASONAL
+from ..operators.panel import WORLDWIDE, actuals_quarterly, rig_quarterly, weighted_quarterly
 from ..operators.scoring import ground_truth
-from ..operators.selection import earliest_snapshot, latest_snapshot, model_errors, winners
+from ..operators.selection import (earliest_snapshot, inspect_models, latest_snapshot,
+                                   model_errors, winners)
+from ..sources import business as biz
 from ..sources.tables import Tables
 from . import backtest as bt
 from .params import RunParams
@@ -29,26 +33,38 @@ PARAMS = RunParams()
 # list the Worldwide series for the series-membership query.
 DIVISIONS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 WORLDWIDE_SERIES = tuple(f"{WORLDWIDE}-{d}" for d in DIVISIONS)
+TWO_SERIES = (f"{WORLDWIDE}-BUILDING", "ASIA-MACHINERY")
 
 
-_INPUTS: dict[tuple[str, str], bt.PanelInputs] = {}
+_INPUTS: dict[tuple, bt.PanelInputs] = {}
 
 
-def _inputs(spark: SparkSession, sf_dir: str) -> bt.PanelInputs:
-    """Panel inputs of a table folder, checkpointed once per application.
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Length and modification time of the files of the tables the panel reads."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for name in ("region", "nation", "customer", "orders", "lineitem"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        for f in path.getFileSystem(conf).listStatus(path):
+            out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
+
 
-    Every query of the registry starts from the same keyed panel; keeping
-    the checkpointed panel per (application, folder) means the fact tables
-    are scanned once per session, not once per query.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir)
+def _inputs(spark: SparkSession, sf_dir: str) -> bt.PanelInputs:
+    """Panel inputs of a table folder, checkpointed once per application and state of
+    its files: queries share one panel, and changed files get a new one."""
+    key = (spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir))
     if key not in _INPUTS:
+        for old in [k for k in _INPUTS if k[0] != key[0] or k[1] == sf_dir]:
+            del _INPUTS[old]
         _INPUTS[key] = bt.PanelInputs(Tables(spark, sf_dir), checkpoint=True)
     return _INPUTS[key]
 
 
 def weighted_fcst_monthly(spark, sf_dir):
-    return to_double(_inputs(spark, sf_dir).weighted)
+    """S1 alone: its own pass, with the order date range in the scan."""
+    fact = biz.sales_fact(Tables(spark, sf_dir), orders_from=biz.WEIGHTED_FROM)
+    return to_double(biz.weighted_monthly(fact))
 
 
 def quarterly_with_worldwide(spark, sf_dir):
@@ -77,7 +93,6 @@ def training_frame(spark, sf_dir):
 
 
 def worldwide_training_frame(spark, sf_dir):
-    from dataclasses import replace
     return bt.training(_inputs(spark, sf_dir), replace(PARAMS, series=WORLDWIDE_SERIES))
 
 
@@ -169,14 +184,26 @@ def additive_frame(spark, sf_dir):
 
 
 def combine_stage_forecasts(spark, sf_dir):
-    fc = bt.trend_forecasts(_inputs(spark, sf_dir), PARAMS, seasonal_variants=(True,))
-    return bt.combine_stage_forecasts(fc, fc)
+    """J9 over two different forecasts: margin of the line, revenue of the seasonal model."""
+    fc = bt.trend_forecasts(_inputs(spark, sf_dir), PARAMS)
+    return bt.combine_stage_forecasts(fc.where(F.col("model") == TREND_SEASONAL),
+                                      fc.where(F.col("model") == TREND))
 
 
 def listed_trend_forecast(spark, sf_dir):
-    """P14 on the model side: forecasts only for the listed (Worldwide) series."""
-    fc = bt.trend_forecasts(_inputs(spark, sf_dir), PARAMS)
-    return restrict_series(fc, WORLDWIDE_SERIES)
+    """P14 on the model side: models fitted for the listed (Worldwide) series only."""
+    return bt.trend_forecasts(_inputs(spark, sf_dir), replace(PARAMS, model_series=WORLDWIDE_SERIES))
+
+
+def two_series_forecast(spark, sf_dir):
+    """Features for all series, models for two."""
+    return bt.trend_forecasts(_inputs(spark, sf_dir), replace(PARAMS, model_series=TWO_SERIES))
+
+
+def inspect_models_q(spark, sf_dir):
+    """P20: one series under two model labels."""
+    return inspect_models(bt.snapshots(_inputs(spark, sf_dir), PARAMS), TWO_SERIES[0],
+                          [TREND, TREND_SEASONAL])
 
 
 SQL_CHECKED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -208,13 +235,11 @@ SQL_CHECKED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "best_model_fixed_family": best_model_fixed_family,
     "additive_frame": additive_frame,
     "combine_stage_forecasts": combine_stage_forecasts,
+    "two_series_forecast": two_series_forecast,
+    "inspect_models": inspect_models_q,
 }
 
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    out = dict(SQL_CHECKED)
-    try:
-        from .model_queries import MODEL_QUERIES
-        out.update(MODEL_QUERIES)
-    except ImportError:  # model families not built yet
-        pass
-    return out
+    from .model_queries import MODEL_QUERIES
+    return SQL_CHECKED | MODEL_QUERIES

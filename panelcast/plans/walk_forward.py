@@ -6,7 +6,9 @@ computed in one job and the snapshot recursion is unrolled (see
 ``operators/scoring.py``); only the history *before the first origin* is
 read from an existing store. Snapshots and best-model rows are then written
 with dynamic partition overwrite, so rerunning the same origins replaces
-their partitions instead of duplicating them.
+them instead of duplicating them. With a store the models of every family are
+written to ``<store>/models`` and scored from there, and intermediates are deleted
+at the end; ``exports`` also writes the stage outputs as CSV.
 
     python -m panelcast.plans.walk_forward --tables /data/sf1 --store /data/store
 """
@@ -17,35 +19,58 @@ import argparse
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.scoring import ground_truth, score_forecasts
 from ..operators.selection import best_model
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_run, set_defaults
 from ..sources import store
+from ..sources.monthly import Extracts
 from ..sources.tables import Tables
 from . import backtest as bt
 from .families import FAMILIES, all_forecasts
 from .params import RunParams
 
 
-def run_walk_forward(spark: SparkSession, tables_dir: str, params: RunParams = RunParams(),
-                     store_dir: str | None = None, families=FAMILIES, with_trend: bool = True
+def run_walk_forward(spark: SparkSession, tables_dir: str | None, params: RunParams = RunParams(),
+                     store_dir: str | None = None, families=FAMILIES, with_trend: bool = True,
+                     monthly: Extracts | None = None, exports: str | None = None
                      ) -> tuple[DataFrame, DataFrame]:
     """Forecast, score and select for every origin; optionally append to a store.
 
-    Returns ``(snapshots, best)``, both materialised in the checkpoint folder.
+    Inputs are the star schema in ``tables_dir`` or the ``monthly`` extracts.
+    Returns ``(snapshots, best)`` of this run's origins: read from the store if there
+    is one, else materialised in the checkpoint folder.
     """
-    inp = bt.PanelInputs(Tables(spark, tables_dir), checkpoint=True)
-    forecasts = all_forecasts(inp, params, families, with_trend)
+    if store_dir is None:
+        return _run(spark, tables_dir, params, None, families, with_trend, monthly, exports)
+    with scratch_run(spark):
+        snaps, best = _run(spark, tables_dir, params, store_dir, families, with_trend, monthly, exports)
+        store.append_snapshot(snaps, f"{store_dir}/snapshots")
+        store.append_best(best, f"{store_dir}/best")
+        schema = best.schema
+    own = F.col("refresh_date").isin(params.origins)
+    return (store.read_snapshots(spark, f"{store_dir}/snapshots").where(own),
+            store.read_table(spark, f"{store_dir}/best", schema).where(own))
+
+
+def _run(spark, tables_dir, params, store_dir, families, with_trend, monthly, exports):
+    tables = None if tables_dir is None else Tables(spark, tables_dir)
+    inp = bt.PanelInputs(tables, checkpoint=True, monthly=monthly)
+    models = None if store_dir is None else f"{store_dir}/models"
+    forecasts = cut_lineage(all_forecasts(inp, params, families, with_trend, models))
     history = None
     if store_dir is not None:
         history = store.history_before(spark, f"{store_dir}/snapshots", params.origins[0])
-    snaps = cut_lineage(score_forecasts(forecasts, ground_truth(bt.training(inp, params)),
-                                        params.origins, history))
+    truth = ground_truth(bt.training(inp, params))
+    snaps = cut_lineage(score_forecasts(forecasts, truth, params.origins, history))
     best = cut_lineage(best_model(snaps, params.lookback_months, params.series))
-    if store_dir is not None:
-        store.append_snapshot(snaps, f"{store_dir}/snapshots")
-        store.append_best(best, f"{store_dir}/best")
+    if exports is not None:  # K4: the stage outputs of the run
+        for name, df, sort_by in (("training", bt.training(inp, params), ["series", "quarter"]),
+                                  ("ground_truth", truth, ["series", "quarter"]),
+                                  ("inference", bt.stage1_frames(inp, params), ["origin", "series", "quarter"]),
+                                  ("forecasts", forecasts, ["origin", "series", "quarter", "model"])):
+            store.export_csv(df, f"{exports}/{name}", sort_by)
     return snaps, best
 
 
@@ -56,14 +81,15 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--first-pickup", default=RunParams.first_pickup)
     ap.add_argument("--origins", type=int, default=RunParams.n_origins)
     ap.add_argument("--as-of", default=RunParams.as_of)
+    ap.add_argument("--export", help="folder for the stage outputs as CSV")
     ap.add_argument("--trend-only", action="store_true",
                     help="only the SQL-checkable trend family (fast)")
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.getOrCreate()
+    spark = set_defaults(SparkSession.builder)
     params = replace(RunParams(), first_pickup=a.first_pickup, n_origins=a.origins,
                      as_of=a.as_of)
     snaps, best = run_walk_forward(spark, a.tables, params, a.store,
-                                   families=() if a.trend_only else FAMILIES)
+                                   families=() if a.trend_only else FAMILIES, exports=a.export)
     print(f"snapshot rows: {snaps.count()}, best-model rows: {best.count()}")
 
 

@@ -1,12 +1,16 @@
 """Session helpers: a local session for tests/bench and lineage cutting.
 
-On a cluster the session comes from the caller; nothing here overrides
-its settings except where a value is unset.
+On a cluster the session comes from the caller; nothing here overrides its
+settings except where a value is unset (:func:`set_defaults`, command line only).
 """
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import contextvars
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -15,7 +19,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings a run of this library expects; on a cluster they are only
-# suggested defaults (the cluster's own values win, see ``ensure_defaults``).
+# suggested defaults (the cluster's own values win, see ``set_defaults``).
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -40,6 +44,16 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
     return spark
 
 
+def set_defaults(builder: SparkSession.Builder) -> SparkSession:
+    """A session from ``builder`` with the defaults set where the cluster sets nothing."""
+    spark = builder.getOrCreate()
+    given = dict(spark.sparkContext.getConf().getAll())
+    for k, v in DEFAULTS.items():
+        if k not in given:
+            spark.conf.set(k, v)
+    return spark
+
+
 _SHIPPED: set[str] = set()
 
 
@@ -66,9 +80,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory, taking it from the session.
 
     Uses the directory already set on the context or ``spark.checkpoint.dir``.
-    Only a local-mode session without either gets a fresh temporary folder
-    (the tests); a cluster session without one is an error, because a
-    machine-local folder would not survive the loss of an executor.
+    Only a ``local[...]`` session without either (the tests) gets a folder of its
+    own, deleted when the process ends; a cluster session without one, and that
+    includes ``local-cluster``, is an error, because a machine-local folder would
+    not survive the loss of an executor.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -78,30 +93,49 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
+    if re.match(r"local(\[|$)", sc.master):
         path = tempfile.mkdtemp(prefix="panelcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         sc.setCheckpointDir(path)
         return sc.getCheckpointDir()
-    raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/DBFS) "
+    raise RuntimeError("set spark.checkpoint.dir to a folder all executors share "
                        "before running a multi-branch plan")
 
 
+_RUN: contextvars.ContextVar[str | None] = contextvars.ContextVar("panelcast_run", default=None)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+@contextlib.contextmanager
+def scratch_run(spark: SparkSession):
+    """Tables written by :func:`cut_lineage` inside the block are deleted at its end;
+    nothing lazy that reads them may leave it."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/panelcast/run-{uuid.uuid4().hex}"
+    token = _RUN.set(path)
+    try:
+        yield path
+    finally:
+        _RUN.reset(token)
+        _delete(spark, path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise a small, much-reused intermediate as a Parquet table in the
+    """Materialise a much-reused intermediate as a Parquet table in the
     shared checkpoint folder and continue from that table.
 
-    Used for the quarterly panel (the product of the only passes over the
-    large fact tables, read by every later branch) and for the per-origin
-    frames and forecasts the model families share. The table survives the
-    loss of any executor, later plans start from a plain Parquet scan with
-    real size statistics (so the planner's broadcast size check sees the
-    true size), and no lineage or inferred constraints of the producing
+    The table survives the loss of any executor, later plans start from a plain
+    Parquet scan with real size statistics (so the planner's broadcast size check
+    sees the true size), and no lineage or inferred constraints of the producing
     plan are carried along. ``Dataset.checkpoint`` would also cut the
     lineage, but it re-derives the constraints of the whole producing plan,
     which explodes for 40-column frames filtered on every column.
     """
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/panelcast/{uuid.uuid4().hex}"
+    root = _RUN.get() or f"{ensure_checkpoint_dir(spark).rstrip('/')}/panelcast"
+    path = f"{root}/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

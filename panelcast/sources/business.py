@@ -24,14 +24,15 @@ half-even rounding tie). Query edges cast to DOUBLE once.
 
 Scale notes (lineitem and orders are the only large inputs):
 
-* lineitem is joined to orders on the order key (unique in orders, at most
-  seven lines per order: no skew), projected to four columns at the scan;
-  the join output feeds a partial aggregate in the same stage, so only
-  (customer, order month, ship month) partial sums are shuffled next.
-* those rows are aggregated per (customer, order month, ship month) before
-  the customer join, so a customer that holds a third of all orders becomes
-  a few thousand rows (months x months) after the map-side partial
-  aggregation; the customer join never sees a hot key.
+* basin and division are attached to orders first (three narrow columns; customers
+  with their geography are the other side, an ordinary exchange, so a customer that
+  holds a third of all orders is split by the adaptive planner's skew join);
+* lineitem is joined to these orders on the order key (unique in orders, at most
+  seven lines per order: no skew), projected to four columns at the scan, and
+  aggregated map-side straight to (order month, ship month, basin, division): lines
+  cross the network once, orders twice, the last exchange is months^2 x cells small;
+* rig counts and oil prices come from one aggregate of orders (:func:`order_cells`),
+  so orders and customers are scanned twice for the whole panel;
 * nation and region are tiny dimension scans; the planner broadcasts them
   behind its own size check (``autoBroadcastJoinThreshold``), no hint.
 """
@@ -55,7 +56,8 @@ EXCLUDED_ORDER_STATUS = "P"
 WTI_PRIORITY = "1-URGENT"
 BRENT_PRIORITY = "5-LOW"
 MARGIN_COST_SHARE = "0.6"
-WEIGHTED_MIN_YEAR = 1995  # kept: order year > 1995
+WEIGHTED_FROM = "1996-01-01"  # kept: order year > 1995
+
 
 def customer_geo(t: Tables) -> DataFrame:
     """customer -> (custkey, basin, division)."""
@@ -74,12 +76,13 @@ def _cents(c: str) -> F.Column:
     return F.round(F.col(c) * 100).cast("bigint")
 
 
-def sales_fact(t: Tables) -> DataFrame:
+def sales_fact(t: Tables, orders_from: str | None = None) -> DataFrame:
     """Net and gross sales by (order month, ship month, basin, division).
 
-    The single pass over lineitem and orders shared by the weighted
-    forecast (S1) and the actuals (S3). Its size is months^2 x basins x
-    divisions, independent of the number of line items.
+    The single pass over lineitem shared by the weighted forecast (S1) and the
+    actuals (S3). Its size is months^2 x basins x divisions, independent of the
+    number of line items. ``orders_from`` keeps orders from that day on, as a range
+    the scan of orders can prune with (P1).
 
     The large aggregations run on exact integers: net price in 1e-4 units
     (cents x (100 - discount percent)), gross in cents. Spark's ``sum`` of a
@@ -92,13 +95,15 @@ def sales_fact(t: Tables) -> DataFrame:
         F.col("l_orderkey").alias("orderkey"), month_start("l_shipdate").alias("ship_month"),
         (_cents("l_extendedprice") * (F.lit(100) - _cents("l_discount"))).alias("net_e4"),
         _cents("l_extendedprice").alias("gross_e2"))
-    orders = t.orders.select(F.col("o_orderkey").alias("orderkey"),
-                             F.col("o_custkey").alias("custkey"),
-                             month_start("o_orderdate").alias("order_month"))
-    per_customer = (lines.join(orders, "orderkey")
-                    .groupBy("custkey", "order_month", "ship_month")
-                    .agg(F.sum("net_e4").alias("net_e4"), F.sum("gross_e2").alias("gross_e2")))
-    fact = (per_customer.join(customer_geo(t), "custkey")
+    orders = t.orders
+    if orders_from is not None:
+        orders = orders.where(F.col("o_orderdate") >= F.lit(orders_from).cast("timestamp_ntz"))
+    placed = (orders.select(F.col("o_orderkey").alias("orderkey"),
+                            F.col("o_custkey").alias("custkey"),
+                            month_start("o_orderdate").alias("order_month"))
+              .join(customer_geo(t), "custkey")
+              .select("orderkey", "order_month", "basin", "division"))
+    fact = (lines.join(placed, "orderkey")
             .groupBy("order_month", "ship_month", "basin", "division")
             .agg(F.sum("net_e4").alias("net_e4"), F.sum("gross_e2").alias("gross_e2")))
     return fact.select(
@@ -108,8 +113,9 @@ def sales_fact(t: Tables) -> DataFrame:
 
 
 def weighted_monthly(fact: DataFrame) -> DataFrame:
-    """Weighted forecast by month, basin, division; year > 1995."""
-    return (fact.where(F.year("order_month") > WEIGHTED_MIN_YEAR)
+    """Weighted forecast by month, basin, division; year > 1995. Over a fact
+    built with ``orders_from=WEIGHTED_FROM`` the range is part of the scan."""
+    return (fact.where(F.col("order_month") >= F.lit(WEIGHTED_FROM).cast("date"))
             .groupBy("order_month", "basin", "division")
             .agg(F.sum("net").alias("weighted_fcst"))
             .select(month_key("order_month").alias("year_month"), "basin", "division",
@@ -128,23 +134,30 @@ def actuals_monthly(fact: DataFrame) -> DataFrame:
             F.struct(F.col("rev").alias("total"), F.lit(ACTUALS_REV).alias("scenario")))))
 
 
-def rig_counts(t: Tables) -> DataFrame:
-    """(year_month, basin, environment, rig_count, rig_total, scenario).
+def order_cells(t: Tables) -> DataFrame:
+    """Orders by (month, basin, priority, status): count and total in cents. Orders of
+    unknown customers stay with a NULL basin (they count for oil, not for rigs)."""
+    orders = t.orders.select(
+        F.col("o_custkey").alias("custkey"), month_start("o_orderdate").alias("month"),
+        F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status"),
+        _cents("o_totalprice").alias("cents"))
+    return (orders.join(customer_geo(t).select("custkey", "basin"), "custkey", "left")
+            .groupBy("month", "basin", "priority", "status")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("cents").alias("cents")))
+
+
+def rig_counts(cells: DataFrame) -> DataFrame:
+    """S2 from :func:`order_cells`: (year_month, basin, environment, rig_count,
+    rig_total, scenario).
 
     ``rig_total`` repeats the basin total on every environment row of the
     month, as the source view does, so a quarterly mean averages rows.
     """
-    excluded = F.col("o_orderstatus") != EXCLUDED_ORDER_STATUS
-    per_customer = (t.orders
-                    .select(F.col("o_custkey").alias("custkey"),
-                            month_start("o_orderdate").alias("month"),
-                            F.col("o_orderpriority").alias("environment"), excluded.alias("kept"))
-                    .groupBy("custkey", "month", "environment")
-                    .agg(F.count(F.lit(1)).alias("n_all"), F.count_if("kept").alias("n_excl")))
-    cells = (per_customer.join(customer_geo(t), "custkey")
-             .groupBy("month", "basin", "environment")
-             .agg(F.sum("n_all").alias("n_all"), F.sum("n_excl").alias("n_excl")))
-    long = (cells.select(
+    kept = F.col("status") != EXCLUDED_ORDER_STATUS
+    wide = (cells.where(F.col("basin").isNotNull())
+            .groupBy("month", "basin", F.col("priority").alias("environment"))
+            .agg(F.sum("n").alias("n_all"), F.sum(F.when(kept, F.col("n")).otherwise(0)).alias("n_excl")))
+    long = (wide.select(
                 "month", "basin", "environment",
                 F.inline(F.array(
                     F.struct(F.col("n_all").alias("rig_count"), F.lit(RIG_ALL).alias("scenario")),
@@ -156,18 +169,18 @@ def rig_counts(t: Tables) -> DataFrame:
                        total.cast("bigint").alias("rig_total"), "scenario")
 
 
-def oil_prices(t: Tables) -> DataFrame:
-    """Monthly (year_month, brent, wti) as mean order totals per priority."""
-    cents = _cents("o_totalprice")
-    prio = F.col("o_orderpriority")
+def oil_prices(cells: DataFrame) -> DataFrame:
+    """S4 from :func:`order_cells`: monthly (year_month, brent, wti) as mean order
+    totals per priority."""
+    prio = F.col("priority")
 
     def mean_of(p: str) -> F.Column:
         # exact cents sum -> double -> / 100 equals the DECIMAL sum cast to double
-        s = F.sum(F.when(prio == p, cents)).cast("double") / 100
-        n = F.count(F.when(prio == p, F.lit(1)))
+        s = F.sum(F.when(prio == p, F.col("cents"))).cast("double") / 100
+        n = F.sum(F.when(prio == p, F.col("n")))
         return F.try_divide(s, F.nullif(n, F.lit(0)).cast("double"))
 
-    return (t.orders.where(prio.isin(WTI_PRIORITY, BRENT_PRIORITY))
-            .groupBy(month_start("o_orderdate").alias("month"))
+    return (cells.where(prio.isin(WTI_PRIORITY, BRENT_PRIORITY))
+            .groupBy("month")
             .agg(mean_of(BRENT_PRIORITY).alias("brent"), mean_of(WTI_PRIORITY).alias("wti"))
             .select(month_key("month").alias("year_month"), "brent", "wti"))

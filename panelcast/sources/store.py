@@ -3,16 +3,15 @@
 The reference appends scored snapshots and best-model rows to SQL tables
 and pickles one model file per series. Here they are Parquet tables:
 
-* snapshots are partitioned by (refresh_date, model) and best-model rows by
-  refresh_date, written with *dynamic* partition overwrite, so rerunning a
-  refresh replaces exactly its own partitions (an idempotent append) and
-  leaves every other refresh untouched;
+* snapshots and best-model rows are partitioned by refresh_date and written with
+  *dynamic* partition overwrite, so rerunning a refresh replaces it as a whole
+  (also families it no longer has) and leaves every other refresh untouched;
 * reads of the newest/oldest refresh filter on the partition column, so
   only that refresh's files are scanned (partition pruning);
 * a missing table reads as an empty frame with the right schema (S8);
   any other read error propagates;
 * ridge coefficients are a table keyed by (family, target, origin, series);
-  forests use MLlib's own ``write().save`` / ``load``.
+  forests use MLlib's own ``write().save`` / ``load`` (``models/forest.py``).
 """
 
 from __future__ import annotations
@@ -55,10 +54,10 @@ def write_table(df: DataFrame, path: str, if_exists: str = "fail") -> None:
 
 
 def append_snapshot(df: DataFrame, path: str) -> None:
-    """K2: append scored snapshots; rerunning a refresh replaces its partitions."""
+    """K2: append scored snapshots; rerunning a refresh replaces it as a whole."""
     (df.select(*[f.name for f in SNAPSHOT_SCHEMA.fields])
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("refresh_date", "model").parquet(path))
+     .partitionBy("refresh_date").parquet(path))
 
 
 def append_best(df: DataFrame, path: str) -> None:
@@ -104,14 +103,13 @@ def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, SNAPSHOT_SCHEMA)
 
 
-def _edge_snapshot(spark: SparkSession, path: str, newest: bool) -> DataFrame:
+def _edge_snapshot(store: DataFrame, newest: bool) -> DataFrame:
     """Rows of the newest (or oldest) refresh.
 
     The refresh key is a partition column: the scalar max/min is computed
     first and used as a literal filter, so the scan of the rows prunes to
     one partition directory instead of reading the whole history.
     """
-    store = read_snapshots(spark, path)
     agg = F.max("refresh_date") if newest else F.min("refresh_date")
     edge = store.select("refresh_date").distinct().agg(agg.alias("r")).first()
     if edge is None or edge["r"] is None:
@@ -120,17 +118,18 @@ def _edge_snapshot(spark: SparkSession, path: str, newest: bool) -> DataFrame:
 
 
 def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    return _edge_snapshot(spark, path, newest=True)
+    return _edge_snapshot(read_snapshots(spark, path), newest=True)
 
 
 def earliest_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    return _edge_snapshot(spark, path, newest=False)
+    return _edge_snapshot(read_snapshots(spark, path), newest=False)
 
 
 def history_before(spark: SparkSession, path: str, origin: str) -> DataFrame:
-    """Rows of the newest snapshot for quarters before ``origin`` (P10), the
-    history a new refresh carries forward (``quarter, series, cm, rev, model``)."""
-    return (latest_snapshot(spark, path).where(F.col("quarter") < origin)
+    """Rows of the newest snapshot refreshed before ``origin``, for quarters before it
+    (P10): the history a new refresh carries forward (``quarter, series, cm, rev, model``)."""
+    past = read_snapshots(spark, path).where(F.col("refresh_date") < origin)
+    return (_edge_snapshot(past, newest=True).where(F.col("quarter") < origin)
             .select("quarter", "series", "cm", "rev", "model"))
 
 
@@ -152,14 +151,3 @@ def load_coefficients(spark: SparkSession, path: str, family: str, target: str,
     if origin is not None:
         df = df.where(F.col("origin") == origin)
     return df.select("origin", "series", "h", "beta")
-
-
-def save_forest(model, path: str) -> None:
-    """K5 for MLlib forests (one pooled model per target and origin)."""
-    model.write().overwrite().save(path)
-
-
-def load_forest(path: str):
-    """S9 for MLlib forests."""
-    from pyspark.ml.regression import RandomForestRegressionModel
-    return RandomForestRegressionModel.load(path)

@@ -6,11 +6,6 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-               "events", "documents", "embeddings", "pages", "benchmark", "labels",
-               "conversations")
-
-
 class Tables:
     """Lazy ``spark.read.parquet`` per table; nothing is scanned until an action.
 

@@ -1,19 +1,19 @@
 """Hand-worked fixtures (FIXTURES.md section 3) as small DataFrames."""
 
 WEIGHTED = [  # year_month, basin, division, weighted_fcst
-    ("2021-01", "AML", "DAI", 100.0), ("2021-02", "AML", "DAI", 50.0),
-    ("2021-01", "ELIM", "DAI", -30.0), ("2021-01", "AML", "N/A", 575.0),
-    ("2021-04", "AML", "DAI", None), ("2021-01", None, "DAI", 999.0),
+    ("2021-01", "B1", "D1", 100.0), ("2021-02", "B1", "D1", 50.0),
+    ("2021-01", "ELIM", "D1", -30.0), ("2021-01", "B1", "N/A", 575.0),
+    ("2021-04", "B1", "D1", None), ("2021-01", None, "D1", 999.0),
 ]
 RIG = [  # year_month, basin, environment, rig_count, rig_total, scenario
-    ("2021-01", "AML", "LAND", 10, 10, "EXCL"), ("2021-02", "AML", "LAND", 20, 20, "EXCL"),
-    ("2021-01", "AML", "LAND", 30, 30, "ALL"), ("2021-01", "ELIM", "LAND", 5, 5, "ALL"),
-    ("2021-04", "AML", "LAND", 7, 7, "EXCL"), ("2021-04", "AML", "LAND", 9, 9, "ALL"),
+    ("2021-01", "B1", "LAND", 10, 10, "EXCL"), ("2021-02", "B1", "LAND", 20, 20, "EXCL"),
+    ("2021-01", "B1", "LAND", 30, 30, "ALL"), ("2021-01", "ELIM", "LAND", 5, 5, "ALL"),
+    ("2021-04", "B1", "LAND", 7, 7, "EXCL"), ("2021-04", "B1", "LAND", 9, 9, "ALL"),
 ]
 ACTUALS = [  # year_month, basin, division, total, scenario
-    ("2021-01", "AML", "DAI", 40.0, "CM"), ("2021-01", "AML", "DAI", 100.0, "REV"),
-    ("2021-04", "AML", "DAI", 0.0, "CM"), ("2021-04", "AML", "DAI", 50.0, "REV"),
-    ("2021-01", "BRZ", "OTH", 5.0, "REV"), ("2021-01", "ELIM", "DAI", -10.0, "REV"),
+    ("2021-01", "B1", "D1", 40.0, "CM"), ("2021-01", "B1", "D1", 100.0, "REV"),
+    ("2021-04", "B1", "D1", 0.0, "CM"), ("2021-04", "B1", "D1", 50.0, "REV"),
+    ("2021-01", "BRZ", "OTH", 5.0, "REV"), ("2021-01", "ELIM", "D1", -10.0, "REV"),
 ]
 
 
@@ -36,7 +36,7 @@ def two_series_panel(spark):
     rows = []
     quarters = ["2021Q1", "2021Q2", "2021Q3", "2021Q4", "2022Q1", "2022Q2"]
     for i, q in enumerate(quarters):
-        rows.append((q, "A-DAI", 10.0 + i, 100.0 + i, 200.0 + i, 5.0 + i, 50.0 + i))
+        rows.append((q, "A-D1", 10.0 + i, 100.0 + i, 200.0 + i, 5.0 + i, 50.0 + i))
         if q != "2021Q3":
             rows.append((q, "B-N/A", 20.0 + i, 300.0 + i, 400.0 + i,
                          None if q == "2021Q2" else 7.0 + i, 70.0 + i))

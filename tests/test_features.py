@@ -15,9 +15,9 @@ def test_training_frame_row_based_lags_and_filters(spark):
     assert max(q for q, _ in got) == "2022Q1"
     # B misses 2021Q3: lag 1 at 2021Q4 is the previous *row* (2021Q2)
     b = got[("2021Q4", "B-N/A")]
-    assert b.gac_lag1 == 301.0 and b.gac_lag2 == 300.0 and b.gac_lag3 is None
-    assert b.gac_lead1 == 304.0
-    assert got[("2021Q1", "A-DAI")].rev_lag1 is None
+    assert b.rig_ex_lag1 == 301.0 and b.rig_ex_lag2 == 300.0 and b.rig_ex_lag3 is None
+    assert b.rig_ex_lead1 == 304.0
+    assert got[("2021Q1", "A-D1")].rev_lag1 is None
     assert set(tr.columns) == set(feat.BASE_COLUMNS) | set(feat.feature_names())
     assert len(feat.feature_names()) == 28
 
@@ -28,7 +28,7 @@ def test_lead_is_inverse_of_lag(spark):
     rows = sorted(tr.collect(), key=lambda r: (r.series, r.quarter))
     for a, b in zip(rows, rows[1:]):
         if a.series == b.series:
-            assert a.c4c_lead1 == b.c4c_rev and b.c4c_lag1 == a.c4c_rev
+            assert a.pipeline_lead1 == b.pipeline and b.pipeline_lag1 == a.pipeline
             assert b.rev_lag1 == a.rev
 
 
@@ -36,7 +36,7 @@ def test_rounding_to_cents_half_even(spark):
     panel, oil = two_series_panel(spark)
     panel = panel.withColumn("weighted_fcst", panel.weighted_fcst * 0 + 0.575)
     tr = feat.training_frame(panel, oil, "2021-01-01", 4, "2021-06-01")
-    assert {r.c4c_rev for r in tr.collect()} == {0.57}
+    assert {r.pipeline for r in tr.collect()} == {0.57}
 
 
 def test_inference_frame_masks_actuals_before_lags(spark):
@@ -44,7 +44,7 @@ def test_inference_frame_masks_actuals_before_lags(spark):
     masked = by_key(feat.inference_frame(panel, oil, "2022-01-01", 2))
     raw = by_key(feat.inference_frame(panel, oil, "2022-01-01", 2, mask_actuals=False))
     assert sorted(q for q, _ in masked) == ["2022Q1", "2022Q1", "2022Q2", "2022Q2"]
-    m, r = masked[("2022Q2", "A-DAI")], raw[("2022Q2", "A-DAI")]
+    m, r = masked[("2022Q2", "A-D1")], raw[("2022Q2", "A-D1")]
     assert (m.rev, m.cm, m.rev_lag1) == (0.0, 0.0, 0.0)  # blanked, then zero-filled
     assert r.rev_lag1 == 54.0 and m.rev_lag2 == r.rev_lag2 == 53.0
     # no feature at or after the origin reads a target at or after it
@@ -74,7 +74,7 @@ def test_stage2_window_keeps_true_origin():
 def test_recency_weights(spark):
     from fixtures import PANEL_SCHEMA
     qs = [f"{y}Q{q}" for y in (2020, 2021, 2022) for q in (1, 2, 3, 4)]
-    panel = spark.createDataFrame([(q, "A-DAI", 1.0 + i, 2.0, 3.0, 4.0, 5.0 + i)
+    panel = spark.createDataFrame([(q, "A-D1", 1.0 + i, 2.0, 3.0, 4.0, 5.0 + i)
                                    for i, q in enumerate(qs)], PANEL_SCHEMA)
     oil = spark.createDataFrame([(q, 1.0, 2.0) for q in qs],
                                 "quarter string, brent double, wti double")

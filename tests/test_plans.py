@@ -1,5 +1,6 @@
 """Physical-plan checks: what the planner does with the registered queries."""
 import re
+from pathlib import Path
 
 import pytest
 
@@ -23,19 +24,56 @@ def test_no_pairwise_joins_or_python_in_relational_queries(spark, name):
     assert "FlatMapGroupsInPandas" not in p
 
 
-def test_fact_pass_reads_only_needed_columns(spark):
-    fact = biz.sales_fact(Tables(spark, SF))
-    p = plan(fact)
-    schemas = re.findall(r"FileScan parquet [^\[]*\[([^\]]*)\]", p)
-    line = [s for s in schemas if "l_orderkey" in s]
-    assert line and all(c.split(":")[0].split("#")[0] in
-                        {"l_orderkey", "l_extendedprice", "l_discount", "l_shipdate"}
-                        for c in line[0].split(","))
-    # one scan of lineitem, aggregated before the customer join
-    assert p.count("lineitem.parquet") == 1
+def scans(p: str, table: str) -> int:
+    return p.count(f"{table}.parquet")
+
+
+def test_source_plans(spark):
+    """Lines are exchanged once, orders twice, each table is scanned once per pass."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        t = Tables(spark, SF)
+        fact, cells = plan(biz.sales_fact(t)), plan(biz.order_cells(t))
+        pruned = plan(biz.weighted_monthly(biz.sales_fact(t, biz.WEIGHTED_FROM)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert [scans(fact, x) for x in ("lineitem", "orders", "customer")] == [1, 1, 1]
+    assert [scans(cells, x) for x in ("lineitem", "orders", "customer")] == [0, 1, 1]
+    by_key = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", fact)
+    assert sum("orderkey" in k for k in by_key) == 2  # lines and placed orders, once each
+    assert sum("order_month" in k for k in by_key) == 1  # the small cells
+    assert sum(re.match(r"custkey", k) is not None for k in by_key) == 2  # orders and customers
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(o_orderdate", pruned)
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", fact)
+    line = next(s for s in schemas if "l_orderkey" in s)
+    assert {c.split(":")[0] for c in line.split(",")} == {"l_orderkey", "l_extendedprice", "l_discount", "l_shipdate"}
 
 
 def test_panel_build_scans_lineitem_once(spark):
     inp = bt.PanelInputs(Tables(spark, SF), checkpoint=True)
     keyed = inp.keyed   # fact materialised once, weighted and actuals read it
     assert "lineitem.parquet" not in plan(keyed)
+    assert "orders.parquet" not in plan(inp.oil) + plan(inp.rig)
+
+
+def test_a_run_leaves_no_intermediate(spark):
+    from panelcast.session import cut_lineage, scratch_run
+    with scratch_run(spark) as path:
+        kept = cut_lineage(spark.range(5))
+        assert kept.count() == 5 and list(Path(path.removeprefix("file:")).iterdir())
+    assert not Path(path.removeprefix("file:")).exists()
+
+
+def test_changed_files_get_a_new_panel(spark, scratch):
+    import shutil
+    from panelcast.plans import queries as Q
+    root = Path(scratch) / "t"
+    shutil.copytree(SF, root)
+    first = Q._inputs(spark, str(root))
+    assert Q._inputs(spark, str(root)) is first
+    shutil.copy(f"{SF}/orders.parquet", root / "orders2")
+    (root / "orders.parquet").chmod(0o644)
+    (root / "orders.parquet").write_bytes((root / "orders2").read_bytes())
+    assert Q._inputs(spark, str(root)) is not first

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from panelcast.sources import store
 
 
@@ -20,8 +22,24 @@ def test_append_is_idempotent_per_refresh(spark, scratch):
     assert store.history_before(spark, path, "2021Q2").count() == 1
 
 
+def test_rerun_with_fewer_models_leaves_none_behind(spark, scratch):
+    path = f"{scratch}/snap"
+    both = snap(spark, "2021Q1", 1.0).unionByName(snap(spark, "2021Q1", 5.0).withColumn("model", F.lit("N")))
+    store.append_snapshot(both, path)
+    store.append_snapshot(snap(spark, "2021Q1", 2.0), path)
+    assert [(r.model, r.rev) for r in store.read_snapshots(spark, path).collect()] == [("M", 2.0)]
+
+
+def test_history_comes_from_before_the_origin(spark, scratch):
+    path = f"{scratch}/snap"
+    for refresh, value in (("2021Q2", 2.0), ("2021Q3", 3.0), ("2022Q1", 9.0)):
+        store.append_snapshot(snap(spark, refresh, value), path)
+    assert [r.rev for r in store.history_before(spark, path, "2021Q4").collect()] == [3.0]
+    assert store.history_before(spark, path, "2021Q2").count() == 0
+
+
 def test_table_modes_and_csv(spark, scratch):
-    df = spark.createDataFrame([("AML", "N/A", 1.0)], "basin string, division string, v double")
+    df = spark.createDataFrame([("B1", "N/A", 1.0)], "basin string, division string, v double")
     store.write_table(df, f"{scratch}/t", "fail")
     store.write_table(df, f"{scratch}/t", "append")
     assert spark.read.parquet(f"{scratch}/t").count() == 2
