@@ -35,3 +35,27 @@ def test_entry_smoke_has_stable_schema(spark):
     assert first.count() > 0
     again = E.entry(spark)
     assert again.schema.simpleString() == first.schema.simpleString()
+
+
+def test_entry_works_without_the_optional_parts(tmp_path):
+    """The optional subpackage and the corpus pipeline may be removed; a broken import
+    inside them is not hidden."""
+    import shutil
+    skip = shutil.ignore_patterns("llm", "__pycache__")
+    shutil.copytree(ROOT / "panelcast", tmp_path / "panelcast", ignore=skip)
+    shutil.copy(ROOT / "__spark_entry__.py", tmp_path)
+    code = ("import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); "
+            "assert not [n for n in q if n.startswith('op')] and 'pipeline' not in q and set(o) <= set(q); "
+            "print('NAMES', len(q))")
+    res = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert "NAMES" in res.stdout, res.stderr[-2000:]
+    (tmp_path / "corpus_pipeline.py").write_text("import no_such_module\n")
+    res = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert "no_such_module" in res.stderr
+
+
+def test_nothing_else_imports_the_optional_subpackage():
+    for path in (ROOT / "panelcast").rglob("*.py"):
+        if "llm" not in path.relative_to(ROOT).parts:
+            text = path.read_text()
+            assert ".llm" not in text and "import llm" not in text, path
