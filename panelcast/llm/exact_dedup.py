@@ -74,7 +74,8 @@ def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str,
     names = gone.distinct().select(F.col("id").alias("__id"), F.col("key").alias("__key"))
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     same = (F.col(f"`{id_col}`").cast("long") == F.col("__id")) & (key_of(text) == F.col("__key"))
-    return docs.join(cut_lineage(names), same, "left_anti")
+    # The list grows with the corpus: merged, not broadcast, at any size.
+    return docs.join(cut_lineage(names).hint("merge"), same, "left_anti")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
