@@ -19,6 +19,7 @@ The result is exact: a line goes if and only if some run of ``run`` lines around
 it also starts earlier, in a document with a smaller id or earlier in its own.
 A frequent line costs one row per task in step 2 and 3 (map-side combine); the
 joins are with tables written before, which the adaptive planner splits if hot.
+These tables grow with the corpus, so they are merged, not broadcast, at any size.
 
 Edge cases: a null text is empty, with no line; a document with fewer than ``run``
 lines loses none; a null id counts as smaller than any other; rows repeated under
@@ -94,11 +95,11 @@ def repeated_runs(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
     windows = cut_lineage(line_windows(docs, run))
     again = cut_lineage(windows.filter("leads").groupBy("fingerprint").count()
                         .filter("count > 1").select("fingerprint"))
-    met = windows.join(again, "fingerprint", "left_semi")
+    met = windows.join(again.hint("merge"), "fingerprint", "left_semi")
     place = F.struct("key", "body", "place")
     first = cut_lineage(met.groupBy("run_a", "run_b").agg(F.min(place).alias("first"), F.max(place).alias("last"))
                         .filter("first != last").drop("last"))
-    return (met.join(first, ["run_a", "run_b"]).filter(place != F.col("first"))
+    return (met.join(first.hint("merge"), ["run_a", "run_b"]).filter(place != F.col("first"))
             .groupBy("key", "body").agg(F.collect_set("place").alias("places")))
 
 
@@ -119,7 +120,8 @@ def drop_lines(text: bytes, places: list[int], run: int) -> tuple[bytes, int, in
 def line_dedup(docs: DataFrame, run: int = RUN_LINES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, text, n_lines, n_removed`` for every row: the text that stays."""
     base = keyed(docs, id_col, text_col)
-    joined = base.join(cut_lineage(repeated_runs(base, run)), ["key", "body"], "left").select("id", "text", "places")
+    repeats = cut_lineage(repeated_runs(base, run)).hint("merge")
+    joined = base.join(repeats, ["key", "body"], "left").select("id", "text", "places")
     names = [c.split()[0] for c in CLEANED.split(", ")]
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
