@@ -58,6 +58,15 @@ class Sketch:
     def __init__(self, bits: int, rows: list[np.ndarray]):
         self.bits, self.rows = bits, rows
 
+    def __getstate__(self):
+        """Broadcasts carry the mostly empty bitmaps compressed: every executor and the
+        driver keep a copy on disk."""
+        return self.bits, [(len(r), zlib.compress(r.tobytes(), 1)) for r in self.rows]
+
+    def __setstate__(self, state):
+        self.bits, rows = state
+        self.rows = [np.frombuffer(zlib.decompress(data, bufsize=n), np.uint8) for n, data in rows]
+
     def repeated(self, keys: np.ndarray) -> np.ndarray:
         out = np.ones(len(keys), bool)
         for row, bitmap in enumerate(self.rows):

@@ -31,11 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blobs, sketch
-from .common import cut_lineage, ship_package, word_count
+from .common import cut_lineage, ship_package
 from .line_dedup import keyed
 from .textblocks import blocks, run_hashes, window_starts, word_hashes
 
-WIDTH, MAX_BITS, ENTRIES_PER_BUCKET = 20, 29, 1_500_000
+WIDTH, MAX_BITS, BYTES_PER_WORD, WINDOWS_PER_BUCKET = 20, 29, 6, 2_000_000
 FLUSH_ENTRIES = 3_000_000
 CLEANED = "id long, text string, n_words long, n_removed long"
 
@@ -187,9 +187,10 @@ def repeated_ranges(docs: DataFrame, width: int, counting: sketch.Sketch, n_buck
     return late.mapInArrow(per_document, "key long, body long, starts array<long>, ends array<long>")
 
 
-def window_count(docs: DataFrame, width: int) -> int:
-    n = docs.agg(F.sum(F.greatest(word_count(F.col("text")) - (width - 1), F.lit(0)))).head()[0]
-    return int(n or 0)
+def window_estimate(docs: DataFrame) -> int:
+    """About as many words as the texts hold, from their bytes; it sizes the sketch and
+    the buckets and has no part in the result."""
+    return int(docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0) // BYTES_PER_WORD
 
 
 def substring_dedup(docs: DataFrame, width: int = WIDTH, max_bits: int = MAX_BITS, id_col: str = "doc_id",
@@ -198,7 +199,7 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, max_bits: int = MAX_BIT
     spark = docs.sparkSession
     ship_package(spark)
     base = keyed(docs, id_col, text_col)
-    n = window_count(base, width)
+    n = window_estimate(base)
     bits = min(max_bits, max(10, (3 * n - 1).bit_length()))
 
     def keys_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -206,9 +207,9 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, max_bits: int = MAX_BIT
             yield block_windows(block, block.words(), width)[0]
 
     counting = sketch.build(base.select("text"), keys_of, bits)
-    n_buckets = max(16, -(-n // (4 * ENTRIES_PER_BUCKET)))
+    n_buckets = max(16, -(-n // WINDOWS_PER_BUCKET))
     gone = cut_lineage(repeated_ranges(base.select("text", "key", "body"), width, counting, n_buckets))
-    joined = base.join(gone, ["key", "body"], "left").select("id", "text", "starts", "ends")
+    joined = base.join(gone.hint("merge"), ["key", "body"], "left").select("id", "text", "starts", "ends")
     names = [c.split()[0] for c in CLEANED.split(", ")]
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
