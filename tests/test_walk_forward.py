@@ -32,3 +32,24 @@ def test_command_line_run(spark, scratch, capsys):
     out = capsys.readouterr().out
     assert "snapshot rows:" in out and "best-model rows:" in out
     assert store.read_snapshots(spark, f"{scratch}/snapshots").count() > 0
+
+
+def test_models_exports_and_rerun_with_fewer_families(spark, scratch):
+    """A stored run leaves its models and exports, and a rerun with fewer families
+    leaves none of the dropped family's rows."""
+    from pathlib import Path
+
+    from panelcast.operators.models import ridge
+    one = replace(RunParams(), n_origins=1, model_series=("Worldwide-BUILDING", "Worldwide-MACHINERY"))
+    snaps, _ = run_walk_forward(spark, SF, one, scratch, families=(ridge.ADDITIVE, ridge.AR_DIRECT),
+                                exports=f"{scratch}/csv")
+    assert {r.model for r in snaps.select("model").distinct().collect()} >= {ridge.ADDITIVE, ridge.AR_DIRECT}
+    assert {r.series for r in snaps.select("series").distinct().collect()} == set(one.model_series)
+    for family, steps in ((ridge.ADDITIVE, {None}), (ridge.AR_DIRECT, {1, 2, 3, 4})):
+        coefs = store.load_coefficients(spark, f"{scratch}/models/coefficients", family, "cm")
+        assert {r.h for r in coefs.collect()} == steps
+    assert {p.name for p in Path(f"{scratch}/csv").iterdir()} == {"training", "ground_truth", "inference", "forecasts"}
+    truth = spark.read.option("header", True).csv(f"{scratch}/csv/ground_truth")
+    assert truth.count() > 0 and "actual_revenue" in truth.columns
+    again, _ = run_walk_forward(spark, SF, one, scratch, families=(ridge.ADDITIVE,), with_trend=False)
+    assert {r.model for r in again.select("model").distinct().collect()} == {ridge.ADDITIVE}
