@@ -42,13 +42,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blobs
-from .common import cut_lineage, narrow, ship_package
+from .common import cut_lineage, narrow, scalar, ship_package
 from .components import components
 from .exact_dedup import without
 from .textblocks import LOWER_ASCII, blocks, mix, run_hashes, word_hashes
 
 SHINGLE, PERCENT = 5, 75
-UNIT_SHINGLES, BUCKET_SHINGLES, BLOCK_SHINGLES = 2_000_000, 2_000_000, 4_000_000
+UNIT_SHINGLES, TASK_SHINGLES, BLOCK_SHINGLES = 2_000_000, 1_000_000, 4_000_000
+# Several buckets a task, so that dealing them by hash leaves no task with many times the mean.
+BUCKETS_PER_TASK = 4
 HOT_SHARE = 1024
 LOW48 = np.uint64((1 << 48) - 1)
 SETS = "kind int, id long, body long, n long, k1 long, k2 long"
@@ -361,33 +363,123 @@ def join_blocks(placed: DataFrame, percent: int = PERCENT) -> DataFrame:
     return placed.sortWithinPartitions("job", "n", "node").mapInArrow(work, "node long, root long")
 
 
+def spanning(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A forest that connects what the edges (a, b) connect: at most one edge a node."""
+    nodes, ends = np.unique(np.stack([a, b]), return_inverse=True)
+    parent = list(range(len(nodes)))
+
+    def find(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for i, j in zip(*ends.reshape(2, -1).tolist()):
+        i, j = find(i), find(j)
+        if i != j:
+            parent[max(i, j)] = min(i, j)
+    root = np.array([find(i) for i in range(len(nodes))], np.int64)
+    moved = root != np.arange(len(nodes))
+    return np.stack([nodes[moved], nodes[root[moved]]]) if len(nodes) else np.zeros((2, 0), np.int64)
+
+
+def star_edges(candidates: DataFrame) -> DataFrame:
+    """``a, b``: edges that connect every candidate with the first holder of each of its
+    prefix shingles. Holders inside a task meet there, so a frequent shingle leaves a
+    task as one entry; entries are dealt by shingle in packed arrays, and a task gives
+    a spanning forest of its edges."""
+    entries = scalar(candidates.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))))
+    n_buckets = int(max(16, -(-entries // TASK_SHINGLES)))
+
+    def firsts(token, node):
+        order = np.lexsort((node, token))
+        token, node = token[order], node[order]
+        at = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+        first = np.repeat(node[at], np.diff(np.concatenate([at, [len(token)]])))
+        late = first != node
+        return token[at], node[at], spanning(node[late], first[late])
+
+    def cells(rows):
+        b, kind, c = zip(*rows)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(b, pa.int32()), pa.array(kind, pa.int32()), pa.array(c, pa.binary())], ["bucket", "kind", "cell"])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, nodes, size = [], [], 0
+
+        def out():
+            token, node, edges = firsts(np.concatenate(tokens), np.concatenate(nodes))
+            bucket = (mix(token.view(np.uint64)) % np.uint64(n_buckets)).astype(np.int64)
+            order, off = blobs.by_bucket(bucket, n_buckets)
+            rows = [(int(k), 0, blobs.pack(token[order[off[k]:off[k + 1]]], node[order[off[k]:off[k + 1]]]))
+                    for k in np.flatnonzero(off[1:] > off[:-1])]
+            for i in range(0, edges.shape[1], 100_000):
+                part = edges[:, i:i + 100_000]
+                rows.append((int(part[0, 0] % n_buckets), 1, blobs.pack(part[0].copy(), part[1].copy())))
+            for i in range(0, len(rows), 256):
+                yield cells(rows[i:i + 256])
+
+        for batch in batches:
+            prefix = batch.column("prefix")
+            tokens.append(prefix.flatten().to_numpy(zero_copy_only=False).astype(np.int64))
+            nodes.append(np.repeat(batch.column("node").to_numpy(), prefix.value_lengths().to_numpy(zero_copy_only=False)))
+            size += len(tokens[-1])
+            if size >= UNIT_SHINGLES:
+                yield from out()
+                tokens, nodes, size = [], [], 0
+        if size:
+            yield from out()
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = []
+        for batch in batches:
+            for kind, c in zip(batch.column("kind").to_pylist(), batch.column("cell")):
+                a, b = blobs.unpack(c.as_buffer().to_pybytes())
+                if kind:
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                else:
+                    parts.append((a, b))
+        if parts:
+            _, _, edges = firsts(*(np.concatenate(x) for x in zip(*parts)))
+            yield pa.RecordBatch.from_arrays([pa.array(edges[0].copy()), pa.array(edges[1].copy())], ["a", "b"])
+
+    dealt = candidates.select("node", "prefix").mapInArrow(deal, "bucket int, kind int, cell binary")
+    return dealt.repartition(n_buckets, "bucket").mapInArrow(join, "a long, b long")
+
+
 def similar_sets(candidates: DataFrame, percent: int = PERCENT, block_shingles: int = BLOCK_SHINGLES,
                  tasks: int = 16) -> DataFrame:
-    """``k1, k2, root``: the component of every candidate set."""
-    held = candidates.select(F.explode("prefix").alias("token"), "node")
-    first = cut_lineage(held.groupBy("token").agg(F.min("node").alias("first"), F.max("node").alias("last"))
-                        .filter("first != last").drop("last"))
-    edges = held.join(first, "token").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
-    blocks_ = cut_lineage(components(edges)).withColumnRenamed("root", "block")
-    inside = candidates.join(blocks_, "node")  # others share no prefix shingle
-    size = cut_lineage(inside.groupBy("block").agg(F.sum("held").alias("shingles")))
+    """``k1, k2, root``: the component of every candidate set that shares a prefix shingle."""
+    connected = components(star_edges(candidates)).withColumnRenamed("root", "block")
+    # Of equal sets in several units one goes on.
+    one = candidates.groupBy("k1", "k2").agg(F.min("node").alias("node")).select("node")
+    blocks_ = cut_lineage(connected.join(one, "node"))
+    size = cut_lineage(candidates.select("node", "held").join(blocks_, "node")
+                       .groupBy("block").agg(F.sum("held").alias("shingles")))
     parts = F.ceil(2 * F.col("shingles") / block_shingles).cast("int")
     large = size.filter(F.col("shingles") > block_shingles).select("block", parts.alias("parts"))
-    whole = inside.join(large, "block", "left_anti").withColumn("job", F.struct(
-        "block", F.lit(0).alias("i"), F.lit(0).alias("j")))
+    # A job is a whole block, or a pair of the groups that a large block is dealt into.
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    split = (inside.join(large, "block").withColumn("part", part)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-             .withColumn("job", F.struct("block", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))))
+    placed = (blocks_.join(large, "block", "left")
+              .withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("part", part)
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+              .select("node", "parts", F.struct(
+                  "block", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")).alias("job")))
     columns = ["job", "node", "n", "k1", "k2", "prefix", "tokens"]
-    done = join_blocks(whole.select(*columns).repartition(tasks, "job"), percent)
-    met = cut_lineage(join_blocks(split.select(*columns).repartition(tasks, "job"), percent))
+
+    def joined(jobs: DataFrame) -> DataFrame:
+        # Jobs grow with the corpus: merged, not broadcast, at any size.
+        return join_blocks(candidates.join(jobs.hint("merge"), "node").select(*columns).repartition(tasks, "job"), percent)
+
+    placed = cut_lineage(placed)
+    done = joined(placed.filter("parts = 1"))
+    met = cut_lineage(joined(placed.filter("parts > 1")))
     again = components(met.select(F.col("node").alias("a"), F.col("root").alias("b")))
     return candidates.select("node", "k1", "k2").join(done.union(again), "node").select("k1", "k2", "root")
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text",
-                       unit_shingles: int = UNIT_SHINGLES, bucket_shingles: int = BUCKET_SHINGLES,
+                       unit_shingles: int = UNIT_SHINGLES, task_shingles: int = TASK_SHINGLES,
                        block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """``id, body, n_shingles, component_id`` for every row of ``docs`` (body: a text hash)."""
     if not 50 <= percent <= 100:
@@ -403,11 +495,11 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "d
     order = np.argsort(ids)
     # Frequent shingles come after all others in the global order.
     counts = (np.uint32(1 << 31) + hot["n"].to_numpy().clip(0, (1 << 31) - 1).astype(np.uint32))[order]
-    n_buckets = int(min(60_000, max(16, -(-total // bucket_shingles))))
-    cells = deal_shingles(base, (ids[order], counts), n_buckets, unit_shingles)
-    back = count_shingles(cells.repartition(n_buckets, "bucket")).repartition(n_buckets, "unit")
+    tasks = int(min(15_000, max(16, -(-total // task_shingles))))
+    cells = deal_shingles(base, (ids[order], counts), tasks * BUCKETS_PER_TASK, unit_shingles)
+    back = count_shingles(cells.repartition(tasks, "bucket")).repartition(tasks, "unit")
     candidates = cut_lineage(candidate_sets(back, percent))
-    found = similar_sets(candidates, percent, block_shingles, n_buckets)
+    found = similar_sets(candidates, percent, block_shingles, tasks)
     roots = cut_lineage(found.groupBy("k1", "k2").agg(F.min("root").alias("root")))
     labelled = sets.join(roots, ["k1", "k2"], "left")
     alone = F.col("root").isNull()

@@ -60,11 +60,11 @@ def rows():
     return out
 
 
-@pytest.mark.parametrize("percent,unit,block", [(75, 2_000_000, 4_000_000), (75, 900, 4_000_000), (75, 3000, 600), (60, 2000, 2000)])
+@pytest.mark.parametrize("percent,unit,block", [(75, 2_000_000, 4_000_000), (75, 900, 600), (60, 2000, 4_000_000)])
 def test_components_equal_brute_force(spark, rows, percent, unit, block):
     docs = spark.createDataFrame([(*x, "x", 1) for x in rows], "doc_id long, text string, id string, n int").repartition(4)
     got = {r.id: (r.n_shingles, r.component_id) for r in J.jaccard_components(
-        docs, percent, unit_shingles=unit, bucket_shingles=2000, block_shingles=block).collect()}
+        docs, percent, unit_shingles=unit, task_shingles=2000, block_shingles=block).collect()}
     assert got == brute(rows, percent)
 
 
