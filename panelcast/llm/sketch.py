@@ -53,19 +53,26 @@ def twice_at_most(values: np.ndarray) -> np.ndarray:
 
 
 class Sketch:
-    """The merged sketch: per row, one bit per cell for a count of two or more."""
+    """The merged sketch: per row, one bit per cell for a count of two or more.
 
-    def __init__(self, bits: int, rows: list[np.ndarray]):
-        self.bits, self.rows = bits, rows
+    It travels as compressed shards (the bitmaps are mostly empty): the driver never
+    unpacks them, and a worker does so once, at first use."""
 
-    def __getstate__(self):
-        """Broadcasts carry the mostly empty bitmaps compressed: every executor and the
-        driver keep a copy on disk."""
-        return self.bits, [(len(r), zlib.compress(r.tobytes(), 1)) for r in self.rows]
+    def __init__(self, bits: int, shard_bits: int, shards: dict[int, bytes]):
+        self.bits, self.shard_bits, self.shards, self.bitmaps = bits, shard_bits, shards, None
 
-    def __setstate__(self, state):
-        self.bits, rows = state
-        self.rows = [np.frombuffer(zlib.decompress(data, bufsize=n), np.uint8) for n, data in rows]
+    def __getstate__(self):
+        return self.__dict__ | {"bitmaps": None}
+
+    @property
+    def rows(self) -> list[np.ndarray]:
+        if self.bitmaps is None:
+            n, width = 1 << (self.bits - self.shard_bits), max(1, (1 << self.shard_bits) // 8)
+            self.bitmaps = [np.zeros(n * width, np.uint8) for _ in range(DEPTH)]
+            for shard, data in self.shards.items():
+                row, k = divmod(shard, n)
+                self.bitmaps[row][k * width:(k + 1) * width] = np.frombuffer(zlib.decompress(data), np.uint8)
+        return self.bitmaps
 
     def repeated(self, keys: np.ndarray) -> np.ndarray:
         out = np.ones(len(keys), bool)
@@ -120,9 +127,4 @@ def build(rows: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndarr
 
     merged = (rows.mapInArrow(partial, "shard int, cells binary").groupBy("shard")
               .applyInArrow(merge, "shard int, bits binary"))
-    out = [np.zeros(max(1, (1 << bits) // 8), np.uint8) for _ in range(DEPTH)]
-    width = max(1, (1 << shard_bits) // 8)
-    for r in merged.collect():
-        row, k = divmod(r.shard, n_shards)
-        out[row][k * width:(k + 1) * width] = np.frombuffer(zlib.decompress(r.bits), np.uint8)
-    return Sketch(bits, out)
+    return Sketch(bits, shard_bits, {r.shard: bytes(r.bits) for r in merged.collect()})

@@ -35,8 +35,10 @@ from .common import cut_lineage, ship_package
 from .line_dedup import keyed
 from .textblocks import blocks, run_hashes, window_starts, word_hashes
 
-WIDTH, MAX_BITS, BYTES_PER_WORD, WINDOWS_PER_BUCKET = 20, 29, 6, 2_000_000
-FLUSH_ENTRIES = 3_000_000
+WIDTH, MAX_BITS, BYTES_PER_WORD, WINDOWS_PER_TASK = 20, 29, 6, 2_000_000
+# Several buckets a task, so that dealing them by hash leaves no task with many times the mean.
+BUCKETS_PER_TASK = 4
+FLUSH_ENTRIES = 1_500_000
 CLEANED = "id long, text string, n_words long, n_removed long"
 
 
@@ -65,13 +67,13 @@ class _Entries:
         self.parts, self.docs, self.size = [], [], 0
 
     def add(self, doc_keys: np.ndarray, h1, h2, doc, pos) -> None:
-        self.parts.append((h1, h2, doc.astype(np.int64) + len(self.docs), pos))
+        self.parts.append((h1, h2, (doc + len(self.docs)).astype(np.int32), pos.astype(np.int32)))
         self.docs += doc_keys.tolist()
         self.size += len(h1)
 
     def arrays(self):
         h1, h2, doc, pos = (np.concatenate(x) for x in zip(*self.parts))
-        return h1, h2, doc, pos.astype(np.int64), np.array(self.docs, np.int64).reshape(-1, 2)
+        return h1, h2, doc, pos, np.array(self.docs, np.int64).reshape(-1, 2)
 
 
 def later_ones(h1, h2, key, body, pos) -> tuple[np.ndarray, np.ndarray]:
@@ -111,9 +113,9 @@ def _doc_bucket(docs: np.ndarray, n: int) -> np.ndarray:
     return (mix(docs[:, 0].view(np.uint64) ^ mix(docs[:, 1].view(np.uint64))) % np.uint64(n)).astype(np.int64)
 
 
-def repeated_ranges(docs: DataFrame, width: int, counting: sketch.Sketch, n_buckets: int) -> DataFrame:
+def repeated_ranges(docs: DataFrame, width: int, counting: sketch.Sketch, tasks: int) -> DataFrame:
     """``key, body, starts, ends`` (word ranges to remove) of documents that have any."""
-    spark = docs.sparkSession
+    spark, n_buckets = docs.sparkSession, tasks * BUCKETS_PER_TASK
     shared = spark.sparkContext.broadcast(counting)
     cell = "bucket int, kind int, cell binary"
 
@@ -182,8 +184,8 @@ def repeated_ranges(docs: DataFrame, width: int, counting: sketch.Sketch, n_buck
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*rows[i:i + 5000]), kinds)], ["key", "body", "starts", "ends"])
 
-    entries = docs.mapInArrow(find, cell).repartition(n_buckets, "bucket")
-    late = entries.mapInArrow(group, cell).repartition(n_buckets, "bucket")
+    entries = docs.mapInArrow(find, cell).repartition(tasks, "bucket")
+    late = entries.mapInArrow(group, cell).repartition(tasks, "bucket")
     return late.mapInArrow(per_document, "key long, body long, starts array<long>, ends array<long>")
 
 
@@ -207,8 +209,8 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, max_bits: int = MAX_BIT
             yield block_windows(block, block.words(), width)[0]
 
     counting = sketch.build(base.select("text"), keys_of, bits)
-    n_buckets = max(16, -(-n // WINDOWS_PER_BUCKET))
-    gone = cut_lineage(repeated_ranges(base.select("text", "key", "body"), width, counting, n_buckets))
+    tasks = max(16, -(-n // WINDOWS_PER_TASK))
+    gone = cut_lineage(repeated_ranges(base.select("text", "key", "body"), width, counting, tasks))
     joined = base.join(gone.hint("merge"), ["key", "body"], "left").select("id", "text", "starts", "ends")
     names = [c.split()[0] for c in CLEANED.split(", ")]
 
