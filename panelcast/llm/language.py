@@ -4,12 +4,13 @@ Learning. Character n-grams (with word edges) of all training texts are counted
 per language in Spark, pre-aggregated per task. An n-gram belongs to a language
 if it makes up at least ``min_share`` of that language's n-grams. Shares sum to
 one, so a language has at most ``1 / min_share`` n-grams whatever the size of the
-corpus, and ``max_languages`` (the most frequent labels) bounds the model; only
-this bounded model reaches the driver and is broadcast.
+corpus; only this model reaches the driver and is broadcast. Every label that the
+training texts bear is learned, so the model grows with the number of labels.
 
 Filter. One table of m slots holds a bit mask of languages per slot (a Bloom
-filter per language, sliced by bit). An n-gram is set in k slots; the AND of its
-slots returns *all* languages that contain it in one look-up.
+filter per language, sliced by bit), in as many 64-bit words as the labels need.
+An n-gram is set in k slots; the AND of its slots returns *all* languages of a
+word that contain it in one look-up.
 
 Deciding. A text's n-grams are looked up, languages are counted by bit
 (popcount), and each count c of n is corrected for the false positives of that
@@ -38,7 +39,8 @@ from pyspark.sql import functions as F
 from .common import cut_lineage, ship_package
 from .textblocks import mix
 
-GRAM, MIN_SHARE, MAX_LANGUAGES, HASHES, SLOTS_PER_GRAM = 4, 1e-5, 64, 3, 8
+GRAM, MIN_SHARE, HASHES, SLOTS_PER_GRAM = 4, 1e-5, 3, 8
+WORD_BITS = 64
 SLICE_CHARS = 1 << 20
 FLUSH = 2_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -130,17 +132,19 @@ def gram_counts(training: DataFrame, n: int = GRAM) -> DataFrame:
 
 
 class Filters:
-    """The bit-sliced table: ``slots`` has a language mask per slot."""
+    """The bit-sliced table: ``slots`` has a language mask per slot, of one or more words."""
 
     def __init__(self, languages: list[str], lang_of: np.ndarray, gram_of: np.ndarray, n: int,
                  prior: str | None = None, hashes: int = HASHES, slots_per_gram: int = SLOTS_PER_GRAM):
         self.languages, self.n, self.prior, self.hashes = languages, n, prior, hashes
         most = max([1, *np.bincount(lang_of, minlength=1)])
         self.bits = max(10, int(most * slots_per_gram - 1).bit_length())
-        self.slots = np.zeros(1 << self.bits, np.uint64)
+        self.slots = np.zeros((1 << self.bits, max(1, -(-len(languages) // WORD_BITS))), np.uint64)
+        word, bit = lang_of // WORD_BITS, np.uint64(1) << (lang_of % WORD_BITS).astype(np.uint64)
         for slot in self._slots(gram_of):
-            np.bitwise_or.at(self.slots, slot, np.uint64(1) << lang_of.astype(np.uint64))
-        fill = np.array([np.count_nonzero(self.slots & (np.uint64(1) << np.uint64(b))) for b in range(len(languages))])
+            np.bitwise_or.at(self.slots, (slot, word), bit)
+        fill = np.array([np.count_nonzero(self.slots[:, b // WORD_BITS] & (np.uint64(1) << np.uint64(b % WORD_BITS)))
+                         for b in range(len(languages))])
         self.false_rate = (fill / len(self.slots)) ** hashes
 
     def _slots(self, code: np.ndarray) -> Iterator[np.ndarray]:
@@ -149,11 +153,11 @@ class Filters:
             yield (h >> np.uint64(64 - self.bits)).astype(np.int64)
             h = mix(h + np.uint64(0x9E3779B97F4A7C15))
 
-    def masks(self, code: np.ndarray) -> np.ndarray:
-        """All languages containing each n-gram, as bits."""
-        out = None
+    def masks(self, code: np.ndarray, word: int = 0) -> np.ndarray:
+        """All languages of the word containing each n-gram, as bits."""
+        column, out = self.slots[:, word], None
         for slot in self._slots(code):
-            out = self.slots[slot] if out is None else out & self.slots[slot]
+            out = column[slot] if out is None else out & column[slot]
         return out
 
     def decide(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
@@ -167,11 +171,12 @@ class Filters:
             held = np.bincount(own)
             n_texts = len(held)
             total[start:start + n_texts] = held
-            mask = self.masks(code)
             at = np.concatenate([[0], np.cumsum(held)])
             counts = np.empty((len(self.languages), n_texts))
             for b in range(len(self.languages)):
-                seen = np.concatenate([[0], np.cumsum((mask >> np.uint64(b)) & np.uint64(1), dtype=np.int64)])
+                if b % WORD_BITS == 0:
+                    mask = self.masks(code, b // WORD_BITS)
+                seen = np.concatenate([[0], np.cumsum((mask >> np.uint64(b % WORD_BITS)) & np.uint64(1), dtype=np.int64)])
                 counts[b] = seen[at[1:]] - seen[at[:-1]]
             p = self.false_rate[:, None]
             corrected = (counts - held * p) / np.maximum(1 - p, 1e-9)
@@ -185,21 +190,17 @@ class Filters:
         return names, scores
 
 
-def learn(training: DataFrame, n: int = GRAM, min_share: float = MIN_SHARE,
-          max_languages: int = MAX_LANGUAGES) -> Filters:
-    """Filters from ``lang, text`` rows. What is collected is at most
-    ``max_languages / min_share`` n-grams."""
-    if not 1 <= max_languages <= 64:
-        raise ValueError("a mask has 64 bits")
+def learn(training: DataFrame, n: int = GRAM, min_share: float = MIN_SHARE) -> Filters:
+    """Filters of all labels from ``lang, text`` rows. What is collected is at most
+    ``1 / min_share`` n-grams a label."""
     good = training.filter("lang is not null and lang != '' and text is not null")
     counts = cut_lineage(gram_counts(good, n))
-    totals = (counts.groupBy("lang").agg(F.sum("n").alias("total"))
-              .orderBy(F.desc("total"), "lang").limit(max_languages))
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     kept = counts.join(totals, "lang").filter(F.col("n") >= F.col("total") * min_share).select("lang", "gram")
     got = kept.toArrow()
     languages = sorted(set(got["lang"].to_pylist()))
     where = pc.index_in(got["lang"].combine_chunks(), pa.array(languages, pa.string())).to_numpy(zero_copy_only=False)
-    prior = totals.head()
+    prior = totals.orderBy(F.desc("total"), "lang").head()
     return Filters(languages, where.astype(np.int64), got["gram"].to_numpy().view(np.uint64), n,
                    prior["lang"] if prior else None)
 

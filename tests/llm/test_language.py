@@ -78,6 +78,18 @@ def test_share_bounds_the_model(spark):
     assert len(L.learn(docs, min_share=0.01).slots) <= 1 << 10
 
 
+def test_every_label_is_kept(spark):
+    """More labels than one mask word has bits, and than two words have."""
+    def text(i):
+        return " ".join(chr(0x4E00 + 30 * i + k) * 2 + chr(0x4E00 + 30 * i + k + 1) * 3 for k in range(25))
+    names = [f"l{i:03}" for i in range(150)]
+    filters = L.learn(spark.createDataFrame([(n, text(i)) for i, n in enumerate(names)], "lang string, text string"))
+    assert filters.languages == names and filters.slots.shape[1] == 3
+    docs = spark.createDataFrame([(i, text(i)) for i in range(150)], "doc_id long, text string")
+    got = {r.id: (r.lang_pred, r.score) for r in L.identify(docs, filters).collect()}
+    assert {i: got[i][0] for i in got} == dict(enumerate(names)) and min(s for _, s in got.values()) > 0.9
+
+
 def test_edges(spark, learned):
     got = {r.id: r for r in L.identify(fx.weird(spark), learned[2]).collect()}
     for i, t, *_ in fx.WEIRD:
