@@ -17,12 +17,16 @@ is sure to contain a common fingerprint.
 
 The result is exact: a line goes if and only if some run of ``run`` lines around
 it also starts earlier, in a document with a smaller id or earlier in its own.
+With ``long_words`` two kinds of windows are added and go the same way: from each
+line the shortest run of fewer lines with that many words (one long line, two
+middling ones), and the whole of a document with fewer than ``run`` lines. No line
+stays for it that would go without.
 A frequent line costs one row per task in step 2 and 3 (map-side combine); the
 joins are with tables written before, which the adaptive planner splits if hot.
 These tables grow with the corpus, so they are merged, not broadcast, at any size.
 
 Edge cases: a null text is empty, with no line; a document with fewer than ``run``
-lines loses none; a null id counts as smaller than any other; rows repeated under
+lines loses none unless ``long_words`` is given; a null id counts as smaller than any other; rows repeated under
 one id with one text are one document (neither makes the other a repeat), and
 with different texts they are ordered by a hash of the text; an empty table gives
 an empty result; other columns are ignored.
@@ -41,7 +45,7 @@ from .common import cut_lineage, narrow, ship_package
 
 RUN_LINES = 3
 BLANK = b" \t\n\v\f\r"
-WINDOWS = "fingerprint long, leads boolean, key long, body long, place int, run_a long, run_b long"
+WINDOWS = "fingerprint long, leads boolean, key long, body long, place long, run_a long, run_b long"
 CLEANED = "id long, text string, n_lines long, n_removed long"
 
 
@@ -55,32 +59,51 @@ def _pair(digest: bytes) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
-def document_windows(text: bytes, run: int) -> Iterator[tuple[int, bool, int, int, int]]:
-    """Per window: its fingerprint, whether it is the first to select that position,
-    its place, and the two halves of its run's hash."""
+def spans(lines: list[bytes], run: int, long_words: int | None = None) -> list[tuple[int, int]]:
+    """First line and line after the last of each window, of at most ``run`` lines."""
+    n = len(lines)
+    out = [(k, k + run) for k in range(n - run + 1)]
+    if long_words is not None:
+        sizes = [len(x.split()) for x in lines]
+        for first in range(n):
+            words = 0
+            for end in range(first + 1, min(first + run, n + 1)):
+                words += sizes[end - 1]
+                if words >= long_words:
+                    out.append((first, end))
+                    break
+        if 0 < n < run and (0, n) not in out:
+            out.append((0, n))
+    return out
+
+
+def document_windows(text: bytes, run: int, long_words: int | None = None) -> Iterator[tuple[int, bool, int, int, int]]:
+    """Per window: its fingerprint, whether it is the first to select that position, its
+    place (``run`` times its first line, plus its lines less one), and the two halves of
+    its run's hash."""
     lines = [x for x in text.split(b"\n") if x.strip(BLANK)]
     digests = [hashlib.blake2b(x, digest_size=16).digest() for x in lines]
     values = [int.from_bytes(d[:8], "little", signed=True) for d in digests]
-    selected = -1
-    for place in range(len(lines) - run + 1):
-        window = values[place:place + run]
-        at = place + run - 1 - window[::-1].index(min(window))
-        yield (values[at], at != selected, place,
-               *_pair(hashlib.blake2b(b"".join(digests[place:place + run]), digest_size=16).digest()))
-        selected = at
+    selected: set[int] = set()
+    for first, end in spans(lines, run, long_words):
+        window = values[first:end]
+        at = end - 1 - window[::-1].index(min(window))
+        yield (values[at], at not in selected, run * first + end - first - 1,
+               *_pair(hashlib.blake2b(b"".join(digests[first:end]), digest_size=16).digest()))
+        selected.add(at)
 
 
-def line_windows(docs: DataFrame, run: int) -> DataFrame:
+def line_windows(docs: DataFrame, run: int, long_words: int | None = None) -> DataFrame:
     ship_package(docs.sparkSession)
     names = [c.split()[0] for c in WINDOWS.split(", ")]
-    kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+    kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
             for text, key, body in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 rows += [(f, leads, key, body, place, a, b)
-                         for f, leads, place, a, b in document_windows(text.as_buffer().to_pybytes(), run)]
+                         for f, leads, place, a, b in document_windows(text.as_buffer().to_pybytes(), run, long_words)]
                 if len(rows) > 50_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
                     rows = []
@@ -90,9 +113,9 @@ def line_windows(docs: DataFrame, run: int) -> DataFrame:
     return docs.select("text", "key", "body").mapInArrow(scan, WINDOWS)
 
 
-def repeated_runs(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
-    """``key, body, places``: where runs start that are repeats of an earlier one."""
-    windows = cut_lineage(line_windows(docs, run))
+def repeated_runs(docs: DataFrame, run: int = RUN_LINES, long_words: int | None = None) -> DataFrame:
+    """``key, body, places``: the places of runs that are repeats of an earlier one."""
+    windows = cut_lineage(line_windows(docs, run, long_words))
     again = cut_lineage(windows.filter("leads").groupBy("fingerprint").count()
                         .filter("count > 1").select("fingerprint"))
     met = windows.join(again.hint("merge"), "fingerprint", "left_semi")
@@ -105,7 +128,7 @@ def repeated_runs(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
 
 def drop_lines(text: bytes, places: list[int], run: int) -> tuple[bytes, int, int]:
     """The text without the lines of the runs; its lines with a word, and those removed."""
-    gone = {p + k for p in places for k in range(run)}
+    gone = {k for p in places for k in range(p // run, p // run + p % run + 1)}
     kept, n = [], 0
     for line in text.split(b"\n"):
         if line.strip(BLANK):
@@ -117,10 +140,11 @@ def drop_lines(text: bytes, places: list[int], run: int) -> tuple[bytes, int, in
     return b"\n".join(kept), n, len(gone)
 
 
-def line_dedup(docs: DataFrame, run: int = RUN_LINES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_dedup(docs: DataFrame, run: int = RUN_LINES, id_col: str = "doc_id", text_col: str = "text",
+               long_words: int | None = None) -> DataFrame:
     """``id, text, n_lines, n_removed`` for every row: the text that stays."""
     base = keyed(docs, id_col, text_col)
-    repeats = cut_lineage(repeated_runs(base, run)).hint("merge")
+    repeats = cut_lineage(repeated_runs(base, run, long_words)).hint("merge")
     joined = base.join(repeats, ["key", "body"], "left").select("id", "text", "places")
     names = [c.split()[0] for c in CLEANED.split(", ")]
 

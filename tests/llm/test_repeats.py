@@ -76,6 +76,41 @@ def test_lines(docs, rows, run):
     assert got == brute_lines(rows, run)
 
 
+def brute_long_lines(rows, run, long_words):
+    """Runs of ``run`` lines, shortest ones of ``long_words`` words, and whole short documents."""
+    def long(lines):
+        return sum(len(WORD.findall(x)) for x in lines) >= long_words
+    seen, out = set(), {}
+    for i, t in sorted(rows):
+        lines = [x for x in (t or "").split("\n") if WORD.search(x)]
+        gone = set()
+        for a in range(len(lines)):
+            for b in range(a + 1, min(a + run, len(lines)) + 1):
+                w = tuple(lines[a:b])
+                if len(w) == run or len(w) == len(lines) or long(w) and not long(w[:-1]):
+                    gone |= set(range(a, b)) if w in seen else set()
+                    seen.add(w)
+        out[i] = (len(lines), gone, [x for k, x in enumerate(lines) if k not in gone])
+    return out
+
+
+@pytest.mark.parametrize("run,long_words", [(3, 20), (3, 8), (5, 1), (2, 1000)])
+def test_long_lines_and_short_documents(docs, rows, run, long_words):
+    want = brute_long_lines(rows, run, long_words)
+    got = {r.id: (r.n_lines, r.n_removed, [x for x in r.text.split("\n") if WORD.search(x)])
+           for r in line_dedup.line_dedup(docs, run, long_words=long_words).collect()}
+    assert got == {i: (n, len(gone), kept) for i, (n, gone, kept) in want.items()}
+    assert all(got[i][1] >= gone for i, (_, _, gone) in brute_lines(rows, run).items())
+
+
+def test_one_line_is_enough_where_it_is_long(spark):
+    line, pair = " ".join(f"w{k}" for k in range(30)), "a b c d e f g h i j k\nl m n o p q r s t u"
+    rows = [(1, f"x\n{line}\ny"), (2, f"u\n{line}\nv"), (3, f"x1\n{pair}"), (4, f"{pair}\ny1"), (5, "tiny"), (6, "tiny")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.id: r.text for r in line_dedup.line_dedup(docs, long_words=20).collect()}
+    assert got == {**dict(rows), 2: "u\nv", 4: "y1", 6: ""}
+
+
 @pytest.mark.parametrize("width,max_bits", [(20, 29), (20, 10), (3, 12)])
 def test_words(docs, rows, width, max_bits):
     got = {r.id: (r.text, r.n_words, r.n_removed)
