@@ -14,8 +14,9 @@ File format. A file is a sequence of frames; all numbers are little-endian:
     uint8   0x0A, the end of a frame (the separator of Spark's line writer)
 
 The mask is ``rotate_right(crc, 15) + 0xa282ead8``, so that a checksum over data
-that itself holds checksums stays meaningful. Two-byte ids are used where the
-vocabulary allows it. The index is a Parquet table of ``file, offset, length,
+that itself holds checksums stays meaningful. Two-byte ids are used where all ids
+of the vocabulary and the end id fit, four-byte ids otherwise; an id that does not
+fit a given width raises. The index is a Parquet table of ``file, offset, length,
 doc_id, n_tokens, start_in_file, ids_crc32``; any frame can be read by offset
 without reading what stands before it.
 
@@ -51,6 +52,8 @@ def masked(data: bytes) -> int:
 
 def frame(doc_id: int | None, ids: np.ndarray, width: int) -> bytes:
     """One record; the line writer adds the end byte."""
+    if len(ids) and not 0 <= int(ids.min()) <= int(ids.max()) < 1 << 8 * width:
+        raise ValueError(f"a token id does not fit {width} bytes")
     body = BODY.pack(width, doc_id is not None, doc_id or 0) + ids.astype(f"<u{width}").tobytes()
     length = struct.pack("<Q", len(body))
     return length + CHECK.pack(masked(length)) + body + CHECK.pack(masked(body))
@@ -71,8 +74,9 @@ def unframe(data: memoryview, at: int = 0) -> tuple[int | None, np.ndarray, int]
 
 
 def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int,
-                  id_col: str = "doc_id", text_col: str = "text", width: int = 2) -> None:
-    """Writes the files of ``docs`` under ``path`` in ascending id order."""
+                  id_col: str = "doc_id", text_col: str = "text", width: int | None = None) -> None:
+    """Writes the files of ``docs`` under ``path`` in ascending id order; without a
+    ``width``, the tokenizer's largest id decides."""
     ship_package(docs.sparkSession)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,11 +84,12 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int,
         from .tokens import encode_block, huggingface
 
         table, end = huggingface(tokenizer), np.array([end_id], np.uint32)
+        size = width or (2 if max(table.top, end_id) < 1 << 16 else 4)
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             for block in blocks(batch.column(1)):
                 ids, off = encode_block(block, table)
-                out = [frame(doc_ids[block.first + i], np.concatenate([ids[off[i]:off[i + 1]], end]), width)
+                out = [frame(doc_ids[block.first + i], np.concatenate([ids[off[i]:off[i + 1]], end]), size)
                        for i in range(block.n)]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
 
@@ -150,7 +155,7 @@ def read_at(spark: SparkSession, wanted: DataFrame) -> DataFrame:
 
 
 def token_records(docs: DataFrame, tokenizer: str, end_id: int, path: str | None = None,
-                  id_col: str = "doc_id", text_col: str = "text", width: int = 2) -> DataFrame:
+                  id_col: str = "doc_id", text_col: str = "text", width: int | None = None) -> DataFrame:
     """Writes the files and the index (beside them) and returns the index with ``start``."""
     spark = docs.sparkSession
     path = path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/records-{uuid.uuid4().hex}"

@@ -26,10 +26,11 @@ _PLAIN = re.compile(rb"[ \n]?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+").f
 
 
 class PieceIds:
-    """Ids by piece: a dictionary from bytes to a number, and flat arrays."""
+    """Ids by piece: a dictionary from bytes to a number, and flat arrays. ``top`` is
+    the largest id of the vocabulary."""
 
-    def __init__(self, encode):
-        self.encode = encode
+    def __init__(self, encode, top: int):
+        self.encode, self.top = encode, top
         self._reset()
 
     def _reset(self) -> None:
@@ -90,7 +91,7 @@ def huggingface(path: str) -> PieceIds:
                 out[i] = e.ids
         return out
 
-    return PieceIds(encode)
+    return PieceIds(encode, max(tok.get_vocab().values(), default=0))
 
 
 @lru_cache(maxsize=4)
@@ -98,7 +99,8 @@ def sentencepiece(path: str) -> PieceIds:
     import sentencepiece as sp
 
     model = sp.SentencePieceProcessor(model_file=path)
-    return PieceIds(lambda pieces: model.encode([p.decode("utf-8", "replace") for p in pieces], num_threads=1))
+    return PieceIds(lambda pieces: model.encode([p.decode("utf-8", "replace") for p in pieces], num_threads=1),
+                    model.vocab_size() - 1)
 
 
 @lru_cache(maxsize=4)

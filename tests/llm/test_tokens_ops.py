@@ -111,6 +111,23 @@ def test_records_round_trip(spark, docs, rows, scratch):
     assert back == {i: [*direct(BYTES, texts[i]), 2] for i in texts if i % 3 == 0}
 
 
+def test_records_of_wide_ids(spark, scratch):
+    """Ids above 65,535 come back whole, or raise where the width is given."""
+    from tokenizers import Tokenizer, models, normalizers, pre_tokenizers
+    tok = Tokenizer(models.WordLevel({f"w{k}": k for k in range(70_000)}, unk_token="w0"))
+    tok.normalizer, tok.pre_tokenizer = normalizers.Lowercase(), pre_tokenizers.WhitespaceSplit()
+    tok.save(f"{scratch}/wide.json")
+    docs = spark.createDataFrame([(1, "w69999 w3 w65536"), (2, "w65535")], "doc_id long, text string")
+    for vocabulary, end in ((f"{scratch}/wide.json", 1), (BYTES, 70_000)):
+        index = records.token_records(docs, vocabulary, end, path=f"{scratch}/wide{end}")
+        back = {r.doc_id: r.ids for r in records.read_at(spark, index.select("file", "offset")).collect()}
+        want = ({1: [69999, 3, 65536, 1], 2: [65535, 1]} if end == 1 else
+                {1: [*direct(BYTES, "w69999 w3 w65536"), end], 2: [*direct(BYTES, "w65535"), end]})
+        assert back == want
+    with pytest.raises(ValueError):
+        records.frame(1, np.array([65_536]), 2)
+
+
 def test_records_damage_is_noticed():
     data = bytearray(records.frame(7, np.arange(9), 2) + b"\n" + records.frame(None, np.arange(70000, 70003), 4) + b"\n")
     doc, ids, at = records.unframe(memoryview(data))
