@@ -4,8 +4,11 @@ The reference fits one 100-tree forest per series in a driver loop. Here
 one forest is fitted per (target, origin) on the rows of *all* series. What a
 series is enters as three numbers computed over the origin's training rows: the
 mean target of the series, of its basin and of its division. These are the same
-columns for 25 series and for a million, no label list is collected, and a
-tree can still separate any two series by their means. Pooling is a semantic
+columns for 25 series and for a million, and no label list is collected. MLlib
+cuts a feature at 31 thresholds at most (``maxBins`` 32, its default), taken over
+all rows: up to 32 distinct means a tree can separate any two series by them,
+beyond that only coarser groups, and a small series may get hardly a threshold
+inside its own range. Pooling is a semantic
 change - trees share strength across series - chosen because a per-series loop
 of MLlib fits does not scale (each fit is several Spark jobs); the tree learner
 itself is distributed. Origins are fitted in parallel driver threads (their
@@ -30,7 +33,7 @@ FOREST = "FOREST"
 NUM_TREES = 100
 SEED = 42
 # A run parameter (RunParams.forest_depth). Trees of this depth over rows of a few
-# quarters per series are nearly full; MLlib allows 30 at most.
+# quarters per series have 4,096 leaves at most, at any number of series; MLlib allows 30.
 MAX_DEPTH = 12
 # Tree nodes split per pass over the data: a larger budget means fewer passes
 # (levels of all trees are grouped), and cached node ids spare re-walking the
