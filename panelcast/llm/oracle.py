@@ -130,7 +130,42 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(k.n_removed, 0) AS n_removed,
 FROM d LEFT JOIN k USING (doc_id)
 """
 
+
+def _op13(k: int = 40, rounds: int = 5, dim: int = 64) -> str:
+    """Each round as two CTEs: the nearest centroid of every vector, the moved centroids."""
+    nearest = """a{r} AS MATERIALIZED (
+  SELECT vec_id, cluster, distance FROM (
+    SELECT e.vec_id, c.cluster, sum((e.x - c.x) * (e.x - c.x))::BIGINT AS distance,
+           row_number() OVER (PARTITION BY e.vec_id ORDER BY sum((e.x - c.x) * (e.x - c.x)), c.cluster) AS place
+    FROM e JOIN c{r} c ON c.i = e.i GROUP BY e.vec_id, c.cluster)
+  WHERE place = 1)"""
+    move = """m{r} AS (
+  SELECT a.cluster, e.i, sum(e.x)::BIGINT AS s, count(*) AS n FROM a{r} a JOIN e USING (vec_id) GROUP BY 1, 2),
+c{s} AS MATERIALIZED (
+  SELECT cluster, i, CASE WHEN n IS NULL THEN c.x ELSE (s - ((s % n) + n) % n) // n END AS x
+  FROM c{r} c LEFT JOIN m{r} USING (cluster, i))"""
+    parts = [f"""k AS (
+  SELECT vec_id, embedding,
+         row_number() OVER (ORDER BY sha256('2:' || vec_id::VARCHAR)) - 1 AS place
+  FROM embeddings
+  WHERE len(embedding) = {dim} AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = {dim})""",
+             """e AS MATERIALIZED (
+  SELECT vec_id, place, unnest(range(len(embedding))) AS i,
+         unnest([floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding]) AS x FROM k)""",
+             f"c0 AS MATERIALIZED (SELECT place::INT AS cluster, i, x FROM e WHERE place < {k})"]
+    for r in range(rounds):
+        parts += [nearest.format(r=r), move.format(r=r, s=r + 1)]
+    parts.append(nearest.format(r=rounds))
+    last = f"{rounds}"
+    return f"""WITH {", ".join(parts)},
+h AS (SELECT cluster, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c{last} GROUP BY 1)
+SELECT vec_id, cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+       sum(distance) OVER ()::BIGINT AS inertia, centroid_sha256
+FROM a{last} JOIN h USING (cluster)
+"""
+
+
 ORACLES: dict[str, str] = {
     "op1_line_dedup": OP1, "op2_ngram_jaccard_join": OP2, "op3_exact_dedup": OP3, "op7_warc": OP7, "op8_mixing": OP8,
-    "op9_substring_dedup": OP9,
+    "op9_substring_dedup": OP9, "op13_centroid_clustering": _op13(),
 }

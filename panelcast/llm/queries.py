@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .centroids import cluster_vectors
 from .common import table
 from .exact_dedup import exact_classes
 from .jaccard_join import jaccard_components
@@ -90,6 +91,12 @@ def op10_language_id(spark, sf_dir):
     return out.select(F.col("id").alias("doc_id"), (fold(F.col("id")) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op13_centroid_clustering(spark, sf_dir):
+    out = cluster_vectors(spark.read.parquet(table(sf_dir, "embeddings")))
+    return out.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia",
+                      "centroid_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -101,4 +108,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
