@@ -130,6 +130,30 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(k.n_removed, 0) AS n_removed,
 FROM d LEFT JOIN k USING (doc_id)
 """
 
+OP11 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+q AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+i AS (SELECT item_id, term, count(*) AS times FROM q GROUP BY 1, 2),
+g AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_words FROM d WHERE len(w) > 0),
+m AS (SELECT doc_id, 75 + (25 * len(w) * n_docs) // n_words AS m FROM d, g WHERE len(w) > 0),
+u AS (SELECT doc_id, unnest(w) AS term FROM d),
+f AS (SELECT doc_id, term, count(*) AS tf FROM u WHERE term IN (SELECT term FROM i) GROUP BY 1, 2),
+t AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+  FROM f, g GROUP BY term, n_docs),
+s AS (
+  SELECT item_id, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM i JOIN t USING (term) JOIN f USING (term) JOIN m USING (doc_id) GROUP BY 1, 2),
+r AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+  FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
 
 def _op13(k: int = 40, rounds: int = 5, dim: int = 64) -> str:
     """Each round as two CTEs: the nearest centroid of every vector, the moved centroids."""
@@ -167,5 +191,5 @@ FROM a{last} JOIN h USING (cluster)
 
 ORACLES: dict[str, str] = {
     "op1_line_dedup": OP1, "op2_ngram_jaccard_join": OP2, "op3_exact_dedup": OP3, "op7_warc": OP7, "op8_mixing": OP8,
-    "op9_substring_dedup": OP9, "op13_centroid_clustering": _op13(),
+    "op9_substring_dedup": OP9, "op11_lexical_search": OP11, "op13_centroid_clustering": _op13(),
 }

@@ -13,6 +13,7 @@ from .common import table
 from .exact_dedup import exact_classes
 from .jaccard_join import jaccard_components
 from .language import fold, identify, learn
+from .lexical import lexical_search
 from .line_dedup import line_dedup
 from .mixing import mix
 from .packing import pack_documents
@@ -91,6 +92,11 @@ def op10_language_id(spark, sf_dir):
     return out.select(F.col("id").alias("doc_id"), (fold(F.col("id")) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op11_lexical_search(spark, sf_dir):
+    out = lexical_search(_documents(spark, sf_dir), spark.read.parquet(table(sf_dir, "benchmark")))
+    return out.withColumnRenamed("id", "doc_id")
+
+
 def op13_centroid_clustering(spark, sf_dir):
     out = cluster_vectors(spark.read.parquet(table(sf_dir, "embeddings")))
     return out.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia",
@@ -108,5 +114,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
+    "op11_lexical_search": op11_lexical_search,
     "op13_centroid_clustering": op13_centroid_clustering,
 }

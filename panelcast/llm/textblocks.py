@@ -30,9 +30,9 @@ class Block:
         self.first, self.data, self.offsets = first, data, offsets
         self.n = len(offsets) - 1
 
-    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def words(self, separators: np.ndarray = SEPARATORS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start, end (exclusive) and document (in the block) of every word."""
-        inside = ~SEPARATORS[self.data]
+        inside = ~separators[self.data]
         edges = self.offsets[:-1][self.offsets[:-1] < self.offsets[-1]]
         opens = inside.copy()
         opens[1:] &= ~inside[:-1]

@@ -14,7 +14,7 @@ WEIRD = [
 
 def weird(spark, extra=()):
     """The awkward rows, with columns whose names clash with internal ones."""
-    rows = [(i, t, lang, s, len(t or ""), "id", i % 2 == 0) for i, t, lang, s in [*WEIRD, *extra]]
+    rows = [(i, t, lang, s, len(t or ""), "id", (i or 0) % 2 == 0) for i, t, lang, s in [*WEIRD, *extra]]
     return spark.createDataFrame(
         rows, "doc_id long, text string, lang string, source string, n_chars long, id string, kept boolean")
 
