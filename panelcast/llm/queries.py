@@ -17,6 +17,7 @@ from .lexical import lexical_search
 from .line_dedup import line_dedup
 from .mixing import mix
 from .packing import pack_documents
+from .pii import KINDS, find_pii, learn as learn_pii
 from .quality import quality
 from .records import token_records
 from .substring_dedup import substring_dedup
@@ -97,6 +98,24 @@ def op11_lexical_search(spark, sf_dir):
     return out.withColumnRenamed("id", "doc_id")
 
 
+def _digest(spans):
+    """The spans as ``kind:start:end``, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def _is(kind: str):
+    return lambda span: span["kind"] == kind
+
+
+def op12_pii(spark, sf_dir):
+    docs = _documents(spark, sf_dir)
+    out = find_pii(docs, learn_pii(docs)).select("id", "spans")
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter(base, _is(k))).cast("long").alias(f"n_{k}") for k in KINDS]
+    return out.select(F.col("id").alias("doc_id"), *counts, F.sha2(_digest(base), 256).alias("base_sha256"),
+                      _digest(F.col("spans")).alias("spans"))
+
+
 def op13_centroid_clustering(spark, sf_dir):
     out = cluster_vectors(spark.read.parquet(table(sf_dir, "embeddings")))
     return out.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia",
@@ -115,5 +134,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
     "op11_lexical_search": op11_lexical_search,
+    "op12_pii": op12_pii,
     "op13_centroid_clustering": op13_centroid_clustering,
 }
