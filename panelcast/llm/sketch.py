@@ -56,20 +56,24 @@ class Sketch:
     """The merged sketch: per row, one bit per cell for a count of two or more.
 
     It travels as compressed shards (the bitmaps are mostly empty): the driver never
-    unpacks them, and a worker does so once, at first use."""
+    unpacks them, and a worker does so once, at first use, giving up each shard as it
+    goes into its bitmap."""
 
     def __init__(self, bits: int, shard_bits: int, shards: dict[int, bytes]):
         self.bits, self.shard_bits, self.shards, self.bitmaps = bits, shard_bits, shards, None
 
     def __getstate__(self):
-        return self.__dict__ | {"bitmaps": None}
+        if self.bitmaps is not None:
+            raise ValueError("an unpacked sketch has no shards left to send")
+        return self.__dict__
 
     @property
     def rows(self) -> list[np.ndarray]:
         if self.bitmaps is None:
             n, width = 1 << (self.bits - self.shard_bits), max(1, (1 << self.shard_bits) // 8)
             self.bitmaps = [np.zeros(n * width, np.uint8) for _ in range(DEPTH)]
-            for shard, data in self.shards.items():
+            while self.shards:
+                shard, data = self.shards.popitem()
                 row, k = divmod(shard, n)
                 self.bitmaps[row][k * width:(k + 1) * width] = np.frombuffer(zlib.decompress(data), np.uint8)
         return self.bitmaps

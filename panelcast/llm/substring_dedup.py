@@ -23,7 +23,7 @@ hash; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +38,7 @@ from .textblocks import blocks, run_hashes, window_starts, word_hashes
 WIDTH, MAX_BITS, BYTES_PER_WORD, WINDOWS_PER_TASK = 20, 29, 6, 2_000_000
 # Several buckets a task, so that dealing them by hash leaves no task with many times the mean.
 BUCKETS_PER_TASK = 4
-FLUSH_ENTRIES = 1_500_000
+FLUSH_ENTRIES, BATCH_BYTES = 750_000, 2 << 20
 CLEANED = "id long, text string, n_words long, n_removed long"
 
 
@@ -51,6 +51,20 @@ def block_windows(block, words, width: int, seed: int = 1) -> tuple[np.ndarray,
     return hashes, docs[at], at - first[docs[at]]
 
 
+def second_hashes(block, words, width: int, hit: np.ndarray) -> np.ndarray:
+    """32 bits of an independent hash of the windows ``hit`` (numbers, ascending); only the
+    words these windows hold are hashed."""
+    starts, ends, docs = words
+    at = window_starts(docs, width)[hit]
+    edge = np.zeros(len(docs) + 1, np.int64)
+    np.add.at(edge, at, 1)
+    np.add.at(edge, at + width, -1)
+    held = np.flatnonzero(np.cumsum(edge[:-1]))
+    new = np.searchsorted(held, at)  # a window's words stay neighbours
+    hashes = word_hashes(block.data, starts[held], ends[held], 11)
+    return (run_hashes(hashes, new, new + width, 12) >> np.uint64(32)).astype(np.uint32)
+
+
 def ranges(starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Merged word ranges [from, to) covered by windows at ``starts`` (ascending)."""
     if not len(starts):
@@ -102,10 +116,23 @@ def _send(bucket: np.ndarray, n: int, kind: int, columns: list[np.ndarray], doc:
         yield int(k), kind, blobs.pack(docs[used, 0].copy(), docs[used, 1].copy(), number, *[c[own] for c in columns])
 
 
-def _cells(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-    b, k, c = zip(*rows)
-    return pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(k, pa.int32()), pa.array(c, pa.binary())],
-                                      ["bucket", "kind", "cell"])
+def _cells(rows: Iterable[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of bounded bytes, each sent before more are made."""
+    held, size = [], 0
+
+    def batch():
+        b, k, c = zip(*held)
+        return pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(k, pa.int32()), pa.array(c, pa.binary())],
+                                          ["bucket", "kind", "cell"])
+
+    for row in rows:
+        held.append(row)
+        size += len(row[2])
+        if size >= BATCH_BYTES or len(held) >= 4096:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
 
 
 def _doc_bucket(docs: np.ndarray, n: int) -> np.ndarray:
@@ -126,22 +153,22 @@ def repeated_ranges(docs: DataFrame, width: int, counting: sketch.Sketch, tasks:
             h1, h2, doc, pos, own = found.arrays()
             order, late = later_ones(h1, h2, own[doc, 0], own[doc, 1], pos)
             again, first = order[late], order[~late]
-            bucket = (h1[first] >> np.uint64(32)).astype(np.int64) * n_buckets >> 32
-            rows = [*_send(bucket, n_buckets, 0, [h1[first], h2[first], pos[first].astype(np.uint32)], doc[first], own)]
+            del order, late
             if len(again):
                 to = _doc_bucket(own, n_buckets)
-                rows += _send(to[doc[again]], n_buckets, 1, [pos[again].astype(np.uint32)], doc[again], own)
-            for i in range(0, len(rows), 256):
-                yield _cells(rows[i:i + 256])
+                yield from _cells(_send(to[doc[again]], n_buckets, 1, [pos[again].astype(np.uint32)], doc[again], own))
+            bucket = (h1[first] >> np.uint64(32)).astype(np.int64) * n_buckets >> 32
+            yield from _cells(_send(bucket, n_buckets, 0, [h1[first], h2[first], pos[first].astype(np.uint32)],
+                                    doc[first], own))
 
         for batch in batches:
             keys = np.stack([batch.column("key").to_numpy(), batch.column("body").to_numpy()], 1)
             for block in blocks(batch.column("text")):
                 words = block.words()
                 h1, doc, pos = block_windows(block, words, width)
-                hit = shared.value.repeated(h1)
-                if hit.any():
-                    h2 = (block_windows(block, words, width, 11)[0][hit] >> np.uint64(32)).astype(np.uint32)
+                hit = np.flatnonzero(shared.value.repeated(h1))
+                if len(hit):
+                    h2 = second_hashes(block, words, width, hit)
                     used, number = np.unique(doc[hit], return_inverse=True)
                     found.add(keys[block.first + used], h1[hit], h2, number, pos[hit])
                 if found.size >= FLUSH_ENTRIES:
@@ -155,7 +182,7 @@ def repeated_ranges(docs: DataFrame, width: int, counting: sketch.Sketch, tasks:
         for batch in batches:
             for k, kind, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 if kind:
-                    yield _cells([(k, 1, c.as_buffer().to_pybytes())])
+                    yield from _cells([(k, 1, c.as_buffer().to_pybytes())])
                 else:
                     parts.append(blobs.unpack(c.as_buffer().to_pybytes()))
         if parts:
@@ -165,9 +192,8 @@ def repeated_ranges(docs: DataFrame, width: int, counting: sketch.Sketch, tasks:
             again = order[late]
             own, doc = np.unique(np.stack([key[again], body[again]], 1), axis=0, return_inverse=True)
             if len(again):
-                rows = [*_send(_doc_bucket(own, n_buckets)[doc.ravel()], n_buckets, 1, [pos[again]], doc.ravel(), own)]
-                for i in range(0, len(rows), 256):
-                    yield _cells(rows[i:i + 256])
+                yield from _cells(_send(_doc_bucket(own, n_buckets)[doc.ravel()], n_buckets, 1, [pos[again]],
+                                        doc.ravel(), own))
 
     def per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [blobs.unpack(c.as_buffer().to_pybytes()) for batch in batches for c in batch.column("cell")]
