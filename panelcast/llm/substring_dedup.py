@@ -35,7 +35,7 @@ from .common import cut_lineage, ship_package
 from .line_dedup import keyed
 from .textblocks import blocks, run_hashes, window_starts, word_hashes
 
-WIDTH, MAX_BITS, BYTES_PER_WORD, WINDOWS_PER_TASK = 20, 29, 6, 2_000_000
+WIDTH, MAX_BITS, BYTES_PER_WORD, WINDOWS_PER_TASK = 20, 29, 6, 1_000_000
 # Several buckets a task, so that dealing them by hash leaves no task with many times the mean.
 BUCKETS_PER_TASK = 4
 FLUSH_ENTRIES, BATCH_BYTES = 750_000, 2 << 20

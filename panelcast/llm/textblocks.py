@@ -105,22 +105,54 @@ def powers(base: int, n: int) -> np.ndarray:
     return _powers(base, 1 << max(16, (max(n, 1) - 1).bit_length()))[:n]
 
 
+# Ranges are hashed a piece at a time: tables and working arrays follow the piece, not the text.
+PIECE = 1 << 16
+
+
+def _pieces(starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Neighbouring ranges (both ends ascending) that span ``PIECE`` items together, or one
+    longer range alone."""
+    i, n = 0, len(starts)
+    while i < n:
+        j = max(int(np.searchsorted(ends, starts[i] + PIECE, side="right")), i + 1)
+        yield i, j
+        i = j
+
+
+def _long_hash(values, length: int, base: int) -> int:
+    """Polynomial of one long range modulo 2^64, piece by piece."""
+    total, shift, step = 0, 1, pow(base, PIECE, 2**64)
+    for at in range(0, length, PIECE):
+        part = values(at, min(at + PIECE, length))
+        total += shift * int((part * powers(base, len(part))).sum(dtype=np.uint64))
+        shift = shift * step % 2**64
+    return total % 2**64
+
+
+def _range_hashes(values, starts: np.ndarray, ends: np.ndarray, base: int, inverse: int) -> np.ndarray:
+    """Mixed polynomial of ``values(a, b)`` over each range; both ends ascending."""
+    raw = np.zeros(len(starts), np.uint64)
+    for i, j in _pieces(starts, ends):
+        a, b = int(starts[i]), int(ends[j - 1])
+        if b - a > PIECE:
+            raw[i] = _long_hash(lambda x, y, a=a: values(a + x, a + y), b - a, base)
+            continue
+        sums = np.zeros(b - a + 1, np.uint64)
+        np.cumsum(values(a, b) * powers(base, b - a), out=sums[1:])
+        raw[i:j] = (sums[ends[i:j] - a] - sums[starts[i:j] - a]) * powers(inverse, b - a + 1)[starts[i:j] - a]
+    return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1) -> np.ndarray:
-    """64-bit hash of each byte range, from prefix sums of a polynomial."""
+    """64-bit hash of each byte range (ranges in order), from prefix sums of a polynomial."""
     table, base, inverse = _family(seed)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(table[data] * powers(base, len(data)), out=sums[1:])
-    raw = (sums[ends] - sums[starts]) * powers(inverse, len(data) + 1)[starts]
-    return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return _range_hashes(lambda a, b: table[data[a:b]], starts, ends, base, inverse)
 
 
 def run_hashes(items: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 2) -> np.ndarray:
-    """64-bit hash of items[start:end] for each range; the items are hashes themselves."""
+    """64-bit hash of items[start:end] for each range (ranges in order); the items are hashes."""
     _, base, inverse = _family(seed)
-    sums = np.zeros(len(items) + 1, np.uint64)
-    np.cumsum(items * powers(base, len(items)), out=sums[1:])
-    raw = (sums[ends] - sums[starts]) * powers(inverse, len(items) + 1)[starts]
-    return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return _range_hashes(lambda a, b: items[a:b], starts, ends, base, inverse)
 
 
 def window_starts(docs: np.ndarray, width: int) -> np.ndarray:
