@@ -189,27 +189,41 @@ def training_sets(train: DataFrame, origins: Sequence[str]) -> DataFrame:
             .where(F.col("quarter") < F.col("origin")))
 
 
-def recency_weights(train: DataFrame, origins: Sequence[str], true_dates: bool = True
-                    ) -> DataFrame:
-    """W5 + F11: age of each complete training row relative to the newest row
-    (over all series) before the origin, and its weight tier.
+# Weight by age in days (upper bound, exclusive), and of anything older.
+RECENCY_TIERS = ((90, 1.0), (270, 0.9), (360, 0.8), (540, 0.7))
+OLDEST_WEIGHT = 0.5
 
-    ``true_dates=False`` reads ``YYYYQn`` as year and month n, as the
-    reference does (F12). The newest date is a scalar subquery per origin, neither a
-    global window (which would pull every row into one task) nor a join on the origin
-    (whose few values would).
+
+def recency_weighted(train: DataFrame, origins: Sequence[str], true_dates: bool = True) -> DataFrame:
+    """The complete training rows of every origin with ``days_elapsed`` and ``weight``.
+
+    The newest date is a scalar subquery per origin, neither a global window (which
+    would pull every row into one task) nor a join on the origin (whose few values would).
     """
     to_date_ = quarter_start if true_dates else literal_quarter_date
     complete = complete_cases(train).withColumn("d", to_date_("quarter"))
     newest = F.coalesce(*[  # one scalar per origin: no join on a key of few values
         F.when(F.col("origin") == o,
                complete.where(F.col("quarter") < o).select(F.max("d")).scalar()) for o in origins])
-    rows = training_sets(complete, origins)
     days = F.datediff(newest, F.col("d"))
-    weight = (F.when(days < 90, 1.0).when(days < 270, 0.9).when(days < 360, 0.8)
-              .when(days < 540, 0.7).otherwise(0.5))
-    return rows.select("origin", "quarter", "series", days.alias("days_elapsed"),
-                       weight.alias("weight"))
+    (first, top), *later = RECENCY_TIERS
+    weight = F.when(days < first, top)
+    for bound, w in later:
+        weight = weight.when(days < bound, w)
+    return training_sets(complete, origins).withColumns(
+        {"days_elapsed": days, "weight": weight.otherwise(OLDEST_WEIGHT)}).drop("d")
+
+
+def recency_weights(train: DataFrame, origins: Sequence[str], true_dates: bool = True
+                    ) -> DataFrame:
+    """W5 + F11: age of each complete training row relative to the newest row
+    (over all series) before the origin, and its weight tier.
+
+    ``true_dates=False`` reads ``YYYYQn`` as year and month n, as the
+    reference does (F12).
+    """
+    return recency_weighted(train, origins, true_dates).select(
+        "origin", "quarter", "series", "days_elapsed", "weight")
 
 
 def pickup_dates(first_pickup, count: int, step_months: int = 3) -> list[_dt.date]:

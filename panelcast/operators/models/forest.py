@@ -1,23 +1,30 @@
-"""M1/M2: random-forest regression with MLlib, pooled over series.
-
-The reference fits one 100-tree forest per series in a driver loop. Here
-one forest is fitted per (target, origin) on the rows of *all* series. What a
-series is enters as three numbers computed over the origin's training rows: the
-mean target of the series, of its basin and of its division. These are the same
-columns for 25 series and for a million, and no label list is collected. MLlib
-cuts a feature at 31 thresholds at most (``maxBins`` 32, its default), taken over
-all rows: up to 32 distinct means a tree can separate any two series by them,
-beyond that only coarser groups, and a small series may get hardly a threshold
-inside its own range. Pooling is a semantic
-change - trees share strength across series - chosen because a per-series loop
-of MLlib fits does not scale (each fit is several Spark jobs); the tree learner
-itself is distributed. Origins are fitted in parallel driver threads (their
-number is a run parameter, not data size), each on its own rows only, so no
-origin sees later actuals.
+"""M1/M2: random-forest regression with MLlib, pooled over series and free of scale.
+
+The reference fits one 100-tree forest per series in a driver loop. Here one forest is
+fitted per (target, origin) on the rows of *all* series, in terms that mean the same in
+every series:
+
+* the target is its ratio to the series' own mean size (mean absolute target), so a
+  split that serves a series of 10 serves one of 10^7 as well;
+* a feature enters twice: as its rank among the series' own training values (the share
+  below it, ties half), and as its ratio to their mean size;
+* a series also enters by the ratio of its mean to those of its basin and division.
+
+Ranks of a series with n training quarters have 2n+1 levels, so ``maxBins`` and the depth
+follow from the longest series of the run (bounded by the calendar), not from the number
+of series: no series has fewer thresholds inside its own range than a fit of its own
+would have. The columns are the same for 25 series and for a million, and no label list is
+collected; the sorted training values of a series are one row of a table, joined by
+series. Pooling is a semantic change (trees share strength across series), chosen because
+a per-series loop of MLlib fits does not scale; the learner itself is distributed. Origins
+are fitted in parallel driver threads (their number is a run parameter), each on its own
+rows only, so no origin sees later actuals. Rows may weigh less with age (W5,
+MLlib's ``weightCol``). A series without training rows forecasts 0, as in the other families.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -28,18 +35,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ...functions.numeric import round2
+from ...session import cut_lineage
+from ..features import recency_weighted, training_sets
+from .trees import node_table
 
 FOREST = "FOREST"
 NUM_TREES = 100
 SEED = 42
-# A run parameter (RunParams.forest_depth). Trees of this depth over rows of a few
-# quarters per series have 4,096 leaves at most, at any number of series; MLlib allows 30.
-MAX_DEPTH = 12
+MLLIB_BINS, MLLIB_DEPTH = 32, 30  # MLlib's default number of bins and its deepest tree
 # Tree nodes split per pass over the data: a larger budget means fewer passes
 # (levels of all trees are grouped), and cached node ids spare re-walking the
 # trees each pass. 1 GiB per executor is a modest share on a cluster node.
 MAX_MEMORY_MB = 1024
 MEANS = ["_series_mean", "_basin_mean", "_division_mean"]
+SHARES = ["_basin_share", "_division_share"]
 
 
 def _parts(df: DataFrame) -> DataFrame:
@@ -66,55 +75,104 @@ def design(rows: DataFrame, means: DataFrame) -> DataFrame:
     return rows.join(means, "series", "left").fillna(0.0, subset=MEANS)
 
 
-def score_forest(horizon: DataFrame, means: DataFrame, model, target: str,
+def encoding(train: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
+    """What a series is: its means, ``_scale`` (mean absolute target; 1 where that is 0),
+    and of each feature ``_values``, the sorted training values (bounded by the calendar), and
+    ``_sizes``, their mean absolute value (1 where that is 0)."""
+    values = F.array(*[F.array_sort(F.collect_list(F.col(c).cast("double"))) for c in features])
+    size = lambda c: F.sum(F.abs(F.col(c)).cast("decimal(28,6)")).cast("double") / F.count(c)  # noqa: E731  exact
+    whole = lambda x: F.when(x > 0, x).otherwise(1.0)
+    own = train.groupBy("series").agg(whole(size(target)).alias("_scale"), values.alias("_values"),
+                                      F.array(*[whole(size(c)) for c in features]).alias("_sizes"))
+    return target_means(train, target).join(own, "series")
+
+
+def rank_names(features: Sequence[str]) -> list[str]:
+    return [f"_r_{c}" for c in features] + [f"_m_{c}" for c in features] + SHARES
+
+
+def ranked(rows: DataFrame, enc: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Rows with the ranks and ratios of their features inside the series and the series'
+    shares; rows of series that are not encoded have no scale, middling ranks and ratios 0."""
+    joined = rows.join(enc, "series", "left")
+
+    def rank(k: int, c: str) -> F.Column:
+        values, x = F.element_at("_values", k + 1), F.col(c).cast("double")
+        below, upto = (F.size(F.filter(values, test)) for test in (lambda v: v < x, lambda v: v <= x))
+        return F.coalesce(F.try_divide((below + upto).cast("double"), 2.0 * F.size(values)), F.lit(0.5))
+
+    share = {"_basin_share": "_basin_mean", "_division_share": "_division_mean"}
+    return joined.withColumns(
+        {f"_r_{c}": rank(k, c) for k, c in enumerate(features)}
+        | {f"_m_{c}": F.coalesce(F.col(c).cast("double") / F.element_at("_sizes", k + 1), F.lit(0.0))
+           for k, c in enumerate(features)}
+        | {n: F.coalesce(F.try_divide(F.col("_series_mean"), F.col(m)), F.lit(0.0)) for n, m in share.items()}).drop("_values", "_sizes")
+
+
+def score_forest(horizon: DataFrame, enc: DataFrame, model, target: str,
                  features: Sequence[str]) -> DataFrame:
     """M2: score with a fitted or loaded model; NULL features count as 0."""
-    rows = design(horizon.fillna(0.0, subset=list(features)), means)
-    vectors = VectorAssembler(inputCols=[*features, *MEANS], outputCol="_x", handleInvalid="error")
-    return model.transform(vectors.transform(rows)).select(
-        "origin", "quarter", "series", round2("_pred").alias(target))
+    rows = ranked(horizon.fillna(0.0, subset=list(features)), enc, features)
+    vectors = VectorAssembler(inputCols=rank_names(features), outputCol="_x", handleInvalid="error")
+    pred = F.coalesce(round2(F.col("_pred") * F.col("_scale")), F.lit(0.0))
+    return model.transform(vectors.transform(rows)).select("origin", "quarter", "series", pred.alias(target))
+
+
+def learner_size(train: DataFrame) -> tuple[int, int]:
+    """``maxBins`` and depth from the longest series: a threshold between any two of its
+    ranks, and twice the depth of a balanced tree that tells all its rows apart."""
+    longest = train.groupBy("series").count().agg(F.max("count")).head()[0] or 1
+    return max(MLLIB_BINS, 2 * longest + 2), min(MLLIB_DEPTH, 2 * math.ceil(math.log2(longest + 1)))
 
 
 def load_forest(spark: SparkSession, path: str, target: str, origin: str):
-    """``(means, model)`` of one target and origin."""
+    """``(encoding, model)`` of one target and origin."""
     at = f"{path}/{target}/{origin}"
-    return spark.read.parquet(f"{at}/means"), RandomForestRegressionModel.load(f"{at}/model")
+    return spark.read.parquet(f"{at}/encoding"), RandomForestRegressionModel.load(f"{at}/model")
 
 
 def _fit_score(train: DataFrame, horizon: DataFrame, target: str, features: Sequence[str],
-               num_trees: int, seed: int, max_depth: int, save_to: str | None = None
-               ) -> DataFrame:
-    means = target_means(train, target)
-    vectors = VectorAssembler(inputCols=[*features, *MEANS], outputCol="_x", handleInvalid="skip")
-    rows = vectors.transform(design(train, means)).select("_x", target)
+               num_trees: int, seed: int, max_depth: int | None, save_to: str | None = None,
+               weight: str | None = None) -> DataFrame:
+    enc = cut_lineage(encoding(train, target, features))  # joined twice: to the training rows and the horizon
+    bins, depth = learner_size(train)
+    vectors = VectorAssembler(inputCols=rank_names(features), outputCol="_x", handleInvalid="skip")
+    rows = vectors.transform(ranked(train, enc, features)).select(
+        "_x", (F.col(target) / F.col("_scale")).alias("_y"), *([weight] if weight else []))
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # read by every pass of the learner
-    rf = RandomForestRegressor(featuresCol="_x", labelCol=target, predictionCol="_pred",
-                               numTrees=num_trees, seed=seed, maxDepth=max_depth,
+    rf = RandomForestRegressor(featuresCol="_x", labelCol="_y", predictionCol="_pred",
+                               numTrees=num_trees, seed=seed, maxDepth=max_depth or depth, maxBins=bins,
                                featureSubsetStrategy="all", maxMemoryInMB=MAX_MEMORY_MB,
-                               cacheNodeIds=True)
+                               cacheNodeIds=True, **({"weightCol": weight} if weight else {}))
     try:
         model = rf.fit(rows)
     finally:
         rows.unpersist()
-    if save_to is not None:  # K5: one pooled model per (target, origin), with its encoding
+    if save_to is not None:  # K5: one pooled model per (target, origin), with its encoding and node table
         model.write().overwrite().save(f"{save_to}/model")
-        means.write.mode("overwrite").parquet(f"{save_to}/means")
-    return score_forest(horizon, means, model, target, features)
+        enc.write.mode("overwrite").parquet(f"{save_to}/encoding")
+        node_table(enc.sparkSession, f"{save_to}/model").write.mode("overwrite").parquet(f"{save_to}/nodes")
+    return score_forest(horizon, enc, model, target, features)
 
 
 def forest_forecast(train_sets: DataFrame, horizon: DataFrame, target: str,
                     features: Sequence[str], origins: Sequence[str],
-                    num_trees: int = NUM_TREES, seed: int = SEED, max_depth: int = MAX_DEPTH,
-                    parallelism: int = 4, artefacts: str | None = None) -> DataFrame:
+                    num_trees: int = NUM_TREES, seed: int = SEED, max_depth: int | None = None,
+                    parallelism: int = 4, artefacts: str | None = None, recency: bool = False) -> DataFrame:
     """Fit on complete training rows of each origin (``quarter < origin``),
-    score that origin's horizon rows. Returns ``(origin, quarter, series, target)``."""
+    score that origin's horizon rows. Returns ``(origin, quarter, series, target)``.
+    ``max_depth`` overrides the depth that follows from the rows."""
     complete = train_sets.dropna()
+    if recency:
+        complete = recency_weighted(complete.drop("origin").distinct(), origins)
+    elif "origin" not in complete.columns:
+        complete = training_sets(complete, origins)
 
     def one(o: str) -> DataFrame:
         save_to = None if artefacts is None else f"{artefacts}/{target}/{o}"
         return _fit_score(complete.where(F.col("origin") == o),
                           horizon.where(F.col("origin") == o), target, features,
-                          num_trees, seed, max_depth, save_to)
+                          num_trees, seed, max_depth, save_to, "weight" if recency else None)
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(origins)))) as pool:
         parts = list(pool.map(one, origins))

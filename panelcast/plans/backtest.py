@@ -107,8 +107,8 @@ def training(inp: PanelInputs, p: RunParams) -> DataFrame:
 
 
 def training_sets(inp: PanelInputs, p: RunParams) -> DataFrame:
-    """Training rows of every origin (quarter < origin): a narrow explode of
-    the materialised training frame, cheap enough to recompute per use."""
+    """Training rows of every origin (quarter < origin), one copy per origin. The fits
+    don't use it: they take the training frame once and sum per quarter (M9)."""
     return feat.training_sets(training(inp, p), p.origins)
 
 
@@ -128,9 +128,9 @@ def trend_forecasts(inp: PanelInputs, p: RunParams, seasonal_variants=(True, Fal
     series, rev, cm, model)."""
     variants = tuple(seasonal_variants)
     return inp.kept(("trend", p, variants), lambda: trend_forecast(
-        restrict_series(training_sets(inp, p), p.model_series),
+        restrict_series(training(inp, p), p.model_series),
         restrict_series(stage1_frames(inp, p), p.model_series).select("origin", "quarter", "series"),
-        seasonal_variants=variants))
+        seasonal_variants=variants, origins=p.origins))
 
 
 def margin_frames(inp: PanelInputs, p: RunParams, how: str = "inner") -> DataFrame:

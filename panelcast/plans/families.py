@@ -32,14 +32,15 @@ def _stage(family: str, train: DataFrame, frames: DataFrame, target: str, featur
     if family == FOREST:
         to = artefacts and f"{artefacts}/forest"
         return forest_forecast(train, frames, target, features, p.origins,
-                               max_depth=p.forest_depth, artefacts=to)
+                               max_depth=p.forest_depth, artefacts=to, recency=p.recency)
     to = artefacts and f"{artefacts}/coefficients"
     if family == ridge.ADDITIVE:
-        return ridge.additive_forecast(train, frames, target, features,
-                                       worldwide=p.worldwide_features, artefacts=to)
+        return ridge.additive_forecast(train, frames, target, features, worldwide=p.worldwide_features, artefacts=to,
+                                       origins=p.origins, terms=p.additive, recency=p.recency)
     if family == ridge.AR_DIRECT:
         return ridge.ar_direct_forecast(train, frames, target, features, steps=p.interval,
-                                        worldwide=p.worldwide_features, lagged=lagged, artefacts=to)
+                                        worldwide=p.worldwide_features, lagged=lagged, artefacts=to,
+                                        origins=p.origins, recency=p.recency)
     raise ValueError(family)
 
 
@@ -53,7 +54,7 @@ def two_stage(inp: bt.PanelInputs, p: RunParams, family: str, artefacts: str | N
 
 def _two_stage(inp: bt.PanelInputs, p: RunParams, family: str, artefacts: str | None) -> DataFrame:
     models = lambda df: restrict_series(df, p.model_series)  # noqa: E731  before any fit
-    train, stage1, stage2 = (models(df) for df in (bt.training_sets(inp, p), bt.stage1_frames(inp, p),
+    train, stage1, stage2 = (models(df) for df in (bt.training(inp, p), bt.stage1_frames(inp, p),
                                                    bt.stage2_frames(inp, p)))
     keep = cut_lineage if inp.checkpoint else (lambda d: d)
     lagged = AR_LAGGED if family == ridge.AR_DIRECT else ()

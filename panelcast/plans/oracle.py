@@ -10,7 +10,10 @@ DECIMAL and cast to DOUBLE once; cents rounding ``round_even(x*100, 0)/100``
 
 from __future__ import annotations
 
+import sys
+
 from ..operators.models.trend import TREND, TREND_SEASONAL
+from . import ridge_oracle
 from .queries import TWO_SERIES, WORLDWIDE_SERIES
 
 # The fixed run as literal quarters, so that a wrong bound in the library shows up.
@@ -341,6 +344,11 @@ FROM rv LEFT JOIN cr ON rv.quarter = cr.quarter AND rv.series = cr.series
 
 
 def margin_ctes(how: str = "inner") -> str:
+    return "\n".join(margin_parts(how))
+
+
+def margin_parts(how: str) -> tuple[str, str]:
+    """The CTEs and the final select of a margin frame."""
     own_cols = [c for c in FRAME_COLUMNS if c not in ("quarter", "series", "rev")]
     own_sel = ", ".join(f"nullif({c}, 0) AS {c}" if c.startswith("rev_lag") else c
                         for c in own_cols)
@@ -365,7 +373,7 @@ def margin_ctes(how: str = "inner") -> str:
                                + out_cols)
         body = f"SELECT * FROM ({body}) m WHERE {notnull}"
     lags = ", ".join(f"lag(rev, {k}) OVER w AS rev_lag{k}_new" for k in LAGS)
-    return f""",
+    ctes = f""",
 own AS (SELECT origin, quarter, series, {own_sel} FROM f2),
 chained AS (
   SELECT origin, quarter, series, rev FROM fc WHERE model = '{TREND_SEASONAL}'
@@ -375,8 +383,8 @@ ext AS (
   SELECT * FROM (
     SELECT origin, quarter, series, rev, {lags} FROM chained
     WINDOW w AS (PARTITION BY origin, series ORDER BY quarter)) x
-  WHERE quarter >= origin)
-{body}"""
+  WHERE quarter >= origin)"""
+    return ctes, body
 
 
 def _with(*parts: str) -> str:
@@ -470,6 +478,7 @@ JOIN (SELECT DISTINCT origin, quarter, series, rev FROM fc WHERE model = '{TREND
         + f"\nSELECT * FROM snap WHERE series = '{TWO_SERIES[0]}' "
         f"AND model IN ('{TREND}', '{TREND_SEASONAL}')",
         **model_parts(_with(panel, train), _with(panel, train, f1), complete),
+        **ridge_oracle.forecasts(sys.modules[__name__]),
     }
 
 
@@ -502,6 +511,7 @@ tr AS (
                   for k in range(4)]
     live = lambda cols: " + ".join(f"(count(DISTINCT {c}) > 1)::BIGINT" for c in cols)
     terms = ["t", "(qoy = 2)", "(qoy = 3)", "(qoy = 4)"]
+    changing = ridge_oracle.season_columns("quarter", qnum, qindex, ridge_oracle.CHANGES, True)
     fixed = ("0.0::DOUBLE + 1.0::DOUBLE * 10.0::DOUBLE + CAST(%s AS DOUBLE) * 0.5::DOUBLE" % qindex("quarter")
              + "".join(f" + CAST({qnum('quarter')} = {k} AS INTEGER)::DOUBLE * {k - 1}.0::DOUBLE" for k in (2, 3, 4))
              + "".join(f" + {c} * 0.001::DOUBLE" for c in REV_LIST))
@@ -515,6 +525,15 @@ lg AS (
 SELECT origin, quarter, series, h, {', '.join(picked)}, target AS cm FROM lg CROSS JOIN {steps}""",
         "additive_normal_equations": f"""{train}{sets}
 SELECT origin, series, count(*) AS n_rows, {live(terms + REV_LIST)} AS n_live, true AS solved
+FROM tr GROUP BY origin, series""",
+        "additive_changes_design": f"""{train}{sets}
+SELECT DISTINCT quarter, series, {', '.join(f"{e} AS {n}" for n, e in changing.items())}, pipeline, rev FROM (
+  SELECT * FROM train WHERE {complete})""",
+        "additive_block_equations": f"""{train}{sets}
+SELECT origin, series, count(*) AS n_rows, {live([*changing.values(), *REV_LIST])} AS n_live, true AS solved
+FROM tr GROUP BY origin, series""",
+        "additive_recency_equations": f"""{train}{sets}
+SELECT origin, series, count(*) AS n_rows, {live(terms + REV_LIST)} AS n_live, true AS solved
 FROM tr GROUP BY origin, series""",
         "ar_normal_equations": f"""{train}{sets},
 lg AS (
@@ -539,6 +558,47 @@ SELECT s.origin, s.quarter, s.series,
        + "".join(f" + coalesce(v{k}, 0.0::DOUBLE) * 0.25::DOUBLE" for k in range(1, 5)))}
        ELSE 0.0::DOUBLE END AS rev
 FROM st s LEFT JOIN l4 ON s.origin = l4.origin AND s.series = l4.series""",
+        "forest_ranked_design": f"""{train}{sets},
+ms AS (
+  SELECT origin, series, regexp_replace(series, '-[^-]*$', '') AS basin, regexp_extract(series, '([^-]*)$', 1) AS division,
+         sum(CAST(rev AS DECIMAL(22,2)) * 100) AS s, count(*) AS n FROM tr GROUP BY 1, 2),
+mm AS (
+  SELECT origin, series, {', '.join(
+      f"CAST(sum(CAST(abs({c}) AS DECIMAL(28,6))) AS DOUBLE) / count(*) AS {c}_size"
+      for c in ("rev", "pipeline", "wti", "rig_ex_lag1"))} FROM tr GROUP BY 1, 2),
+sh AS (
+  SELECT origin, series, CAST(s AS DOUBLE) / n / 100 AS mean,
+         CAST(sum(s) OVER (PARTITION BY origin, basin) AS DOUBLE) / sum(n) OVER (PARTITION BY origin, basin) / 100 AS bm,
+         CAST(sum(s) OVER (PARTITION BY origin, division) AS DOUBLE) / sum(n) OVER (PARTITION BY origin, division) / 100 AS dm
+  FROM ms),
+rk AS (
+  SELECT t.origin, t.quarter, t.series, t.rev, t.pipeline, t.wti, t.rig_ex_lag1, {', '.join(
+      f"CAST(count(*) FILTER (u.{c} < t.{c}) + count(*) FILTER (u.{c} <= t.{c}) AS DOUBLE) / (2.0::DOUBLE * count(*)) AS r_{c}"
+      for c in ("pipeline", "wti", "rig_ex_lag1"))}
+  FROM tr t JOIN tr u ON t.origin = u.origin AND t.series = u.series GROUP BY ALL)
+SELECT rk.origin, rk.quarter, rk.series, r_pipeline, r_wti, r_rig_ex_lag1, rk.pipeline / pipeline_size AS m_pipeline,
+       rk.wti / wti_size AS m_wti, rk.rig_ex_lag1 / rig_ex_lag1_size AS m_rig_ex_lag1, sh.mean / sh.bm AS basin_share,
+       sh.mean / sh.dm AS division_share, rk.rev / rev_size AS ratio
+FROM rk JOIN sh ON rk.origin = sh.origin AND rk.series = sh.series
+JOIN mm ON rk.origin = mm.origin AND rk.series = mm.series""",
+        "forest_fixed_scores": f"""{frames.replace("WITH ", "WITH RECURSIVE ", 1)},
+nd AS (SELECT * FROM (VALUES (0, 0, 'pipeline', 2500.0, 1, 2, 1.0), (0, 1, 'rig_ex', 40.5, 3, 4, 2.0),
+  (0, 2, 'wti', 150000.0, 5, 6, 3.0), (0, 3, NULL, NULL, NULL, NULL, 10.5), (0, 4, NULL, NULL, NULL, NULL, 20.25),
+  (0, 5, NULL, NULL, NULL, NULL, 30.125), (0, 6, 'brent_lag1', 151000.0, 7, 8, 4.0), (0, 7, NULL, NULL, NULL, NULL, 40.0),
+  (0, 8, NULL, NULL, NULL, NULL, 50.0), (1, 0, NULL, NULL, NULL, NULL, 7.0), (2, 0, 'brent_lag1', 149000.0, 1, 2, 5.0),
+  (2, 1, NULL, NULL, NULL, NULL, -8.0), (2, 2, 'pipeline', 9000.0, 3, 4, 6.0), (2, 3, NULL, NULL, NULL, NULL, 60.75),
+  (2, 4, NULL, NULL, NULL, NULL, 70.5)) AS v(tree, node, feature, threshold, lt, rt, value)),
+walk AS (
+  SELECT origin, quarter, series, {{'pipeline': pipeline, 'rig_ex': rig_ex, 'wti': wti, 'brent_lag1': brent_lag1}} AS x,
+         tree, 0 AS node FROM f1 CROSS JOIN (SELECT unnest([0, 1, 2]) AS tree)
+  UNION ALL
+  SELECT w.origin, w.quarter, w.series, w.x, w.tree,
+         CASE WHEN (CASE n.feature WHEN 'pipeline' THEN w.x.pipeline WHEN 'rig_ex' THEN w.x.rig_ex WHEN 'wti' THEN w.x.wti
+                    ELSE w.x.brent_lag1 END) <= n.threshold THEN n.lt ELSE n.rt END
+  FROM walk w JOIN nd n ON n.tree = w.tree AND n.node = w.node WHERE n.feature IS NOT NULL)
+SELECT w.origin, w.quarter, w.series, {r2('sum(n.value::DOUBLE) / 3.0::DOUBLE')} AS rev
+FROM walk w JOIN nd n ON n.tree = w.tree AND n.node = w.node WHERE n.feature IS NULL
+GROUP BY w.origin, w.quarter, w.series""",
         "forest_design": f"""{train}{sets},
 ms AS (
   SELECT origin, series, regexp_replace(series, '-[^-]*$', '') AS basin,

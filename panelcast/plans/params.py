@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from ..functions.calendar import quarter_of
 from ..operators.features import OriginWindow, pickup_dates
+from ..operators.models.ridge import AdditiveTerms
 
 
 @dataclass(frozen=True)
@@ -27,7 +28,9 @@ class RunParams:
     lookback_months: int = 12
     model_series: tuple[str, ...] | None = None        # series that get models (None: all)
     worldwide_features: tuple[str, ...] | None = None  # M7: own regressor list of Worldwide series
-    forest_depth: int = 12
+    forest_depth: int | None = None                    # M1: None takes it from the rows
+    additive: AdditiveTerms | None = None              # M3: trend changes, Fourier season, penalties
+    recency: bool = False                              # W5: fits weigh rows by their age
 
     @property
     def pickups(self):

@@ -76,18 +76,18 @@ def compare(spark, sf_dir: str, name: str, query, sql: str, con=None) -> dict:
 
 def main(argv: list[str]) -> int:
     from panelcast.plans.oracle import build
-    from panelcast.plans.queries import SQL_CHECKED
+    from panelcast.plans.queries import registry
     from panelcast.session import local_session
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    names = argv[2:] or list(SQL_CHECKED)
     spark = local_session()
-    sqls = build()
+    sqls, queries = build(), registry()
+    names = argv[2:] or list(sqls)
     con = duck(sf_dir)
     bad = 0
     for n in names:
         try:
-            r = compare(spark, sf_dir, n, SQL_CHECKED[n], sqls[n], con)
+            r = compare(spark, sf_dir, n, queries[n], sqls[n], con)
         except Exception as e:  # report and continue
             r = {"query": n, "match": False, "error": repr(e)[:800]}
         bad += not r["match"]

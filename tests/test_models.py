@@ -144,9 +144,9 @@ def test_reloaded_models_forecast_like_fresh_ones(spark, scratch):
     horizon = spark.createDataFrame([r for r in rows if r[1] >= "2019Q1"][:24], PANEL_SCHEMA).drop("rev")
     fresh = sorted(forest_forecast(train, horizon, "rev", ["x"], ["2019Q1"], num_trees=3,
                                    artefacts=f"{scratch}/rf").collect())
-    means, model = forest.load_forest(spark, f"{scratch}/rf", "rev", "2019Q1")
+    enc, model = forest.load_forest(spark, f"{scratch}/rf", "rev", "2019Q1")
     assert model.getNumTrees == 3
-    assert fresh == sorted(forest.score_forest(horizon, means, model, "rev", ["x"]).collect())
+    assert fresh == sorted(forest.score_forest(horizon, enc, model, "rev", ["x"]).collect())
     fresh = sorted(ridge.ar_direct_forecast(train, horizon, "rev", ["x"], artefacts=f"{scratch}/ar").collect())
     coefs = store.load_coefficients(spark, f"{scratch}/ar", ridge.AR_DIRECT, "rev", "2019Q1")
     assert fresh == sorted(ridge.ar_score(train, horizon, coefs, "rev", ["x"]).collect())

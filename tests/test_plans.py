@@ -70,10 +70,10 @@ def test_changed_files_get_a_new_panel(spark, scratch):
     import shutil
     from panelcast.plans import queries as Q
     root = Path(scratch) / "t"
-    shutil.copytree(SF, root)
+    shutil.copytree(SF, root, copy_function=shutil.copyfile)
+    root.chmod(0o755)  # the given folder is read-only, and its mode is copied
     first = Q._inputs(spark, str(root))
     assert Q._inputs(spark, str(root)) is first
-    shutil.copy(f"{SF}/orders.parquet", root / "orders2")
-    (root / "orders.parquet").chmod(0o644)
-    (root / "orders.parquet").write_bytes((root / "orders2").read_bytes())
+    (root / "orders.parquet").unlink()
+    shutil.copyfile(f"{SF}/orders.parquet", root / "orders.parquet")
     assert Q._inputs(spark, str(root)) is not first
