@@ -427,6 +427,8 @@ SELECT quarter, basin, division, weighted_fcst FROM wq""",
 SELECT quarter, basin, {r2('rig_ex_china')} AS rig_ex_china, {r2('rig_all')} AS rig_all
 FROM rigq""",
         "actuals_by_scenario": _with(panel) + """
+SELECT quarter, basin, division, cm, rev FROM aq""",
+        "actuals_bucketed": _with(panel) + """
 SELECT quarter, basin, division, cm, rev FROM aq""",
         "oil_quarterly": _with(panel) + f"""
 SELECT quarter, {r2('brent')} AS brent, {r2('wti')} AS wti FROM oilq""",

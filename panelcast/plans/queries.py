@@ -24,6 +24,8 @@ from ..operators.scoring import ground_truth
 from ..operators.selection import (earliest_snapshot, inspect_models, latest_snapshot,
                                    model_errors, winners)
 from ..sources import business as biz
+from ..session import cut_lineage
+from ..sources.bucketed import bucketed
 from ..sources.tables import Tables
 from . import backtest as bt
 from .params import RunParams
@@ -67,6 +69,13 @@ def weighted_fcst_monthly(spark, sf_dir):
     return to_double(biz.weighted_monthly(fact))
 
 
+def actuals_bucketed(spark, sf_dir):
+    """S3 over orders and lineitem bucketed by order key: the lines are not exchanged."""
+    with bucketed(Tables(spark, sf_dir)) as t:
+        fact = cut_lineage(biz.sales_fact(t))
+    return actuals_quarterly(biz.actuals_monthly(fact))
+
+
 def quarterly_with_worldwide(spark, sf_dir):
     return weighted_quarterly(_inputs(spark, sf_dir).weighted)
 
@@ -211,6 +220,7 @@ SQL_CHECKED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarterly_with_worldwide": quarterly_with_worldwide,
     "rig_mean_worldwide": rig_mean_worldwide,
     "actuals_by_scenario": actuals_by_scenario,
+    "actuals_bucketed": actuals_bucketed,
     "oil_quarterly": oil_quarterly,
     "assemble_panel": assemble_panel,
     "training_frame": training_frame,

@@ -4,11 +4,11 @@ The reference runs its whole program once per forecast origin, each run
 reading the previous snapshot back from the database. Here every origin is
 computed in one job and the snapshot recursion is unrolled (see
 ``operators/scoring.py``); only the history *before the first origin* is
-read from an existing store. Snapshots and best-model rows are then written
-with dynamic partition overwrite, so rerunning the same origins replaces
-them instead of duplicating them. With a store the models of every family are
-written to ``<store>/models`` and scored from there, and intermediates are deleted
-at the end; ``exports`` also writes the stage outputs as CSV.
+read from an existing store. Snapshots, best-model rows and models are staged under the
+run's id and published together (:mod:`..sources.runs`): a run that is lost leaves the
+former state, and rerunning origins replaces them as a whole. Forecasts are scored from
+the stored models, and intermediates are deleted at the end; ``exports`` also writes the
+stage outputs as CSV.
 
     python -m panelcast.plans.walk_forward --tables /data/sf1 --store /data/store
 """
@@ -21,10 +21,12 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.models.forest import FOREST
 from ..operators.scoring import ground_truth, score_forecasts
 from ..operators.selection import best_model
+from ..operators.stage2 import margin_inference
 from ..session import cut_lineage, scratch_run, set_defaults
-from ..sources import store
+from ..sources import runs, store
 from ..sources.monthly import Extracts
 from ..sources.tables import Tables
 from . import backtest as bt
@@ -43,21 +45,21 @@ def run_walk_forward(spark: SparkSession, tables_dir: str | None, params: RunPar
     is one, else materialised in the checkpoint folder.
     """
     if store_dir is None:
-        return _run(spark, tables_dir, params, None, families, with_trend, monthly, exports)
+        return _run(spark, tables_dir, params, None, None, families, with_trend, monthly, exports)
+    run = runs.new_run()
     with scratch_run(spark):
-        snaps, best = _run(spark, tables_dir, params, store_dir, families, with_trend, monthly, exports)
-        store.append_snapshot(snaps, f"{store_dir}/snapshots")
-        store.append_best(best, f"{store_dir}/best")
-        schema = best.schema
-    own = F.col("refresh_date").isin(params.origins)
-    return (store.read_snapshots(spark, f"{store_dir}/snapshots").where(own),
-            store.read_table(spark, f"{store_dir}/best", schema).where(own))
+        snaps, best = _run(spark, tables_dir, params, store_dir, run, families, with_trend, monthly, exports)
+        runs.stage(snaps.select(*store.SNAPSHOT_SCHEMA.names), store_dir, "snapshots", run)
+        runs.stage(best.select(*store.BEST_SCHEMA.names), store_dir, "best", run)
+        runs.publish(spark, store_dir, run, params.origins)
+    return (store.read_snapshots(spark, f"{store_dir}/snapshots", params.origins),
+            store.read_best(spark, f"{store_dir}/best", params.origins))
 
 
-def _run(spark, tables_dir, params, store_dir, families, with_trend, monthly, exports):
+def _run(spark, tables_dir, params, store_dir, run, families, with_trend, monthly, exports):
     tables = None if tables_dir is None else Tables(spark, tables_dir)
     inp = bt.PanelInputs(tables, checkpoint=True, monthly=monthly)
-    models = None if store_dir is None else f"{store_dir}/models"
+    models = None if store_dir is None else f"{store_dir}/models/run={run}"
     forecasts = cut_lineage(all_forecasts(inp, params, families, with_trend, models))
     history = None
     if store_dir is not None:
@@ -69,11 +71,25 @@ def _run(spark, tables_dir, params, store_dir, families, with_trend, monthly, ex
         for name, df, sort_by in (("training", bt.training(inp, params), ["series", "quarter"]),
                                   ("ground_truth", truth, ["series", "quarter"]),
                                   ("inference", bt.stage1_frames(inp, params), ["origin", "series", "quarter"]),
+                                  ("margin_inference", _margin_frames(inp, params, forecasts),
+                                   ["model", "origin", "series", "quarter"]),
+                                  ("best", best, ["refresh_date", "series", "quarter"]),
                                   ("forecasts", forecasts, ["origin", "series", "quarter", "model"])):
             store.export_csv(df, f"{exports}/{name}", sort_by)
     return snaps, best
 
 
+def _margin_frames(inp: bt.PanelInputs, params: RunParams, forecasts: DataFrame) -> DataFrame:
+    """The stage-2 frames of every family: margin inference fed with its own revenue forecast."""
+    stage2, out = bt.stage2_frames(inp, params), None
+    for label in sorted(r.model for r in forecasts.select("model").distinct().collect()):
+        rev = forecasts.where(F.col("model") == label).select("origin", "quarter", "series", "rev")
+        how = "inner" if label == FOREST else "right"
+        part = margin_inference(stage2, rev, how).withColumn("model", F.lit(label))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--tables", required=True, help="folder with the parquet tables")

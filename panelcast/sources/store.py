@@ -6,8 +6,10 @@ and pickles one model file per series. Here they are Parquet tables:
 * snapshots and best-model rows are partitioned by refresh_date and written with
   *dynamic* partition overwrite, so rerunning a refresh replaces it as a whole
   (also families it no longer has) and leaves every other refresh untouched;
-* reads of the newest/oldest refresh filter on the partition column, so
-  only that refresh's files are scanned (partition pruning);
+* the newest/oldest refresh is found from the names of the folders, and only that
+  refresh's files are scanned;
+* a run of the whole driver stages its tables and models and publishes them together
+  (:mod:`.runs`); the reads here take published tables as well;
 * a missing table reads as an empty frame with the right schema (S8);
   any other read error propagates;
 * ridge coefficients are a table keyed by (family, target, origin, series);
@@ -20,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import runs
+
 SNAPSHOT_SCHEMA = T.StructType([
     T.StructField("quarter", T.StringType()),
     T.StructField("series", T.StringType()),
@@ -99,37 +103,46 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
-def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, SNAPSHOT_SCHEMA)
+BEST_SCHEMA = T.StructType([
+    *[SNAPSHOT_SCHEMA[c] for c in ("quarter", "series", "rev", "actual_revenue", "revenue_error", "YM", "refresh_date",
+                                   "level")],
+    T.StructField("rev_Model", T.StringType()),
+    *[SNAPSHOT_SCHEMA[c] for c in ("cm", "actual_contribution_margin", "contribution_margin_error")],
+    T.StructField("cm_Model", T.StringType()),
+])
 
 
-def _edge_snapshot(store: DataFrame, newest: bool) -> DataFrame:
-    """Rows of the newest (or oldest) refresh.
+def _read(spark: SparkSession, path: str, schema: T.StructType, only: list[str] | None = None) -> DataFrame:
+    if runs.manifest(spark, path.rstrip("/").rsplit("/", 1)[0]) is not None:
+        return runs.read(spark, path, schema, only)
+    df = read_table(spark, path, schema)
+    return df if only is None else df.where(F.col("refresh_date").isin(only))
 
-    The refresh key is a partition column: the scalar max/min is computed
-    first and used as a literal filter, so the scan of the rows prunes to
-    one partition directory instead of reading the whole history.
-    """
-    agg = F.max("refresh_date") if newest else F.min("refresh_date")
-    edge = store.select("refresh_date").distinct().agg(agg.alias("r")).first()
-    if edge is None or edge["r"] is None:
-        return store.limit(0)
-    return store.where(F.col("refresh_date") == edge["r"])
+
+def read_snapshots(spark: SparkSession, path: str, only: list[str] | None = None) -> DataFrame:
+    """Snapshots (of the refreshes ``only``): a published table of a store, or a plain one."""
+    return _read(spark, path, SNAPSHOT_SCHEMA, only)
+
+
+def read_best(spark: SparkSession, path: str, only: list[str] | None = None) -> DataFrame:
+    return _read(spark, path, BEST_SCHEMA, only)
 
 
 def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    return _edge_snapshot(read_snapshots(spark, path), newest=True)
+    """Rows of the newest refresh, whose name comes from the folders or the manifest."""
+    return read_snapshots(spark, path, runs.refreshes(spark, path)[-1:])
 
 
 def earliest_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    return _edge_snapshot(read_snapshots(spark, path), newest=False)
+    """Rows of the oldest refresh."""
+    return read_snapshots(spark, path, runs.refreshes(spark, path)[:1])
 
 
 def history_before(spark: SparkSession, path: str, origin: str) -> DataFrame:
     """Rows of the newest snapshot refreshed before ``origin``, for quarters before it
     (P10): the history a new refresh carries forward (``quarter, series, cm, rev, model``)."""
-    past = read_snapshots(spark, path).where(F.col("refresh_date") < origin)
-    return (_edge_snapshot(past, newest=True).where(F.col("quarter") < origin)
+    newest = [r for r in runs.refreshes(spark, path) if r < origin][-1:]
+    return (read_snapshots(spark, path, newest).where(F.col("quarter") < origin)
             .select("quarter", "series", "cm", "rev", "model"))
 
 

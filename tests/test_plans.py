@@ -77,3 +77,24 @@ def test_changed_files_get_a_new_panel(spark, scratch):
     (root / "orders.parquet").unlink()
     shutil.copyfile(f"{SF}/orders.parquet", root / "orders.parquet")
     assert Q._inputs(spark, str(root)) is not first
+
+
+def test_bucketed_lines_are_not_exchanged(spark):
+    from panelcast.sources.bucketed import bucketed, suggested_buckets
+    tables = Tables(spark, SF)
+    assert suggested_buckets(tables) == 8
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with bucketed(tables, 4) as t:
+            fact = biz.sales_fact(t)
+            text, rows = plan(fact), sorted(fact.collect())
+            pairs = plan(t.lineitem.join(t.orders, t.lineitem.l_orderkey == t.orders.o_orderkey))
+        plain = biz.sales_fact(tables)
+        assert rows == sorted(plain.collect())
+        by_key = lambda p: re.findall(r"hashpartitioning\(([a-z_]*orderkey)", p)
+        assert len(by_key(plan(biz.sales_fact(tables)))) == 2  # lines and orders
+        assert len(by_key(text)) == 1 and "Bucketed: true" in text  # only the placed orders
+        assert by_key(pairs) == [] and "Exchange" not in pairs
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("panelcast_")]
