@@ -57,17 +57,18 @@ def _parts(df: DataFrame) -> DataFrame:
                            "_division": F.regexp_extract("series", "([^-]*)$", 1)})
 
 
-def target_means(train: DataFrame, target: str) -> DataFrame:
-    """``series, _series_mean, _basin_mean, _division_mean`` over the training rows
-    (exact: cents are summed as integers)."""
+def target_means(train: DataFrame, target: str, keys: Sequence[str] = ("series",)) -> DataFrame:
+    """``keys, _series_mean, _basin_mean, _division_mean`` over the training rows (exact:
+    cents are summed as integers). Keys are the series, and the origin where rows have one."""
+    keys, over = list(keys), [k for k in keys if k != "series"]
     cents = F.round(F.col(target) * 100).cast("decimal(38,0)")
-    sums = _parts(train.groupBy("series").agg(F.sum(cents).alias("s"), F.count(target).alias("n")))
+    sums = _parts(train.groupBy(*keys).agg(F.sum(cents).alias("s"), F.count(target).alias("n")))
     mean = lambda s, n: (s.cast("double") / n / 100)
-    out = sums.select("series", "_basin", "_division", mean(F.col("s"), F.col("n")).alias("_series_mean"))
+    out = sums.select(*keys, "_basin", "_division", mean(F.col("s"), F.col("n")).alias("_series_mean"))
     for key in ("_basin", "_division"):
-        group = sums.groupBy(key).agg(mean(F.sum("s"), F.sum("n")).alias(f"{key}_mean"))
-        out = out.join(group, key)
-    return out.select("series", *MEANS)
+        group = sums.groupBy(*over, key).agg(mean(F.sum("s"), F.sum("n")).alias(f"{key}_mean"))
+        out = out.join(group, [*over, key])
+    return out.select(*keys, *MEANS)
 
 
 def design(rows: DataFrame, means: DataFrame) -> DataFrame:
@@ -75,26 +76,26 @@ def design(rows: DataFrame, means: DataFrame) -> DataFrame:
     return rows.join(means, "series", "left").fillna(0.0, subset=MEANS)
 
 
-def encoding(train: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
+def encoding(train: DataFrame, target: str, features: Sequence[str], keys: Sequence[str] = ("series",)) -> DataFrame:
     """What a series is: its means, ``_scale`` (mean absolute target; 1 where that is 0),
     and of each feature ``_values``, the sorted training values (bounded by the calendar), and
     ``_sizes``, their mean absolute value (1 where that is 0)."""
     values = F.array(*[F.array_sort(F.collect_list(F.col(c).cast("double"))) for c in features])
     size = lambda c: F.sum(F.abs(F.col(c)).cast("decimal(28,6)")).cast("double") / F.count(c)  # noqa: E731  exact
     whole = lambda x: F.when(x > 0, x).otherwise(1.0)
-    own = train.groupBy("series").agg(whole(size(target)).alias("_scale"), values.alias("_values"),
+    own = train.groupBy(*keys).agg(whole(size(target)).alias("_scale"), values.alias("_values"),
                                       F.array(*[whole(size(c)) for c in features]).alias("_sizes"))
-    return target_means(train, target).join(own, "series")
+    return target_means(train, target, keys).join(own, list(keys))
 
 
 def rank_names(features: Sequence[str]) -> list[str]:
     return [f"_r_{c}" for c in features] + [f"_m_{c}" for c in features] + SHARES
 
 
-def ranked(rows: DataFrame, enc: DataFrame, features: Sequence[str]) -> DataFrame:
+def ranked(rows: DataFrame, enc: DataFrame, features: Sequence[str], keys: Sequence[str] = ("series",)) -> DataFrame:
     """Rows with the ranks and ratios of their features inside the series and the series'
     shares; rows of series that are not encoded have no scale, middling ranks and ratios 0."""
-    joined = rows.join(enc, "series", "left")
+    joined = rows.join(enc, list(keys), "left")
 
     def rank(k: int, c: str) -> F.Column:
         values, x = F.element_at("_values", k + 1), F.col(c).cast("double")
@@ -109,20 +110,26 @@ def ranked(rows: DataFrame, enc: DataFrame, features: Sequence[str]) -> DataFram
         | {n: F.coalesce(F.try_divide(F.col("_series_mean"), F.col(m)), F.lit(0.0)) for n, m in share.items()}).drop("_values", "_sizes")
 
 
+def _assembler(features: Sequence[str], invalid: str) -> VectorAssembler:
+    return VectorAssembler(inputCols=rank_names(features), outputCol="_x", handleInvalid=invalid)
+
+
+def _predicted(rows: DataFrame, model, target: str, features: Sequence[str]) -> DataFrame:
+    pred = F.coalesce(round2(F.col("_pred") * F.col("_scale")), F.lit(0.0))
+    return model.transform(_assembler(features, "error").transform(rows)).select(
+        "origin", "quarter", "series", pred.alias(target))
+
+
 def score_forest(horizon: DataFrame, enc: DataFrame, model, target: str,
                  features: Sequence[str]) -> DataFrame:
     """M2: score with a fitted or loaded model; NULL features count as 0."""
-    rows = ranked(horizon.fillna(0.0, subset=list(features)), enc, features)
-    vectors = VectorAssembler(inputCols=rank_names(features), outputCol="_x", handleInvalid="error")
-    pred = F.coalesce(round2(F.col("_pred") * F.col("_scale")), F.lit(0.0))
-    return model.transform(vectors.transform(rows)).select("origin", "quarter", "series", pred.alias(target))
+    return _predicted(ranked(horizon.fillna(0.0, subset=list(features)), enc, features), model, target, features)
 
 
-def learner_size(train: DataFrame) -> tuple[int, int]:
-    """``maxBins`` and depth from the longest series: a threshold between any two of its
-    ranks, and twice the depth of a balanced tree that tells all its rows apart."""
-    longest = train.groupBy("series").count().agg(F.max("count")).head()[0] or 1
-    return max(MLLIB_BINS, 2 * longest + 2), min(MLLIB_DEPTH, 2 * math.ceil(math.log2(longest + 1)))
+def learner_size(longest: int) -> tuple[int, int]:
+    """``maxBins`` and depth from the rows of the longest series: a threshold between any two
+    of its ranks, and twice the depth of a balanced tree that tells all its rows apart."""
+    return max(MLLIB_BINS, 2 * longest + 2), min(MLLIB_DEPTH, max(1, 2 * math.ceil(math.log2(longest + 1))))
 
 
 def load_forest(spark: SparkSession, path: str, target: str, origin: str):
@@ -131,48 +138,47 @@ def load_forest(spark: SparkSession, path: str, target: str, origin: str):
     return spark.read.parquet(f"{at}/encoding"), RandomForestRegressionModel.load(f"{at}/model")
 
 
-def _fit_score(train: DataFrame, horizon: DataFrame, target: str, features: Sequence[str],
-               num_trees: int, seed: int, max_depth: int | None, save_to: str | None = None,
-               weight: str | None = None) -> DataFrame:
-    enc = cut_lineage(encoding(train, target, features))  # joined twice: to the training rows and the horizon
-    bins, depth = learner_size(train)
-    vectors = VectorAssembler(inputCols=rank_names(features), outputCol="_x", handleInvalid="skip")
-    rows = vectors.transform(ranked(train, enc, features)).select(
-        "_x", (F.col(target) / F.col("_scale")).alias("_y"), *([weight] if weight else []))
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # read by every pass of the learner
-    rf = RandomForestRegressor(featuresCol="_x", labelCol="_y", predictionCol="_pred",
-                               numTrees=num_trees, seed=seed, maxDepth=max_depth or depth, maxBins=bins,
-                               featureSubsetStrategy="all", maxMemoryInMB=MAX_MEMORY_MB,
-                               cacheNodeIds=True, **({"weightCol": weight} if weight else {}))
-    try:
-        model = rf.fit(rows)
-    finally:
-        rows.unpersist()
-    if save_to is not None:  # K5: one pooled model per (target, origin), with its encoding and node table
-        model.write().overwrite().save(f"{save_to}/model")
-        enc.write.mode("overwrite").parquet(f"{save_to}/encoding")
-        node_table(enc.sparkSession, f"{save_to}/model").write.mode("overwrite").parquet(f"{save_to}/nodes")
-    return score_forest(horizon, enc, model, target, features)
-
-
 def forest_forecast(train_sets: DataFrame, horizon: DataFrame, target: str,
                     features: Sequence[str], origins: Sequence[str],
                     num_trees: int = NUM_TREES, seed: int = SEED, max_depth: int | None = None,
                     parallelism: int = 4, artefacts: str | None = None, recency: bool = False) -> DataFrame:
     """Fit on complete training rows of each origin (``quarter < origin``),
     score that origin's horizon rows. Returns ``(origin, quarter, series, target)``.
-    ``max_depth`` overrides the depth that follows from the rows."""
+    ``max_depth`` overrides the depth that follows from the rows.
+
+    The encoding, the training rows and the horizon in its terms are written once for all
+    origins; only the learner runs per origin."""
     complete = train_sets.dropna()
     if recency:
         complete = recency_weighted(complete.drop("origin").distinct(), origins)
     elif "origin" not in complete.columns:
         complete = training_sets(complete, origins)
+    keys, weight = ["origin", "series"], ["weight"] if recency else []
+    enc = cut_lineage(encoding(complete, target, features, keys))
+    ratio = (F.col(target) / F.col("_scale")).alias("_y")
+    rows = cut_lineage(ranked(complete, enc, features, keys).select("origin", *rank_names(features), ratio, *weight))
+    later = ranked(horizon.fillna(0.0, subset=list(features)), enc, features, keys)
+    later = cut_lineage(later.select("origin", "quarter", "series", *rank_names(features), "_scale"))
+    longest = dict(complete.groupBy(*keys).count().groupBy("origin").agg(F.max("count")).collect())  # one row per origin
 
     def one(o: str) -> DataFrame:
-        save_to = None if artefacts is None else f"{artefacts}/{target}/{o}"
-        return _fit_score(complete.where(F.col("origin") == o),
-                          horizon.where(F.col("origin") == o), target, features,
-                          num_trees, seed, max_depth, save_to, "weight" if recency else None)
+        bins, depth = learner_size(longest.get(o, 1))
+        own = _assembler(features, "skip").transform(rows.where(F.col("origin") == o)).select("_x", "_y", *weight)
+        own = own.persist(StorageLevel.MEMORY_AND_DISK)  # read by every pass of the learner
+        rf = RandomForestRegressor(featuresCol="_x", labelCol="_y", predictionCol="_pred",
+                                   numTrees=num_trees, seed=seed, maxDepth=max_depth or depth, maxBins=bins,
+                                   featureSubsetStrategy="all", maxMemoryInMB=MAX_MEMORY_MB,
+                                   cacheNodeIds=True, **({"weightCol": "weight"} if recency else {}))
+        try:
+            model = rf.fit(own)
+        finally:
+            own.unpersist()
+        if artefacts is not None:  # K5: one pooled model per (target, origin), with its encoding and node table
+            to = f"{artefacts}/{target}/{o}"
+            model.write().overwrite().save(f"{to}/model")
+            enc.where(F.col("origin") == o).drop("origin").write.mode("overwrite").parquet(f"{to}/encoding")
+            node_table(enc.sparkSession, f"{to}/model").write.mode("overwrite").parquet(f"{to}/nodes")
+        return _predicted(later.where(F.col("origin") == o), model, target, features)
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(origins)))) as pool:
         parts = list(pool.map(one, origins))

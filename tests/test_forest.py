@@ -94,12 +94,10 @@ def test_forecasts_follow_the_scale_of_a_series(spark):
     assert all(abs(a[s] - b[s]) < 0.02 for s in a)
 
 
-def test_size_of_the_learner_follows_the_longest_series(spark):
-    df = spark.createDataFrame(scaled_panel(3), SCHEMA)
-    assert forest.learner_size(df) == (58, 10)
-    assert forest.learner_size(df.limit(0)) == (32, 2)
-    long = df.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(20))))
-    assert forest.learner_size(long) == (2 * 560 + 2, 20)
+def test_size_of_the_learner_follows_the_longest_series():
+    assert forest.learner_size(28) == (58, 10)
+    assert forest.learner_size(1) == (32, 2) and forest.learner_size(0) == (32, 1)
+    assert forest.learner_size(560) == (2 * 560 + 2, 20) and forest.learner_size(10**6)[1] == 30
 
 
 def test_untrained_series_and_weights(spark):
