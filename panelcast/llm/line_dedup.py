@@ -17,10 +17,12 @@ is sure to contain a common fingerprint.
 
 The result is exact: a line goes if and only if some run of ``run`` lines around
 it also starts earlier, in a document with a smaller id or earlier in its own.
-With ``long_words`` two kinds of windows are added and go the same way: from each
-line the shortest run of fewer lines with that many words (one long line, two
-middling ones), and the whole of a document with fewer than ``run`` lines. No line
-stays for it that would go without.
+With ``long_words`` (20 in the registered query) two kinds of windows are added and go
+the same way: from each line the shortest run of fewer lines with that many words (one
+long line, two middling ones), and the whole of a document with fewer than ``run`` lines.
+So what is guaranteed to go depends on content: any later run of three lines or of
+twenty words, and every later copy of a document as a whole. No line stays for it that
+would go without.
 A frequent line costs one row per task in step 2 and 3 (map-side combine); the
 joins are with tables written before, which the adaptive planner splits if hot.
 These tables grow with the corpus, so they are merged, not broadcast, at any size.
@@ -43,7 +45,7 @@ from pyspark.sql import functions as F
 
 from .common import cut_lineage, narrow, ship_package
 
-RUN_LINES = 3
+RUN_LINES, LONG_WORDS = 3, 20
 BLANK = b" \t\n\v\f\r"
 WINDOWS = "fingerprint long, leads boolean, key long, body long, place long, run_a long, run_b long"
 CLEANED = "id long, text string, n_lines long, n_removed long"

@@ -12,12 +12,16 @@ w AS (
          sum(regexp_matches(line, '[^\x20\x09-\x0D]')::INT) OVER (PARTITION BY doc_id ORDER BY i) AS k
   FROM l),
 v AS (
-  SELECT doc_id, k, line, lead(line, 1) OVER o AS line2, lead(line, 2) OVER o AS line3
+  SELECT doc_id, k, line, lead(line, 1) OVER o AS line2, lead(line, 2) OVER o AS line3, count(*) OVER (PARTITION BY doc_id) AS n,
+         len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w1,
+         len(regexp_extract_all(lead(line, 1) OVER o, '[^\x20\x09-\x0D]+')) AS w2
   FROM w WHERE has_word WINDOW o AS (PARTITION BY doc_id ORDER BY k)),
-r AS (
-  SELECT doc_id, k, row_number() OVER (PARTITION BY line, line2, line3 ORDER BY doc_id, k) > 1 AS late
-  FROM v WHERE line3 IS NOT NULL),
-g AS (SELECT DISTINCT doc_id, unnest([k, k + 1, k + 2]) AS k FROM r WHERE late),
+u AS (
+  SELECT doc_id, k, [line, line2, line3] AS s FROM v WHERE line3 IS NOT NULL
+  UNION ALL SELECT doc_id, k, [line] FROM v WHERE w1 >= 20 OR n = 1
+  UNION ALL SELECT doc_id, k, [line, line2] FROM v WHERE (w1 < 20 AND w1 + w2 >= 20) OR (n = 2 AND k = 1)),
+r AS (SELECT doc_id, k, len(s) AS size, row_number() OVER (PARTITION BY s ORDER BY doc_id, k) > 1 AS late FROM u),
+g AS (SELECT DISTINCT doc_id, unnest(range(k::BIGINT, k::BIGINT + size)) AS k FROM r WHERE late),
 m AS (
   SELECT w.*, has_word AND g.k IS NOT NULL AS gone
   FROM w LEFT JOIN g ON w.doc_id = g.doc_id AND w.k = g.k)

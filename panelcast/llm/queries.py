@@ -14,7 +14,7 @@ from .exact_dedup import exact_classes
 from .jaccard_join import jaccard_components
 from .language import fold, identify, learn
 from .lexical import lexical_search
-from .line_dedup import line_dedup
+from .line_dedup import LONG_WORDS, line_dedup
 from .mixing import mix
 from .packing import pack_documents
 from .pii import KINDS, find_pii, learn as learn_pii
@@ -35,7 +35,7 @@ def vocabulary(name: str) -> str:
 
 
 def op1_line_dedup(spark, sf_dir):
-    out = line_dedup(_documents(spark, sf_dir))
+    out = line_dedup(_documents(spark, sf_dir), long_words=LONG_WORDS)
     return out.select(F.col("id").alias("doc_id"), "n_lines", "n_removed",
                       F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
