@@ -153,7 +153,7 @@ def deal_shingles(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], n_buckets
                 is_hot = hot_ids[at] == hashes
                 rows.append((unit % n_buckets, 1, blobs.pack(number[is_hot], hashes[is_hot], hot_n[at[is_hot]])))
                 hashes, number = hashes[~is_hot], number[~is_hot]
-            bucket = ((hashes >> np.uint64(48)) * np.uint64(n_buckets) >> np.uint64(16)).astype(np.int64)
+            bucket = ((hashes >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
             order, off = blobs.by_bucket(bucket, n_buckets)
             small = number.astype(np.uint16) if len(lengths) <= 0x10000 else number
             low = hashes & LOW48
@@ -187,7 +187,7 @@ def deal_shingles(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], n_buckets
     return docs.select("text").mapInArrow(scan, CELLS)
 
 
-def count_shingles(cells: DataFrame) -> DataFrame:
+def count_shingles(cells: DataFrame, n_buckets: int) -> DataFrame:
     """Per bucket: shingles held by two or more sets return to their unit (kind 1) with
     the number of holders; cells of other kinds pass."""
     names = [c.split()[0] for c in CELLS.split(", ")]
@@ -205,7 +205,10 @@ def count_shingles(cells: DataFrame) -> DataFrame:
                     yield cell([(b, kind, unit, c.as_buffer().to_pybytes())])
                     continue
                 number, low, high = blobs.unpack(c.as_buffer().to_pybytes())
-                hashes.append(low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32) | np.uint64(b) << np.uint64(48))
+                # A bucket is a range of the upper half of the hash: its upper 16 bits, or as many
+                # as it fixes, complete the 48 that were sent.
+                top = np.uint64((b << 16) // n_buckets << 48)
+                hashes.append(low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32) | top)
                 numbers.append(number.astype(np.uint32))
                 owners.append(np.full(len(number), len(units), np.int32))
                 units.append(unit)
@@ -495,9 +498,10 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "d
     order = np.argsort(ids)
     # Frequent shingles come after all others in the global order.
     counts = (np.uint32(1 << 31) + hot["n"].to_numpy().clip(0, (1 << 31) - 1).astype(np.uint32))[order]
-    tasks = int(min(15_000, max(16, -(-total // task_shingles))))
-    cells = deal_shingles(base, (ids[order], counts), tasks * BUCKETS_PER_TASK, unit_shingles)
-    back = count_shingles(cells.repartition(tasks, "bucket")).repartition(tasks, "unit")
+    tasks = int(max(16, -(-total // task_shingles)))
+    n_buckets = tasks * BUCKETS_PER_TASK
+    cells = deal_shingles(base, (ids[order], counts), n_buckets, unit_shingles)
+    back = count_shingles(cells.repartition(tasks, "bucket"), n_buckets).repartition(tasks, "unit")
     candidates = cut_lineage(candidate_sets(back, percent))
     found = similar_sets(candidates, percent, block_shingles, tasks)
     roots = cut_lineage(found.groupBy("k1", "k2").agg(F.min("root").alias("root")))

@@ -138,3 +138,12 @@ def test_connected_components(spark):
         parent[max(a, b)] = min(a, b)
     got = {x.node: x.root for x in cc.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: find(i) for i in list(parent)}
+
+
+def test_many_more_buckets_than_sixteen_bits_hold(spark, monkeypatch):
+    """The number of buckets has no cap: ids stay distinct and results whole."""
+    rows = fx.prose(120, 8)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(tuple, J.jaccard_components(df).drop("body").collect()))
+    monkeypatch.setattr(J, "BUCKETS_PER_TASK", 20_011)  # 320,176 buckets
+    assert sorted(map(tuple, J.jaccard_components(df).drop("body").collect())) == want
