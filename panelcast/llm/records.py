@@ -3,6 +3,9 @@
 Documents are range-partitioned by id and sorted inside the partitions, so files
 in order of their first id hold all documents in ascending id order. The *texts*
 are shuffled (smaller than their ids), then encoded and written by the same task.
+The number of files follows the bytes of the texts (``FILE_BYTES`` each), and rows of one
+id may be dealt to several files, so that a file stays of that order (plus one
+document) whatever id holds how many rows: a reader holds one file, never a share of the corpus.
 
 File format. A file is a sequence of frames; all numbers are little-endian:
 
@@ -16,13 +19,14 @@ File format. A file is a sequence of frames; all numbers are little-endian:
 The mask is ``rotate_right(crc, 15) + 0xa282ead8``, so that a checksum over data
 that itself holds checksums stays meaningful. Two-byte ids are used where all ids
 of the vocabulary and the end id fit, four-byte ids otherwise; an id that does not
-fit a given width raises. The index is a Parquet table of ``file, offset, length,
-doc_id, n_tokens, start_in_file, ids_crc32``; any frame can be read by offset
-without reading what stands before it.
+fit a given width raises. Frames are under ``<path>/files``. The index, a Parquet table of
+``file, offset, length, doc_id, n_tokens, start_in_file, ids_crc32, start``, is written to
+``<path>/index`` from a sequential read that checks every frame, and stays there for
+shuffled reads (:func:`open_index`, :func:`read_at`), which decode the wanted frames alone.
 
 Edge cases: a null text is empty and gives the end id alone; null ids come first;
-rows repeated under one id are all written, next to each other; an empty table
-gives an empty index; other columns are ignored. A damaged frame raises.
+rows repeated under one id are all written, next to each other, by their text; an empty
+table gives an empty index; other columns are ignored. A damaged frame raises.
 """
 
 from __future__ import annotations
@@ -41,6 +45,8 @@ from ..session import ensure_checkpoint_dir
 from .common import cut_lineage, narrow, ship_package
 
 HEAD, BODY, CHECK, END = struct.Struct("<QI"), struct.Struct("<BBq"), struct.Struct("<I"), b"\n"
+FILE_BYTES, LEAST_BYTES = 32 << 20, 1 << 20
+FILES_BY_NAME = 1000
 INDEX = ("file string, offset long, length long, doc_id long, n_tokens long, "
          "start_in_file long, ids_crc32 long")
 
@@ -73,6 +79,14 @@ def unframe(data: memoryview, at: int = 0) -> tuple[int | None, np.ndarray, int]
     return (doc_id if has_id else None), ids, end + CHECK.size + len(END)
 
 
+def file_count(docs: DataFrame) -> int:
+    """Files for the texts of ``docs`` (``text``): ``FILE_BYTES`` each; a small corpus is spread
+    over the cores, but not below ``LEAST_BYTES``."""
+    total = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    return max(1, -(-total // FILE_BYTES), min(cores, -(-total // LEAST_BYTES)))
+
+
 def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int,
                   id_col: str = "doc_id", text_col: str = "text", width: int | None = None) -> None:
     """Writes the files of ``docs`` under ``path`` in ascending id order; without a
@@ -93,8 +107,12 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int,
                        for i in range(block.n)]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
 
-    ordered = (narrow(docs, id_col, text_col).repartitionByRange(F.col("id").asc_nulls_first())
-               .sortWithinPartitions(F.col("id").asc_nulls_first(), "text"))
+    base = narrow(docs, id_col, text_col)
+    # Rows of one id are dealt by text, equal rows in the order they are read (it makes no
+    # difference which of them stands first).
+    by = [F.col("id").asc_nulls_first(), F.xxhash64("text"), F.monotonically_increasing_id()]
+    ordered = (base.withColumns({"h": by[1], "m": by[2]}).repartitionByRange(file_count(base), by[0], "h", "m")
+               .sortWithinPartitions(by[0], "h", "text").select("id", "text"))
     (ordered.mapInArrow(encode, "frame binary").select(F.col("frame").cast("string").alias("value"))
      .write.option("lineSep", END.decode()).text(path))
 
@@ -126,14 +144,16 @@ def with_starts(index: DataFrame) -> DataFrame:
     One row per file is ordered; the documents are not."""
     files = index.groupBy("file").agg(F.sum("n_tokens").alias("held"), F.min("doc_id").alias("lowest"),
                                       F.count("*").alias("n"), F.count("doc_id").alias("n_ids"))
-    order = Window.orderBy(F.expr("if(n_ids < n, null, lowest)").asc_nulls_first(), "file")
+    # Files of one lowest id follow their numbers.
+    order = Window.orderBy(F.expr("if(n_ids < n, null, lowest)").asc_nulls_first(), F.length("file"), "file")
     base = files.select("file", (F.sum("held").over(order) - F.col("held")).alias("base"))
     return index.join(base, "file").withColumn("start", F.col("base") + F.col("start_in_file")).drop("base")
 
 
 def read_at(spark: SparkSession, wanted: DataFrame) -> DataFrame:
     """``doc_id, ids`` for index rows in any order (shuffled reads): the wanted frames
-    of a file are fetched by offset; ``wanted`` has ``file, offset``."""
+    of a file are fetched by offset; ``wanted`` has ``file, offset``. Where they lie in few
+    files, only these are read."""
     ship_package(spark)
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,18 +166,27 @@ def read_at(spark: SparkSession, wanted: DataFrame) -> DataFrame:
                      pa.array([g[1].tolist() for g in got], pa.list_(pa.int64()))], ["doc_id", "ids"])
 
     per_file = wanted.groupBy("file").agg(F.collect_list("offset").alias("offsets"))
-    folders = [r[0] for r in wanted.select(F.regexp_replace("file", "/[^/]*$", "")).distinct().collect()]
-    if not folders:
+    from_ = [r[0] for r in per_file.select("file").limit(FILES_BY_NAME + 1).collect()]
+    if len(from_) > FILES_BY_NAME:
+        from_ = [r[0] for r in wanted.select(F.regexp_replace("file", "/[^/]*$", "")).distinct().collect()]
+    if not from_:
         return spark.createDataFrame([], "doc_id long, ids array<long>")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folders)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(from_)
     return (files.join(per_file, files["path"] == per_file["file"]).select("content", "offsets")
             .mapInArrow(fetch, "doc_id long, ids array<long>"))
 
 
+def open_index(spark: SparkSession, path: str) -> DataFrame:
+    """The index that :func:`token_records` left under ``path``."""
+    return spark.read.parquet(f"{path.rstrip('/')}/index")
+
+
 def token_records(docs: DataFrame, tokenizer: str, end_id: int, path: str | None = None,
                   id_col: str = "doc_id", text_col: str = "text", width: int | None = None) -> DataFrame:
-    """Writes the files and the index (beside them) and returns the index with ``start``."""
+    """Writes the files and the index under ``path`` (by default a folder of its own in the
+    checkpoint folder) and returns the index, which has ``start`` as well."""
     spark = docs.sparkSession
     path = path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/records-{uuid.uuid4().hex}"
     write_records(docs, f"{path}/files", tokenizer, end_id, id_col, text_col, width)
-    return with_starts(cut_lineage(read_index(spark, f"{path}/files")))
+    with_starts(cut_lineage(read_index(spark, f"{path}/files"))).write.parquet(f"{path}/index")
+    return open_index(spark, path)

@@ -111,6 +111,36 @@ def test_records_round_trip(spark, docs, rows, scratch):
     assert back == {i: [*direct(BYTES, texts[i]), 2] for i in texts if i % 3 == 0}
 
 
+def test_record_files_follow_bytes_and_split_a_hot_id(spark, scratch, monkeypatch):
+    """Null ids first, rows repeated under one id, and a third of all rows under another."""
+    monkeypatch.setattr(records, "FILE_BYTES", 4000)
+    monkeypatch.setattr(records, "FILES_BY_NAME", 3)
+    data = [(None, "null one"), (None, None), (3, "three"), (3, "three"), (3, "other three")]
+    data += [(7, f"hot row {k % 40} " * 12) for k in range(120)] + [(100 + k, f"cold row {k} " * 9) for k in range(200)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
+    index = records.token_records(docs, BYTES, 2, path=f"{scratch}/hot")
+    got = sorted(index.collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == sorted((i for i, _ in data), key=lambda i: (i is not None, i or 0))
+    at = 0
+    for r in got:
+        assert r.start == at
+        at += r.n_tokens
+    want = sorted((str(i), len(direct(BYTES, t or "")) + 1) for i, t in data)
+    assert sorted((str(r.doc_id), r.n_tokens) for r in got) == want
+    sizes = {}
+    for r in got:
+        sizes[r.file] = sizes.get(r.file, 0) + r.length
+    assert len({r.file for r in got if r.doc_id == 7}) > 1 and max(sizes.values()) < 40_000
+    again = records.open_index(spark, f"{scratch}/hot")
+    assert sorted(again.collect()) == sorted(got)
+    for some in (again.filter("doc_id = 7"), again.filter("doc_id = 3"), again.limit(0), again):
+        back = sorted((str(r.doc_id), r.ids) for r in records.read_at(spark, some.select("file", "offset")).collect())
+        ids = sorted(str(r.doc_id) for r in some.collect())
+        assert [i for i, _ in back] == ids and all(x[-1] == 2 for _, x in back)
+    three = records.read_at(spark, again.filter("doc_id = 3").select("file", "offset")).collect()
+    assert sorted(r.ids for r in three) == sorted([*direct(BYTES, t), 2] for i, t in data if i == 3)
+
+
 def test_records_of_wide_ids(spark, scratch):
     """Ids above 65,535 come back whole, or raise where the width is given."""
     from tokenizers import Tokenizer, models, normalizers, pre_tokenizers
