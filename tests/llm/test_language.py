@@ -99,3 +99,41 @@ def test_edges(spark, learned):
     assert L.identify(fx.empty(spark), learned[2]).count() == 0
     nothing = L.learn(fx.empty(spark).select("lang", "text"))
     assert {r.lang_pred for r in L.identify(fx.weird(spark), nothing).collect()} == {"und"}
+
+
+def exact_sets(rows, min_share=L.MIN_SHARE):
+    """The kept n-grams of every label, counted in plain Python."""
+    counts = {}
+    for text, lang in rows:
+        if lang:
+            own = counts.setdefault(lang, {})
+            for g in plain_grams(text or ""):
+                own[g] = own.get(g, 0) + 1
+    return {lang: {g for g, n in own.items() if n >= sum(own.values()) * min_share} for lang, own in counts.items() if own}
+
+
+def test_decision_equals_exact_sets(learned):
+    """A plain version of the decision, with sets in place of the filters: the same label
+    wherever it is clear of the filters' false positives, and nearly the same score."""
+    rows, docs, filters = learned
+    sets = exact_sets([(t, lang) for i, t, lang, _ in rows if zlib.crc32(str(i).encode()) % 4 != 2])
+    assert sorted(sets) == filters.languages
+    compared = 0
+    for r in L.identify(docs, filters).collect():
+        grams = plain_grams(rows[r.id][1])
+        shares = sorted(((sum(g in sets[lang] for g in grams) / len(grams), lang) for lang in sets), reverse=True)
+        assert abs(r.score - shares[0][0]) < 0.1
+        if shares[0][0] - shares[1][0] > 0.1:
+            assert r.lang_pred == shares[0][1]
+            compared += 1
+    assert compared > 300
+
+
+def test_null_ids_repeated_rows_and_empty_labels(spark, learned):
+    rows = [(None, "then her one", "aa"), (None, "then her one", "aa"), (5, "sch ich die", ""), (5, "sch ich die", ""),
+            (6, None, None), (7, "que los adelos", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = sorted(((r.id, r.lang_pred, round(r.score, 6)) for r in L.identify(docs, learned[2]).collect()), key=repr)
+    assert [g[0] for g in got] == sorted([r[0] for r in rows], key=repr)
+    assert got.count(next(g for g in got if g[0] is None)) == 2 and got.count(next(g for g in got if g[0] == 5)) == 2
+    assert L.learn(docs.select("lang", "text")).languages == ["aa"]  # an empty label is none, with text or without

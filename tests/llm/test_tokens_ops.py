@@ -220,3 +220,61 @@ def test_empty_tables(spark):
     assert quality.quality(none, SP).count() == 0
     assert records.token_records(none, BYTES, 2).count() == 0
     assert packing.pack_documents(none, CLIP, 1).count() == 0
+
+
+def plain_verdict(text, sp):
+    """Operator 4's verdict from the whole text, bands included."""
+    n_words, chars, symbols, _, _, failed = brute_quality(text)
+    ids = [x for w in WORD.findall(text or "") for x in sp.encode(w)]
+    if failed or not ids:
+        return False
+    seen = Counter()
+    for b in (text or "").encode():
+        if quality._LEAD[b] >= 0:
+            seen[quality.SCRIPTS[quality._LEAD[b]]] += 1
+    script = min(seen, key=lambda s: (-seen[s], quality.SCRIPTS.index(s))) if seen else "other"
+    band, n, c = quality.BANDS[script], len(ids), Counter(ids)
+    bits = -sum(v / n * math.log2(v / n) for v in c.values())
+    share = sum(sp.is_byte(i) or sp.is_unknown(i) for i in ids) / n
+    return (band.chars_per_token[0] <= chars / n <= band.chars_per_token[1] and share <= band.byte_share
+            and band.entropy[0] <= bits <= band.entropy[1] and symbols <= band.symbols_per_token * n)
+
+
+def test_quality_verdict_by_brute_force(spark):
+    """Every band recomputed: on the given documents, on noise, and on rows repeated under one id."""
+    import base64
+    import random
+
+    import sentencepiece
+    sp, r = sentencepiece.SentencePieceProcessor(model_file=SP), random.Random(3)
+    made = ["".join(r.choice("abcdefghij klmnop") for _ in range(900)), " ".join("%032x" % r.getrandbits(128) for _ in range(60)),
+            " ".join(base64.b64encode(r.randbytes(30)).decode() for _ in range(60)), " ".join(["élève déjà".encode().decode("latin1")] * 60),
+            " ".join(str(r.randrange(10**9)) for _ in range(90)), "# $ word " * 60, "слово дело " * 60, "文字列です " * 70,
+            " ".join("".join(chr(r.randint(0x2500, 0x25FF)) for _ in range(6)) for _ in range(120)), "a b " * 100]
+    rows = [(x.doc_id, x.text) for x in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    rows += [(10_000 + k, t) for k, t in enumerate(made)] + [(10_000, made[0]), (10_000, made[0]), (None, made[5])]
+    got = quality.quality(spark.createDataFrame(rows, "doc_id long, text string"), SP).select("id", "kept").collect()
+    want = sorted(((i, plain_verdict(t, sp)) for i, t in rows), key=repr)
+    assert sorted(map(tuple, got), key=repr) == want
+    assert {k for _, k in want} == {True, False} and len({i for i, k in want if not k and (i or 0) >= 10_000}) >= 6
+
+
+def test_packing_of_null_ids_and_repeated_rows(spark):
+    rows = [(None, "null id"), (None, "another null id"), (4, "four four"), (4, "four four"), (4, "other"), (5, None)]
+    rows += [(9, "long text " * 300)] * 2
+    docs = spark.createDataFrame([(*x, "x", 1) for x in rows], "doc_id long, text string, piece string, id int")
+    plan = packing.pack_documents(docs, CLIP, 1, 64).collect()
+    want = []
+    for i, text in rows:
+        ids = [*direct(CLIP, text or ""), 1]
+        want += [(i, k, s, zlib.crc32(np.array(ids[s:s + 64], "<u4").tobytes())) for k, s in enumerate(range(0, len(ids), 64))]
+    assert sorted(((r.id, r.piece, r.start, r.ids_crc32) for r in plan), key=repr) == sorted(want, key=repr)
+    bins = {}
+    for r in plan:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for held in bins.values():
+        at = 0
+        for offset, length in sorted(held):
+            assert offset == at
+            at += length
+        assert at <= 64
