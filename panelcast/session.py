@@ -60,8 +60,7 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``panelcast`` importable in the Python workers, as ``--py-files`` would.
 
-    Only the grouped ridge solve runs Python on executors; its function is
-    pickled by reference to this package. The package is zipped once per
+    Functions that run on executors are pickled by reference to this package. The package is zipped once per
     application and added with ``addPyFile``; Spark serves the file to every
     executor itself. Harmless where the package is installed already.
     """
@@ -102,6 +101,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
                        "before running a multi-branch plan")
 
 
+_APPS: set[str] = set()
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """Folder of this application's intermediates under the checkpoint folder; it is deleted
+    when the driver process ends (a block of :func:`scratch_run` deletes its own earlier)."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/panelcast/{spark.sparkContext.applicationId}"
+    if path not in _APPS:
+        _APPS.add(path)
+        atexit.register(_delete_quietly, spark, path)  # runs before Spark's own exit handler
+    return path
+
+
+def _delete_quietly(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may be stopped already
+        _delete(spark, path)
+
+
 _RUN: contextvars.ContextVar[str | None] = contextvars.ContextVar("panelcast_run", default=None)
 
 
@@ -114,7 +131,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 def scratch_run(spark: SparkSession):
     """Tables written by :func:`cut_lineage` inside the block are deleted at its end;
     nothing lazy that reads them may leave it."""
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/panelcast/run-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/run-{uuid.uuid4().hex}"
     token = _RUN.set(path)
     try:
         yield path
@@ -135,7 +152,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     which explodes for 40-column frames filtered on every column.
     """
     spark = df.sparkSession
-    root = _RUN.get() or f"{ensure_checkpoint_dir(spark).rstrip('/')}/panelcast"
-    path = f"{root}/{uuid.uuid4().hex}"
+    path = f"{_RUN.get() or scratch_dir(spark)}/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

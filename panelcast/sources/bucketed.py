@@ -18,7 +18,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_dir
 from .tables import Tables
 
 KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
@@ -66,10 +66,9 @@ class BucketedTables(Tables):
 
 @contextlib.contextmanager
 def bucketed(t: Tables, buckets: int | None = None) -> Iterator[BucketedTables]:
-    """The tables in bucketed form inside the block, in the checkpoint folder."""
+    """The tables in bucketed form inside the block, among the application's intermediates."""
     prefix = f"panelcast_{uuid.uuid4().hex}"
-    folder = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/panelcast"
-    write_bucketed(t, prefix, folder, buckets)
+    write_bucketed(t, prefix, scratch_dir(t.spark), buckets)
     try:
         yield BucketedTables(t.spark, t.root, prefix)
     finally:

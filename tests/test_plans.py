@@ -66,6 +66,17 @@ def test_a_run_leaves_no_intermediate(spark):
     assert not Path(path.removeprefix("file:")).exists()
 
 
+def test_intermediates_lie_in_the_folder_of_the_application(spark):
+    from panelcast import session
+    kept = session.cut_lineage(spark.range(3))
+    assert spark.sparkContext.applicationId in kept.inputFiles()[0]
+    path = session.scratch_dir(spark) + "/some"
+    spark.range(1).write.parquet(path)
+    session._delete_quietly(spark, path)
+    assert not Path(path.removeprefix("file:")).exists()
+    session._delete_quietly(None, path)  # a stopped session is no error
+
+
 def test_changed_files_get_a_new_panel(spark, scratch):
     import shutil
     from panelcast.plans import queries as Q
