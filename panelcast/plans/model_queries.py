@@ -66,15 +66,24 @@ def two_stage_forecast(spark, sf_dir):
     return fam.all_forecasts(_inputs(spark, sf_dir), PARAMS, with_trend=False)
 
 
-def full_backtest_best(spark, sf_dir):
-    """Every family, every origin: snapshots and the best model per series."""
+def _backtest_best(spark, sf_dir, families) -> DataFrame:
     inp = _inputs(spark, sf_dir)
-    forecasts = cut_lineage(fam.all_forecasts(inp, PARAMS))
+    forecasts = cut_lineage(fam.all_forecasts(inp, PARAMS, families))
     snap = cut_lineage(score_forecasts(forecasts, bt.ground_truth(bt.training(inp, PARAMS)),
                                        PARAMS.origins))
     return best_model(snap, PARAMS.lookback_months, PARAMS.series)
 
 
+def full_backtest_best(spark, sf_dir):
+    """Every family, every origin: snapshots and the best model per series."""
+    return _backtest_best(spark, sf_dir, fam.FAMILIES)
+
+
+def ridge_backtest_best(spark, sf_dir):
+    """The same over the trend and ridge families, whose forecasts SQL can compute."""
+    return _backtest_best(spark, sf_dir, (ridge.ADDITIVE, ridge.AR_DIRECT))
+
+
 # --- parts with an oracle -----------------------------------------------------
 
 def _train(spark, sf_dir) -> DataFrame:
@@ -211,6 +220,7 @@ MODEL_QUERIES = {
     "forest_forecast": forest_forecast,
     "two_stage_forecast": two_stage_forecast,
     "full_backtest_best": full_backtest_best,
+    "ridge_backtest_best": ridge_backtest_best,
     "additive_design": additive_design,
     "ar_samples": ar_samples,
     "additive_normal_equations": additive_normal_equations,

@@ -399,6 +399,7 @@ def build() -> dict[str, str]:
     trend = trend_ctes()
     snap = snapshot_ctes()
     sel = selection_ctes()
+    fitted = ridge_oracle.forecasts(sys.modules[__name__])
     frame_cols = ", ".join(FRAME_COLUMNS)
     complete = " AND ".join(f"{c} IS NOT NULL" for c in FRAME_COLUMNS)
     single = frames_ctes("fs", STAGE1[:1])
@@ -480,7 +481,12 @@ JOIN (SELECT DISTINCT origin, quarter, series, rev FROM fc WHERE model = '{TREND
         + f"\nSELECT * FROM snap WHERE series = '{TWO_SERIES[0]}' "
         f"AND model IN ('{TREND}', '{TREND_SEASONAL}')",
         **model_parts(_with(panel, train), _with(panel, train, f1), complete),
-        **ridge_oracle.forecasts(sys.modules[__name__]),
+        **fitted,
+        "ridge_backtest_best": _with(panel, train, f1, trend.replace("\nfc AS (", "\nfc0 AS ("), f""",
+fc AS (
+  SELECT origin, quarter, series, rev, cm, model FROM fc0
+  UNION ALL SELECT origin, quarter, series, rev, cm, model FROM ({fitted['additive_ridge_forecast']})
+  UNION ALL SELECT origin, quarter, series, rev, cm, model FROM ({fitted['ar_direct_forecast']}))""", snap, sel, best_select()),
     }
 
 
