@@ -37,11 +37,13 @@ from pyspark.sql import functions as F
 from ...functions.numeric import round2
 from ...session import cut_lineage
 from ..features import recency_weighted, training_sets
+from .grams import partitions
 from .trees import node_table
 
 FOREST = "FOREST"
 NUM_TREES = 100
 SEED = 42
+ROWS_PER_TASK = 5000
 MLLIB_BINS, MLLIB_DEPTH = 32, 30  # MLlib's default number of bins and its deepest tree
 # Tree nodes split per pass over the data: a larger budget means fewer passes
 # (levels of all trees are grouped), and cached node ids spare re-walking the
@@ -156,14 +158,18 @@ def forest_forecast(train_sets: DataFrame, horizon: DataFrame, target: str,
     keys, weight = ["origin", "series"], ["weight"] if recency else []
     enc = cut_lineage(encoding(complete, target, features, keys))
     ratio = (F.col(target) / F.col("_scale")).alias("_y")
-    rows = cut_lineage(ranked(complete, enc, features, keys).select("origin", *rank_names(features), ratio, *weight))
+    rows = cut_lineage(ranked(complete, enc, features, keys).select(*keys, "quarter", *rank_names(features), ratio, *weight))
     later = ranked(horizon.fillna(0.0, subset=list(features)), enc, features, keys)
     later = cut_lineage(later.select("origin", "quarter", "series", *rank_names(features), "_scale"))
-    longest = dict(complete.groupBy(*keys).count().groupBy("origin").agg(F.max("count")).collect())  # one row per origin
+    sizes = complete.groupBy(*keys).count().groupBy("origin").agg(F.max("count").alias("longest"), F.sum("count").alias("n"))
+    sizes = {r.origin: r for r in sizes.collect()}  # one row per origin
 
     def one(o: str) -> DataFrame:
-        bins, depth = learner_size(longest.get(o, 1))
-        own = _assembler(features, "skip").transform(rows.where(F.col("origin") == o)).select("_x", "_y", *weight)
+        bins, depth = learner_size(sizes[o].longest if o in sizes else 1)
+        # The learner samples by partition and place in it: both are fixed by the rows' keys.
+        n = max(1, min(partitions(rows.sparkSession), sizes[o].n // ROWS_PER_TASK if o in sizes else 1))
+        dealt = rows.where(F.col("origin") == o).repartition(n, "series").sortWithinPartitions("series", "quarter")
+        own = _assembler(features, "skip").transform(dealt).select("_x", "_y", *weight)
         own = own.persist(StorageLevel.MEMORY_AND_DISK)  # read by every pass of the learner
         rf = RandomForestRegressor(featuresCol="_x", labelCol="_y", predictionCol="_pred",
                                    numTrees=num_trees, seed=seed, maxDepth=max_depth or depth, maxBins=bins,

@@ -146,3 +146,11 @@ def test_null_features_unknown_nodes_and_leaves_at_the_root(spark):
     got = {r.id: r.score for r in trees.score_nodes(rows, nodes, ["id"], ["a", "b"], 2, 1).collect()}
     assert got == {1: 3.0, 2: 3.5, 3: 3.0}
     assert trees.score_nodes(rows.limit(0), nodes, ["id"], ["a", "b"], 2, 1).count() == 0
+
+
+def test_reruns_agree_whatever_the_partitions(spark):
+    df = spark.createDataFrame(scaled_panel(30), SCHEMA)
+    train, horizon = df.where("quarter < origin"), df.where("quarter >= origin").drop("rev")
+    runs = [sorted(forest.forest_forecast(train.repartition(k), horizon, "rev", ["x", "z"], [ORIGIN], num_trees=4).collect())
+            for k in (1, 5, 11)]
+    assert runs[0] == runs[1] == runs[2]
