@@ -45,7 +45,7 @@ from ..session import ensure_checkpoint_dir
 from .common import cut_lineage, narrow, ship_package
 
 HEAD, BODY, CHECK, END = struct.Struct("<QI"), struct.Struct("<BBq"), struct.Struct("<I"), b"\n"
-FILE_BYTES, LEAST_BYTES = 32 << 20, 1 << 20
+FILE_BYTES, LEAST_BYTES = 16 << 20, 1 << 20
 FILES_BY_NAME = 1000
 INDEX = ("file string, offset long, length long, doc_id long, n_tokens long, "
          "start_in_file long, ids_crc32 long")
@@ -117,26 +117,21 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int,
      .write.option("lineSep", END.decode()).text(path))
 
 
+def file_index(file: str, content: bytes) -> Iterator[tuple]:
+    """The index rows of one file, every frame checked."""
+    data, at, start = memoryview(content), 0, 0
+    while at < len(data):
+        doc_id, ids, after = unframe(data, at)
+        yield file, at, after - at, doc_id, len(ids), start, zlib.crc32(ids.astype("<u4").tobytes())
+        at, start = after, start + len(ids)
+
+
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """The offset index of the files under ``path``, from a sequential, checked read."""
+    """The offset index of the files under ``path``, from a sequential, checked read; a task
+    holds one file at a time."""
     ship_package(spark)
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for file, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data, at, start, rows = memoryview(content.as_buffer()), 0, 0, []
-                while at < len(data):
-                    doc_id, ids, after = unframe(data, at)
-                    rows.append((file, at, after - at, doc_id, len(ids), start,
-                                 zlib.crc32(ids.astype("<u4").tobytes())))
-                    at, start = after, start + len(ids)
-                if rows:
-                    kinds = [pa.string()] + [pa.int64()] * 6
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], [c.split()[0] for c in INDEX.split(", ")])
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return files.select("path", "content").mapInArrow(scan, INDEX)
+    files = spark.sparkContext.binaryFiles(f"{path}/part-*")  # an Arrow batch would hold many files
+    return spark.createDataFrame(files.flatMap(lambda f: file_index(*f)), INDEX)
 
 
 def with_starts(index: DataFrame) -> DataFrame:
